@@ -2,10 +2,11 @@
 
 from reelhouse.functions.periods import month_of, quarter_of, within, year_of
 from reelhouse.functions.text import full_address, same_text, size_label
-from reelhouse.functions.rental import RATING_AGES, expected_age, late_days
+from reelhouse.functions.rental import RATING_AGES, exact, expected_age, late_days
 
 __all__ = [
     "RATING_AGES",
+    "exact",
     "expected_age",
     "full_address",
     "late_days",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F
 
 # Film rating and the youngest age it suits.
@@ -23,3 +25,8 @@ def late_days(rental_date: Column, return_date: Column, duration: Column, as_of:
     """
     kept_until = F.least(F.coalesce(return_date, as_of), as_of)
     return F.greatest(F.lit(0), F.datediff(kept_until, rental_date) - duration)
+
+
+def exact(amount: Decimal | float | int | str) -> Column:
+    """A money amount as a decimal constant, so comparing it does not turn the column into a double."""
+    return F.lit(Decimal(str(amount)))

@@ -11,12 +11,16 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from reelhouse.functions import RATING_AGES, expected_age, full_address, month_of, quarter_of, within, year_of
+from reelhouse.functions import RATING_AGES, exact, expected_age, full_address, month_of, quarter_of, within, year_of
 from reelhouse.functions.periods import Day
 
 Tables = Mapping[str, DataFrame]
 
 
+def _by_name() -> list[Column]:
+    return [F.col("last_name").asc_nulls_last(), F.col("first_name").asc_nulls_last()]
+
+
 def _name_is(name: Column, wanted: str, any_case: bool) -> Column:
     return F.upper(name) == F.upper(F.lit(wanted)) if any_case else name == wanted
 
@@ -27,7 +31,7 @@ def films_in_category(
     """Films of a category released in the closed year range with a rate above ``min_rate``."""
     wanted = t["category"].where(_name_is(F.col("name"), category, any_case))
     members = t["film_category"].join(wanted, "category_id", "left_semi").select("film_id")
-    films = t["film"].where(F.col("release_year").between(year_lo, year_hi) & (F.col("rental_rate") > min_rate))
+    films = t["film"].where(F.col("release_year").between(year_lo, year_hi) & (F.col("rental_rate") > exact(min_rate)))
     return (
         films.select("film_id", "title", "release_year", "rental_rate")
         .join(members, "film_id")
@@ -85,7 +89,7 @@ def top_actors_since(t: Tables, year: int, k: int = 5, include_zero: bool = Fals
     ranked = actors.join(counts, "actor_id", "left" if include_zero else "inner")
     return (
         ranked.withColumn("num_movies", F.coalesce("num_movies", F.lit(0)))
-        .orderBy(F.col("num_movies").desc(), F.col("last_name").asc_nulls_last(), F.col("first_name").asc_nulls_last(), "actor_id")
+        .orderBy(F.col("num_movies").desc(), *_by_name(), "actor_id")
         .limit(k)
         .select("first_name", "last_name", "num_movies")
     )
@@ -137,15 +141,14 @@ def top_staff_by_revenue(
         t["rental"]
         .select("rental_id", "inventory_id")
         .join(t["inventory"].select("inventory_id", "store_id"), "inventory_id")
-        .select("rental_id", "store_id")
+        .select("rental_id", "store_id", F.lit(True).alias("has_store"))
     )
-    has_store = F.col("store_id").isNotNull()
-    when_paid = F.struct("payment_date", "payment_id")
+    paid_order = F.struct("payment_date", "payment_id")
     per_staff = (
         payments.join(stores, "rental_id", "left" if all_payments else "inner")
         .groupBy("staff_id")
         .agg(
-            F.max_by("store_id", F.when(has_store, when_paid)).alias("last_store_id"),
+            F.max_by("store_id", F.when(F.col("has_store"), paid_order)).alias("last_store_id"),
             F.sum("amount").alias("total_revenue"),
         )
     )
@@ -153,7 +156,7 @@ def top_staff_by_revenue(
         t["staff"]
         .select("staff_id", "first_name", "last_name")
         .join(per_staff, "staff_id")
-        .orderBy(F.col("total_revenue").desc_nulls_last(), F.col("last_name").asc_nulls_last(), F.col("first_name").asc_nulls_last(), "staff_id")
+        .orderBy(F.col("total_revenue").desc_nulls_last(), *_by_name(), "staff_id")
         .limit(k)
         .select("first_name", "last_name", "last_store_id", "total_revenue")
     )
@@ -201,7 +204,7 @@ def actor_inactivity(t: Tables, as_of_year: int = 2025, include_unreleased: bool
         .select("actor_id", "first_name", "last_name")
         .join(latest, "actor_id", "left" if include_unreleased else "inner")
         .withColumn("inactivity_years", F.lit(as_of_year) - F.col("last_release"))
-        .orderBy(F.col("inactivity_years").desc_nulls_first(), F.col("last_name").asc_nulls_last(), F.col("first_name").asc_nulls_last(), "actor_id")
+        .orderBy(F.col("inactivity_years").desc_nulls_first(), *_by_name(), "actor_id")
         .select("first_name", "last_name", "last_release", "inactivity_years")
     )
 
@@ -229,7 +232,7 @@ def actor_max_gap(t: Tables) -> DataFrame:
         t["actor"]
         .select("actor_id", "first_name", "last_name")
         .join(gaps, "actor_id")
-        .orderBy(F.col("max_gap").desc(), F.col("last_name").asc_nulls_last(), F.col("first_name").asc_nulls_last(), "actor_id")
+        .orderBy(F.col("max_gap").desc(), *_by_name(), "actor_id")
         .select("first_name", "last_name", "max_gap")
     )
 
@@ -288,7 +291,6 @@ def most_popular_films_by_country(t: Tables, countries: list[str], by_title: boo
         .groupBy("country", "inventory_id")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    film_key = "title" if by_title else "film_id"
     by_film = (
         by_copy.join(t["inventory"].select("inventory_id", "film_id"), "inventory_id")
         .groupBy("country", "film_id")
@@ -299,10 +301,10 @@ def most_popular_films_by_country(t: Tables, countries: list[str], by_title: boo
         by_film = by_film.groupBy("country", "title").agg(F.sum("n").alias("n"))
     # The smallest of (-rentals, title, id) is the winner; unlike a ranked window this
     # aggregate is combined on the map side, so a country with most rows stays cheap.
-    first = F.min(F.struct((-F.col("n")).alias("n"), "title", film_key) if not by_title else F.struct((-F.col("n")).alias("n"), "title"))
+    rank = F.struct((-F.col("n")).alias("n"), "title", *([] if by_title else ["film_id"]))
     return (
         by_film.groupBy("country")
-        .agg(first.alias("first"))
+        .agg(F.min(rank).alias("first"))
         .select("country", F.col("first.title").alias("film_title"), (-F.col("first.n")).cast("int").alias("rentals"))
         .orderBy("country")
     )
@@ -319,7 +321,7 @@ def rewards_report(t: Tables, min_purchases: int, min_amount: float, as_of: Day
             F.count(F.lit(1)).alias("payments"),
             F.sum("amount").alias("total_spent"),
         )
-        .where((F.col("payments") >= min_purchases) & (F.col("total_spent") >= min_amount))
+        .where((F.col("payments") >= min_purchases) & (F.col("total_spent") >= exact(min_amount)))
     )
     return (
         t["customer"]

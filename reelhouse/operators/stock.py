@@ -6,7 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
-from reelhouse.functions import late_days
+from reelhouse.functions import exact, late_days
 from reelhouse.functions.periods import Day
 from reelhouse.operators.numbering import number_rows
 
@@ -56,7 +56,7 @@ def inventory_held_by_customer(t: Tables, customer_id: int | None = None) -> Dat
 
 
 def customer_balance(t: Tables, as_of: Day, late_fee_per_day: float) -> DataFrame:
-    """What every customer owes at the start of ``as_of``'s next day: charges and late fees less payments.
+    """What every customer owes at the end of ``as_of``: charges and late fees less payments.
 
     Rentals and payments after ``as_of`` are ignored. A rental still open then is
     charged, and is late for the days it is over its rental duration by then.
@@ -69,7 +69,7 @@ def customer_balance(t: Tables, as_of: Day, late_fee_per_day: float) -> DataFram
     late = late_days(
         F.to_date("rental_date"), F.to_date("return_date"), F.col("rental_duration"), day
     )
-    fee = F.lit(str(late_fee_per_day)).cast("decimal(9,2)")
+    fee = exact(late_fee_per_day)
     charged = (
         t["rental"]
         .where(F.col("rental_date") < until)
@@ -100,7 +100,7 @@ def films_in_stock_by_title(t: Tables, pattern: str | None) -> DataFrame:
     """
     if pattern is None:
         raise ValueError("Title pattern cannot be null")
-    matching = t["film"].where(F.upper("title").like(pattern.upper())).select("film_id", "title")
+    matching = t["film"].where(F.like(F.upper("title"), F.upper(F.lit(pattern)))).select("film_id", "title")
     copies = t["inventory"].select("inventory_id", "film_id").join(matching, "film_id", "left_semi")
     in_stock = copies.join(_copies_out(t), "inventory_id", "left_anti").select("film_id").distinct()
     films = matching.join(in_stock, "film_id", "left_semi")
