@@ -14,7 +14,8 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reelhouse.functions.periods import Day, day_literal
+from reelhouse.functions.periods import Day, day_literal, within
+from reelhouse.operators.joins import hot_join, in_keys, not_in_keys
 from reelhouse.operators.numbering import assign_keys
 
 Tables = Mapping[str, DataFrame]
@@ -43,12 +44,11 @@ def like_table(rows: DataFrame, target: DataFrame) -> DataFrame:
 def not_yet_in(rows: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     """``rows`` whose key is not in ``target``; a null in the key never matches.
 
-    The target is first reduced to the keys of the batch. With a small batch that is a
-    scan of the target's key columns without a shuffle; with a large one the reduced
-    keys are already partitioned for the second join.
+    The target is first reduced to the keys of the batch, so that a small batch costs a
+    scan of the target's key columns and no shuffle of them.
     """
-    present = target.select(*key).join(rows.select(*key), key, "left_semi").distinct()
-    return rows.join(present, key, "left_anti")
+    present = target.select(*key).join(rows.select(*key).distinct(), key, "left_semi")
+    return not_in_keys(rows, present, key)
 
 
 def insert_if_absent(
@@ -104,7 +104,7 @@ def update_from(target: DataFrame, changes: DataFrame, key: list[str]) -> Change
     """
     columns = [c for c in changes.columns if c not in key]
     one_each = changes.groupBy(*key).agg(F.max(F.struct(*columns)).alias("_new"))
-    marked = target.join(one_each, key, "left").withColumn("_hit", F.col("_new").isNotNull())
+    marked = hot_join(target, one_each, key, "left").withColumn("_hit", F.col("_new").isNotNull())
     updated = marked.select(
         *[
             F.when(F.col("_hit"), F.col(f"_new.{f.name}").cast(f.dataType)).otherwise(F.col(f.name)).alias(f.name)
@@ -160,9 +160,9 @@ def return_latest_rental(t: Tables, customers: DataFrame, returned_at: dt.dateti
     latest = (
         t["rental"]
         .select("customer_id", "rental_id")
-        .join(customers.select("customer_id"), "customer_id", "left_semi")
         .groupBy("customer_id")
         .agg(F.max("rental_id").alias("rental_id"))
+        .join(customers.select("customer_id"), "customer_id", "left_semi")
         .select("rental_id", F.lit(returned_at).alias("return_date"))
     )
     return update_from(t["rental"], latest, ["rental_id"])
@@ -170,8 +170,7 @@ def return_latest_rental(t: Tables, customers: DataFrame, returned_at: dt.dateti
 
 def delete_matching(target: DataFrame, keys: DataFrame, on: list[str]) -> Change:
     """Delete the rows whose ``on`` columns appear in ``keys``."""
-    wanted = keys.select(*on).distinct()
-    return Change(target.join(wanted, on, "left_anti"), target.join(wanted, on, "left_semi"))
+    return Change(not_in_keys(target, keys, on), in_keys(target, keys, on))
 
 
 def delete_where(target: DataFrame, condition: Column) -> Change:
@@ -182,7 +181,7 @@ def delete_where(target: DataFrame, condition: Column) -> Change:
 
 def remove_activity(t: Tables, customers: DataFrame) -> dict[str, Change]:
     """Delete the payments for the customers' rentals, then the rentals."""
-    rentals = t["rental"].join(customers.select("customer_id"), "customer_id", "left_semi")
+    rentals = in_keys(t["rental"], customers, ["customer_id"])
     return {
         "payment": delete_matching(t["payment"], rentals, ["rental_id"]),
         "rental": delete_matching(t["rental"], customers, ["customer_id"]),
@@ -217,21 +216,21 @@ def rent_and_pay(
 
     # The store is settled on one row per title, before any copy is matched.
     nearest = copies.groupBy("title").agg(F.min("store_id").alias("title_store"))
-    served = requests.join(nearest, "title").groupBy("customer_id").agg(F.min("title_store").alias("store_id"))
+    served = hot_join(requests, nearest, ["title"]).groupBy("customer_id").agg(F.min("title_store").alias("store_id"))
     staff = t["staff"].groupBy("store_id").agg(F.min("staff_id").alias("staff_id"))
     rented_at = F.lit(rented_on).cast("date").cast("timestamp_ntz")
     to_rent = (
-        requests.join(served, "customer_id")
+        hot_join(requests, served, ["customer_id"])
         .join(copies.select("title", "store_id", "inventory_id"), ["title", "store_id"])
-        .join(staff, "store_id", "left")
-        .select(
-            "customer_id",
-            "inventory_id",
-            rented_at.alias("rental_date"),
-            F.lit(returned_on).cast("date").cast("timestamp_ntz").alias("return_date"),
-            "staff_id",
-            day_literal(as_of).alias("last_update"),
-        )
+        .select("customer_id", "inventory_id", "store_id")
+    )
+    to_rent = hot_join(to_rent, staff, ["store_id"], "left").select(
+        "customer_id",
+        "inventory_id",
+        rented_at.alias("rental_date"),
+        F.lit(returned_on).cast("date").cast("timestamp_ntz").alias("return_date"),
+        "staff_id",
+        day_literal(as_of).alias("last_update"),
     )
     rentals = insert_if_absent(t["rental"], to_rent, ["inventory_id", "customer_id", "rental_date"], "rental_id")
 
@@ -239,9 +238,9 @@ def rent_and_pay(
         t["film"].select("film_id", F.col("rental_rate").alias("amount")), "film_id"
     )
     day = F.lit(rented_on).cast("date")
+    of_that_day = rentals.state.where(within("rental_date", (day, F.date_add(day, 1))))
     due = (
-        rentals.state.where((F.col("rental_date") >= day) & (F.col("rental_date") < F.date_add(day, 1)))
-        .join(requests.select("customer_id"), "customer_id", "left_semi")
+        in_keys(of_that_day, requests, ["customer_id"])
         .select("rental_id", "customer_id", "staff_id", "inventory_id")
         .join(rates, "inventory_id")
         .select("customer_id", "staff_id", "rental_id", "amount", rented_at.alias("payment_date"))
@@ -262,5 +261,5 @@ def prefixed(df: DataFrame, number: str, prefix: str = LONG_PREFIX) -> DataFrame
 
 def delete_every_nth(df: DataFrame, n: int = 3, prefix: str = LONG_PREFIX) -> Change:
     """Delete the strings whose number is a multiple of ``n``."""
-    number = F.replace("col", F.lit(prefix), F.lit("")).cast("int")
+    number = F.replace("col", F.lit(prefix), F.lit("")).cast("bigint")
     return delete_where(df, number % n == 0)

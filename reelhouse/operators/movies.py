@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reelhouse.functions.periods import day_literal
 from reelhouse.operators.change import Change, like_table
+from reelhouse.operators.joins import hot_join
 from reelhouse.operators.numbering import assign_keys, number_rows
 
 Tables = Mapping[str, DataFrame]
@@ -48,12 +49,12 @@ def add_movies(t: Tables, batch: DataFrame, as_of: dt.date | None = None, row_id
             F.coalesce("language", F.lit(DEFAULT_LANGUAGE)).alias("language"),
         )
         .withColumn("_language", F.upper("language"))
-        .join(languages, "_language", "left")
         .withColumn("_title", F.upper("title"))
     )
+    rows = hot_join(rows, languages, ["_language"], "left")
     key = ["_title", "language_id", "release_year"]
     existing = t["film"].select(F.upper("title").alias("_title"), "language_id", "release_year")
-    known = existing.join(rows.select(*key), key, "left_semi").distinct().withColumn("_known", F.lit(True))
+    known = existing.join(rows.select(*key).distinct(), key, "left_semi").distinct().withColumn("_known", F.lit(True))
     # The first row of each key is marked by its own id: joining on the id and not on
     # the key keeps a title that fills a third of the batch from meeting in one task.
     firsts = rows.groupBy(*key).agg(F.min(row_id).alias(row_id)).select(row_id, F.lit(True).alias("_first"))
@@ -65,7 +66,7 @@ def add_movies(t: Tables, batch: DataFrame, as_of: dt.date | None = None, row_id
             F.format_string('Film "%s" (%s / %s) already exists', "title", "language", F.col("release_year").cast("string")),
         )
     )
-    judged = rows.join(known, key, "left").join(firsts, row_id, "left").withColumn("reason", reason)
+    judged = hot_join(rows, known, key, "left").join(firsts, row_id, "left").withColumn("reason", reason)
 
     films = judged.where(F.col("reason").isNull()).select(
         row_id,

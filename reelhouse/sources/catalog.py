@@ -9,6 +9,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
+from reelhouse.operators.joins import hot_join, in_keys
+
 Tables = Mapping[str, DataFrame]
 
 
@@ -75,7 +77,7 @@ def visible_rows(df: DataFrame, policies: list[RowPolicy]) -> DataFrame:
         return df.where(F.lit(False))
     if len(policies) == 1 and policies[0].keys is not None:
         policy = policies[0]
-        return df.join(policy.keys.select(*policy.on).distinct(), list(policy.on), "left_semi")
+        return in_keys(df, policy.keys, list(policy.on))
 
     columns = df.columns
     allowed = []
@@ -85,7 +87,7 @@ def visible_rows(df: DataFrame, policies: list[RowPolicy]) -> DataFrame:
             continue
         mark = f"_policy_{number}"
         keys = policy.keys.select(*policy.on).distinct().withColumn(mark, F.lit(True))
-        df = df.join(keys, list(policy.on), "left")
+        df = hot_join(df, keys, list(policy.on), "left")
         allowed.append(F.coalesce(F.col(mark), F.lit(False)))
     return df.where(reduce(Column.__or__, allowed)).select(*columns)
 
