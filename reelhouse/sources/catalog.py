@@ -7,7 +7,6 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StructType
 
 from reelhouse.operators.joins import hot_join, in_keys
 
@@ -17,7 +16,7 @@ Tables = Mapping[str, DataFrame]
 class Catalog(Mapping[str, DataFrame]):
     """Parquet tables under one root, read with their declared schemas."""
 
-    def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, StructType], suffix: str = "") -> None:
+    def __init__(self, spark: SparkSession, root: str, schemas: Mapping[str, str], suffix: str = "") -> None:
         self._spark = spark
         self._root = root.rstrip("/")
         self._schemas = schemas
