@@ -318,16 +318,16 @@ def update_from(spark: SparkSession, root: str) -> DataFrame:
     FROM orders
     UNION ALL
     SELECT rental_id, customer_id, inventory_id, rental_date,
-           CASE WHEN customer_id % 2 = 0 THEN '2001-08-03 18:30' ELSE return_date END, staff_id
-    FROM opened"""
+           CASE WHEN c_acctbal > 0 THEN '2001-08-03 18:30' ELSE return_date END, staff_id
+    FROM opened JOIN customer ON c_custkey = customer_id"""
 )
 def open_and_return_rental(spark: SparkSession, root: str) -> DataFrame:
-    """Customers of one segment open a rental; those with an even key return their latest one."""
+    """Customers of one segment open a rental; those in credit return their latest one."""
     s = roles.trade(spark, root)
     t = roles.orders_as_rentals(s)
-    renters = s["customer"].where(F.col("c_mktsegment") == "MACHINERY").select(F.col("c_custkey").alias("customer_id"))
-    opened = change.open_rental(t, renters, dt.datetime(2001, 8, 2, 10, 0))
-    returning = renters.where(F.col("customer_id") % 2 == 0)
+    renters = s["customer"].where(F.col("c_mktsegment") == "MACHINERY").withColumnRenamed("c_custkey", "customer_id")
+    opened = change.open_rental(t, renters.select("customer_id"), dt.datetime(2001, 8, 2, 10, 0))
+    returning = renters.where(F.col("c_acctbal") > 0).select("customer_id")
     state = change.return_latest_rental({**t, "rental": opened.state}, returning, dt.datetime(2001, 8, 3, 18, 30)).state
     shown = "yyyy-MM-dd HH:mm"
     return state.select(
@@ -408,28 +408,30 @@ def delete_every_third_returning(spark: SparkSession, root: str) -> DataFrame:
 # --- rent and pay --------------------------------------------------------------------
 
 _RENT = """
+copies AS (
+    SELECT p_partkey, concat_ws(' ', p_name, p_brand, p_type, p_size) AS title,
+           CAST(p_partkey % 25 AS INTEGER) AS store_id, p_retailprice FROM part),
 requests AS (
-    SELECT DISTINCT o_custkey, p_name FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey
-    WHERE o_orderdate >= TIMESTAMP '2001-07-25'),
-copies AS (SELECT p_partkey, p_name, CAST(p_partkey % 25 AS INTEGER) AS store_id, p_retailprice FROM part),
-served AS (SELECT o_custkey, MIN(store_id) AS store_id FROM requests JOIN copies USING (p_name) GROUP BY o_custkey),
+    SELECT DISTINCT o_custkey, title
+    FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN copies ON p_partkey = l_partkey),
+served AS (SELECT o_custkey, MIN(store_id) AS store_id FROM requests JOIN copies USING (title) GROUP BY o_custkey),
 staff AS (SELECT s_nationkey AS store_id, MIN(s_suppkey) AS staff_id FROM supplier GROUP BY s_nationkey),
 rented AS (
     SELECT (SELECT MAX(o_orderkey) FROM orders) + row_number() OVER (ORDER BY p_partkey, o_custkey) AS rental_id,
            o_custkey AS customer_id, p_partkey AS inventory_id, staff_id, p_retailprice AS amount
-    FROM requests JOIN served USING (o_custkey) JOIN copies USING (p_name, store_id) LEFT JOIN staff USING (store_id))"""
+    FROM requests JOIN served USING (o_custkey) JOIN copies USING (title, store_id) LEFT JOIN staff USING (store_id))"""
 
 
 def _rent(spark: SparkSession, root: str) -> dict[str, change.Change]:
+    """Everybody asks once more for everything they ordered."""
     s = roles.trade(spark, root)
     t = roles.lines_with_customers(s)
-    requests = (
-        t["rental"]
-        .where(F.col("rental_date") >= F.lit(dt.datetime(2001, 7, 25)))
-        .join(t["inventory"], "inventory_id")
-        .join(t["film"], "film_id")
-        .select("customer_id", "title")
+    t["film"] = s["part"].select(
+        F.col("p_partkey").alias("film_id"),
+        F.concat_ws(" ", "p_name", "p_brand", "p_type", F.col("p_size").cast("string")).alias("title"),
+        roles.money("p_retailprice").alias("rental_rate"),
     )
+    requests = t["rental"].join(t["inventory"], "inventory_id").join(t["film"], "film_id").select("customer_id", "title")
     t["rental"] = roles.orders_as_rentals(s)["rental"]
     return change.rent_and_pay(t, requests, "2001-09-01", "2001-09-03", AS_OF)
 
