@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from reelhouse.functions.periods import Day, day_literal, within
 from reelhouse.operators.joins import hot_join, in_keys, not_in_keys
 from reelhouse.operators.numbering import assign_keys
+from reelhouse.sources.session import checkpointed
 
 Tables = Mapping[str, DataFrame]
 
@@ -209,7 +210,7 @@ def rent_and_pay(
     there. Payments at the film's rate follow for all their rentals of that day that
     are not paid yet. Both steps skip what is there already, so a repeat adds nothing.
     """
-    requests = requests.select("customer_id", "title").distinct()
+    requests = checkpointed(requests.select("customer_id", "title").distinct())
     titles = requests.select("title").distinct()
     films = t["film"].select("film_id", "title").join(titles, "title", "left_semi")
     copies = t["inventory"].select("inventory_id", "film_id", "store_id").join(films, "film_id")
@@ -224,13 +225,15 @@ def rent_and_pay(
         .join(copies.select("title", "store_id", "inventory_id"), ["title", "store_id"])
         .select("customer_id", "inventory_id", "store_id")
     )
-    to_rent = hot_join(to_rent, staff, ["store_id"], "left").select(
-        "customer_id",
-        "inventory_id",
-        rented_at.alias("rental_date"),
-        F.lit(returned_on).cast("date").cast("timestamp_ntz").alias("return_date"),
-        "staff_id",
-        day_literal(as_of).alias("last_update"),
+    to_rent = checkpointed(
+        hot_join(to_rent, staff, ["store_id"], "left").select(
+            "customer_id",
+            "inventory_id",
+            rented_at.alias("rental_date"),
+            F.lit(returned_on).cast("date").cast("timestamp_ntz").alias("return_date"),
+            "staff_id",
+            day_literal(as_of).alias("last_update"),
+        )
     )
     rentals = insert_if_absent(t["rental"], to_rent, ["inventory_id", "customer_id", "rental_date"], "rental_id")
 

@@ -12,6 +12,7 @@ from reelhouse.functions.periods import day_literal
 from reelhouse.operators.change import Change, like_table
 from reelhouse.operators.joins import hot_join
 from reelhouse.operators.numbering import assign_keys, number_rows
+from reelhouse.sources.session import checkpointed
 
 Tables = Mapping[str, DataFrame]
 
@@ -51,7 +52,7 @@ def add_movies(t: Tables, batch: DataFrame, as_of: dt.date | None = None, row_id
         .withColumn("_language", F.upper("language"))
         .withColumn("_title", F.upper("title"))
     )
-    rows = hot_join(rows, languages, ["_language"], "left")
+    rows = checkpointed(hot_join(rows, languages, ["_language"], "left"))
     key = ["_title", "language_id", "release_year"]
     existing = t["film"].select(F.upper("title").alias("_title"), "language_id", "release_year")
     known = existing.join(rows.select(*key).distinct(), key, "left_semi").distinct().withColumn("_known", F.lit(True))

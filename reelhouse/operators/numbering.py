@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from reelhouse.sources.session import ensure_checkpoint_dir
+from reelhouse.sources.session import checkpointed
 
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
 
@@ -21,19 +21,16 @@ def number_rows(df: DataFrame, order_by: list[str | Column], name: str = "row_nu
     The sorted rows are checkpointed: range bounds come from a sample, and the counts
     and the rows must see the same bounds even when an executor is lost in between.
     """
-    spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
     named = {c for c in order_by if isinstance(c, str)}
     rest = [F.col(f"`{c}`") for c in df.columns if c not in named]
     order = [F.col(c) if isinstance(c, str) else c for c in order_by] + rest
 
     place = F.monotonically_increasing_id()
-    placed = (
+    placed = checkpointed(
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.shiftright(place, _INDEX_BITS))
         .withColumn("_index", place.bitwiseAND(F.lit((1 << _INDEX_BITS) - 1)))
-        .checkpoint()
     )
     # One row per partition, so both the un-partitioned window and the broadcast are
     # bounded by the number of shuffle partitions and not by the data.

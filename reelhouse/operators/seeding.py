@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from reelhouse.operators.change import Change, like_table, not_yet_in
 from reelhouse.operators.joins import not_in_keys
 from reelhouse.operators.numbering import assign_keys, number_rows
-from reelhouse.sources.session import ensure_checkpoint_dir
+from reelhouse.sources.session import checkpointed
 
 
 def _filled(key: list[str]) -> Column:
@@ -35,16 +35,15 @@ def first_without_conflict(rows: DataFrame, keys: list[list[str]], row_id: str)
     """
     if len(keys) == 1:
         return _leading(rows, keys, row_id)
-    ensure_checkpoint_dir(rows.sparkSession)
-    open_rows = rows.select(row_id, *sorted({c for k in keys for c in k})).checkpoint()
+    open_rows = checkpointed(rows.select(row_id, *sorted({c for k in keys for c in k})))
     settled = []
     while not open_rows.isEmpty():
-        leading = _leading(open_rows, keys, row_id).checkpoint()
+        leading = checkpointed(_leading(open_rows, keys, row_id))
         settled.append(leading.select(row_id))
         left = not_in_keys(open_rows, leading, [row_id])
         for key in keys:
             left = not_in_keys(left, leading, key)
-        open_rows = left.checkpoint()
+        open_rows = checkpointed(left)
     if not settled:
         return rows.where(F.lit(False))
     return rows.join(reduce(DataFrame.unionByName, settled), row_id, "left_semi")
@@ -64,6 +63,8 @@ def insert_or_skip(
     """
     if row_id not in rows.columns:
         rows = number_rows(rows, list(rows.columns), name=row_id)
+    else:
+        rows = checkpointed(rows)
     for key in unique_keys:
         rows = not_yet_in(rows, target, key)
     if unique_keys:

@@ -271,7 +271,8 @@ _NEW_NAME = {"first_name": "Heavy", "last_name": "Renter", "email": "heavy.rente
 )
 def rename_heavy_customer(spark: SparkSession, root: str) -> DataFrame:
     t = roles.lines_with_customers(roles.trade(spark, root))
-    t["customer"] = t["customer"].drop("address_id").withColumn("last_update", F.lit("1995-01-01").cast("date"))
+    customer = t["customer"].drop("address_id").withColumn("last_update", F.lit("1995-01-01").cast("date"))
+    t = t.but(customer=customer)
     state = change.rename_heavy_customer(t, 43, 12, _NEW_NAME, AS_OF).state
     return state.withColumn("last_update", F.col("last_update").cast("string"))
 
@@ -328,7 +329,7 @@ def open_and_return_rental(spark: SparkSession, root: str) -> DataFrame:
     renters = s["customer"].where(F.col("c_mktsegment") == "MACHINERY").withColumnRenamed("c_custkey", "customer_id")
     opened = change.open_rental(t, renters.select("customer_id"), dt.datetime(2001, 8, 2, 10, 0))
     returning = renters.where(F.col("c_acctbal") > 0).select("customer_id")
-    state = change.return_latest_rental({**t, "rental": opened.state}, returning, dt.datetime(2001, 8, 3, 18, 30)).state
+    state = change.return_latest_rental(t.but(rental=opened.state), returning, dt.datetime(2001, 8, 3, 18, 30)).state
     shown = "yyyy-MM-dd HH:mm"
     return state.select(
         "rental_id", "customer_id", "inventory_id", "staff_id",
@@ -341,12 +342,13 @@ def open_and_return_rental(spark: SparkSession, root: str) -> DataFrame:
 _LEAVING = "SELECT c_custkey FROM customer WHERE c_mktsegment = 'HOUSEHOLD'"
 
 
-def _remove(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], DataFrame, dict[str, change.Change]]:
+def _remove(spark: SparkSession, root: str) -> tuple[roles.Roles, DataFrame, dict[str, change.Change]]:
     s = roles.trade(spark, root)
     t = roles.orders_as_rentals(s)
-    t["payment"] = s["lineitem"].select(
+    payment = s["lineitem"].select(
         F.col("l_orderkey").alias("rental_id"), F.col("l_linenumber").alias("line"), F.col("l_extendedprice").alias("amount")
     )
+    t = t.but(payment=payment)
     leaving = s["customer"].where(F.col("c_mktsegment") == "HOUSEHOLD").select(F.col("c_custkey").alias("customer_id"))
     return t, leaving, change.remove_activity(t, leaving)
 
@@ -426,13 +428,14 @@ def _rent(spark: SparkSession, root: str) -> dict[str, change.Change]:
     """Everybody asks once more for everything they ordered."""
     s = roles.trade(spark, root)
     t = roles.lines_with_customers(s)
-    t["film"] = s["part"].select(
+    film = s["part"].select(
         F.col("p_partkey").alias("film_id"),
         F.concat_ws(" ", "p_name", "p_brand", "p_type", F.col("p_size").cast("string")).alias("title"),
         roles.money("p_retailprice").alias("rental_rate"),
     )
+    t = t.but(film=film)
     requests = t["rental"].join(t["inventory"], "inventory_id").join(t["film"], "film_id").select("customer_id", "title")
-    t["rental"] = roles.orders_as_rentals(s)["rental"]
+    t = t.but(rental=roles.orders_as_rentals(s)["rental"])
     return change.rent_and_pay(t, requests, "2001-09-01", "2001-09-03", AS_OF)
 
 

@@ -65,9 +65,10 @@ def store_revenue_since(spark: SparkSession, root: str) -> DataFrame:
 def store_revenue_per_address(spark: SparkSession, root: str) -> DataFrame:
     s = roles.trade(spark, root)
     t = roles.orders_as_rentals(s)
-    t["address"] = s["nation"].join(s["region"], F.col("n_regionkey") == F.col("r_regionkey")).select(
+    address = s["nation"].join(s["region"], F.col("n_regionkey") == F.col("r_regionkey")).select(
         F.col("n_nationkey").alias("address_id"), F.col("r_name").alias("address"), F.lit(None).cast("string").alias("address2")
     )
+    t = t.but(address=address)
     return doubles(reports.store_revenue_since(t, "1997-04-01", per_address=True), "revenue")
 
 
@@ -116,8 +117,8 @@ def category_counts_by_year(spark: SparkSession, root: str) -> DataFrame:
 def category_counts_all_years(spark: SparkSession, root: str) -> DataFrame:
     s = roles.trade(spark, root)
     t = roles.lines_as_rentals(s)
-    t["film_category"] = s["part"].select(F.col("p_partkey").alias("film_id"), F.col("p_brand").alias("category_id"))
-    t["category"] = s["part"].select(F.col("p_brand").alias("category_id")).distinct().withColumn("name", F.col("category_id"))
+    listed = s["part"].select(F.col("p_partkey").alias("film_id"), F.col("p_brand").alias("category_id"))
+    t = t.but(film_category=listed, category=roles.named_categories(s["part"], "p_brand"))
     return reports.category_counts_by_year(t, ["Brand#1", "Brand#2"], all_years=True)
 
 
@@ -158,9 +159,10 @@ def top_staff_strict_year(spark: SparkSession, root: str) -> DataFrame:
 def top_staff_all_payments(spark: SparkSession, root: str) -> DataFrame:
     s = roles.trade(spark, root)
     t = roles.orders_as_rentals(s)
-    t["rental"] = s["orders"].where(F.col("o_orderstatus") == "F").select(
+    finished = s["orders"].where(F.col("o_orderstatus") == "F").select(
         F.col("o_orderkey").alias("rental_id"), F.col("o_custkey").alias("inventory_id")
     )
+    t = t.but(rental=finished)
     return doubles(reports.top_staff_by_revenue(t, 1997, all_payments=True), "total_revenue")
 
 
@@ -185,9 +187,10 @@ def most_rented_rated_films(spark: SparkSession, root: str) -> DataFrame:
 def most_rented_including_unrented(spark: SparkSession, root: str) -> DataFrame:
     s = roles.trade(spark, root)
     t = roles.lines_as_rentals(s)
-    t["rental"] = s["lineitem"].where(F.col("l_shipdate") >= F.lit(dt.datetime(2001, 10, 1))).select(
+    late = s["lineitem"].where(F.col("l_shipdate") >= F.lit(dt.datetime(2001, 10, 1))).select(
         F.col("l_orderkey").alias("rental_id"), F.col("l_partkey").alias("inventory_id")
     )
+    t = t.but(rental=late)
     return reports.most_rented_films(t, 500, include_unrented=True)
 
 
@@ -210,7 +213,7 @@ def actor_inactivity(spark: SparkSession, root: str) -> DataFrame:
 )
 def actor_inactivity_including_unreleased(spark: SparkSession, root: str) -> DataFrame:
     t = roles.customers_as_actors(roles.trade(spark, root))
-    t["film"] = t["film"].where(F.col("release_year") >= 2001)
+    t = t.but(film=t["film"].where(F.col("release_year") >= 2001))
     return reports.actor_inactivity(t, 2025, include_unreleased=True)
 
 

@@ -2,16 +2,16 @@
 
 from reelhouse.sources.catalog import Catalog, ColumnGrant, RestrictedTables, RowPolicy
 from reelhouse.sources.publish import create_table_as, drop_table, publish, truncate_table
-from reelhouse.sources.session import ensure_checkpoint_dir, local_session
+from reelhouse.sources.session import checkpointed, local_session
 
 __all__ = [
     "Catalog",
     "ColumnGrant",
     "RestrictedTables",
     "RowPolicy",
+    "checkpointed",
     "create_table_as",
     "drop_table",
-    "ensure_checkpoint_dir",
     "local_session",
     "publish",
     "truncate_table",

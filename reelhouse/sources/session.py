@@ -4,26 +4,31 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", app: str = "reelhouse", memory: str = "8g") -> SparkSession:
+def local_session(
+    cores: int | str = "*", app: str = "reelhouse", memory: str = "8g", warehouse: str | None = None
+) -> SparkSession:
     """A session for tests and benchmarks on one machine.
 
     A cluster brings its own session; nothing in the operators depends on this one.
     """
     partitions = "8" if cores == "*" else str(cores)
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .getOrCreate()
     )
+    if warehouse is not None:
+        builder = builder.config("spark.sql.warehouse.dir", warehouse)
+    return builder.getOrCreate()
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -42,3 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
             raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         folder = tempfile.mkdtemp(prefix="reelhouse-checkpoint-")
     context.setCheckpointDir(folder)
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """``df`` computed once and kept in the checkpoint folder.
+
+    For a batch that one change reads several times: it is not computed again each
+    time, and every reader sees the same rows even after executors were lost.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()
