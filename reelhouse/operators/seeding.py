@@ -61,6 +61,8 @@ def insert_or_skip(
     Without a ``row_id`` column the batch is taken in order of its values. New ids are
     given in that order after the largest one. With no unique key everything goes in.
     """
+    for column in {c for key in unique_keys for c in key if c not in rows.columns}:
+        rows = rows.withColumn(column, F.lit(None).cast(target.schema[column].dataType))
     if row_id not in rows.columns:
         rows = number_rows(rows, list(rows.columns), name=row_id)
     else:
