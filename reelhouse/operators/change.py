@@ -48,7 +48,7 @@ def not_yet_in(rows: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     The target is first reduced to the keys of the batch, so that a small batch costs a
     scan of the target's key columns and no shuffle of them.
     """
-    present = target.select(*key).join(rows.select(*key).distinct(), key, "left_semi")
+    present = in_keys(target.select(*key), rows, key)
     return not_in_keys(rows, present, key)
 
 
@@ -159,11 +159,9 @@ def open_rental(t: Tables, customers: DataFrame, rented_at: dt.datetime) -> Chan
 def return_latest_rental(t: Tables, customers: DataFrame, returned_at: dt.datetime) -> Change:
     """Set the return date of each customer's rental with the highest id."""
     latest = (
-        t["rental"]
-        .select("customer_id", "rental_id")
+        in_keys(t["rental"].select("customer_id", "rental_id"), customers, ["customer_id"])
         .groupBy("customer_id")
         .agg(F.max("rental_id").alias("rental_id"))
-        .join(customers.select("customer_id"), "customer_id", "left_semi")
         .select("rental_id", F.lit(returned_at).alias("return_date"))
     )
     return update_from(t["rental"], latest, ["rental_id"])
@@ -193,7 +191,8 @@ def activity_counts(t: Tables, customers: DataFrame) -> DataFrame:
     """Rentals and payments each of the customers has left."""
     counted = customers.select("customer_id").distinct()
     for table, name in (("rental", "rentals"), ("payment", "payments")):
-        rows = t[table].groupBy("customer_id").agg(F.count(F.lit(1)).alias(name))
+        rows = in_keys(t[table].select("customer_id"), customers, ["customer_id"])
+        rows = rows.groupBy("customer_id").agg(F.count(F.lit(1)).alias(name))
         counted = counted.join(rows, "customer_id", "left")
     return counted.select(
         "customer_id", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("rentals", "payments")]

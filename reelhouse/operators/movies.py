@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reelhouse.functions.periods import day_literal
 from reelhouse.operators.change import Change, like_table
-from reelhouse.operators.joins import hot_join
+from reelhouse.operators.joins import hot_join, in_keys
 from reelhouse.operators.numbering import assign_keys, number_rows
 from reelhouse.sources.session import checkpointed
 
@@ -55,7 +55,7 @@ def add_movies(t: Tables, batch: DataFrame, as_of: dt.date | None = None, row_id
     rows = checkpointed(hot_join(rows, languages, ["_language"], "left"))
     key = ["_title", "language_id", "release_year"]
     existing = t["film"].select(F.upper("title").alias("_title"), "language_id", "release_year")
-    known = existing.join(rows.select(*key).distinct(), key, "left_semi").distinct().withColumn("_known", F.lit(True))
+    known = in_keys(existing, rows, key).distinct().withColumn("_known", F.lit(True))
     # The first row of each key is marked by its own id: joining on the id and not on
     # the key keeps a title that fills a third of the batch from meeting in one task.
     firsts = rows.groupBy(*key).agg(F.min(row_id).alias(row_id)).select(row_id, F.lit(True).alias("_first"))

@@ -1 +1 @@
-"""Role maps, rules and the registered queries."""
+"""Role maps, rules, views and the registered queries."""

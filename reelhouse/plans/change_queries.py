@@ -666,6 +666,27 @@ def row_security_flags(spark: SparkSession, root: str) -> DataFrame:
     return access.row_security_flags(named, "public")
 
 
+@query(
+    """
+    SELECT 'public' AS schemaname, 'orders' AS tablename, 'customer_' || c_custkey AS policyname, lower(c_mktsegment) AS roles,
+           'SELECT' AS cmd, '(o_custkey = ' || c_custkey || ')' AS qual, CAST(NULL AS VARCHAR) AS with_check
+    FROM customer"""
+)
+def row_policies(spark: SparkSession, root: str) -> DataFrame:
+    """One policy per customer on their own orders."""
+    key = F.col("c_custkey").cast("string")
+    policies = roles.trade(spark, root)["customer"].select(
+        F.lit("public").alias("schemaname"),
+        F.lit("orders").alias("tablename"),
+        F.concat(F.lit("customer_"), key).alias("policyname"),
+        F.lower("c_mktsegment").alias("roles"),
+        F.lit("SELECT").alias("cmd"),
+        F.concat(F.lit("(o_custkey = "), key, F.lit(")")).alias("qual"),
+        F.lit(None).cast("string").alias("with_check"),
+    )
+    return access.row_policies(policies, "public")
+
+
 @query()
 def table_footprints(spark: SparkSession, root: str) -> DataFrame:
     return footprint.footprints(roles.trade(spark, root))

@@ -47,6 +47,17 @@ def test_insert_into_empty_table_starts_at_one(spark, actors):
     assert sorted(r[:2] for r in values(done.state)) == [(1, "A"), (2, "B")]
 
 
+def test_insert_films_with_arrays_and_nulls(spark):
+    films = table(spark, "film", "film_id title release_year", [(41, "Heat", 1995)])
+    batch = spark.createDataFrame(
+        [("Heat", 1995, 7, ["Trailers"]), ("Heat", 2010, 7, ["Behind the Scenes"]), ("Casino", 1995, 14, ["Trailers", "Deleted Scenes"])],
+        "title STRING, release_year INT, rental_duration SMALLINT, special_features ARRAY<STRING>",
+    ).withColumn("rental_rate", F.lit("4.99").cast("decimal(4,2)"))
+    done = change.insert_if_absent(films, batch, ["title", "release_year"], "film_id")
+    got = [(r["film_id"], r["title"], r["release_year"], r["special_features"], r["original_language_id"]) for r in done.returning.collect()]
+    assert sorted(got) == [(42, "Casino", 1995, ["Trailers", "Deleted Scenes"], None), (43, "Heat", 2010, ["Behind the Scenes"], None)]
+
+
 @pytest.fixture(scope="module")
 def shop(spark):
     return {

@@ -3,6 +3,7 @@ from __future__ import annotations
 import pytest
 
 from reelhouse.operators import reports
+from reelhouse.plans.views import create_views
 from rental import table, values
 
 
@@ -179,3 +180,9 @@ def test_rewards_report_meets_both_thresholds_exactly(shop):
     assert values(reports.rewards_report(shop, 2, 5, "2017-06-01")) == [(2, "C", "Two", "2@x", 2, 5.0)]
     assert values(reports.rewards_report(shop, 2, 5.01, "2017-06-01")) == []
     assert values(reports.rewards_report(shop, 1, 50, "2017-05-31")) == [(3, "C", "Three", "3@x", 1, 50.0)]
+
+
+def test_views(spark, shop):
+    create_views(shop)
+    assert spark.sql("SELECT category, total_revenue FROM sales_revenue_by_category_qtr").collect() == []
+    assert spark.table("customer_public_info").columns == ["customer_id", "first_name", "last_name"]
