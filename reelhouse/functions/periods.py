@@ -19,6 +19,11 @@ def day_literal(day: Day) -> Column:
     return F.current_date() if day is None else F.lit(day).cast("date")
 
 
+def moment(at: dt.datetime | str) -> Column:
+    """A point in time as a constant without a zone; a bare datetime would be read in the driver's zone."""
+    return F.lit(str(at)).cast("timestamp_ntz")
+
+
 def quarter_of(day: Day = None) -> tuple[Column, Column]:
     start = F.trunc(day_literal(day), "quarter")
     return start, F.add_months(start, 3)

@@ -14,7 +14,7 @@ from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from reelhouse.functions.periods import Day, day_literal, within
+from reelhouse.functions.periods import Day, day_literal, moment, within
 from reelhouse.operators.joins import hot_join, in_keys, not_in_keys
 from reelhouse.operators.numbering import assign_keys
 from reelhouse.sources.session import checkpointed
@@ -142,13 +142,13 @@ def rename_heavy_customer(
     return update_from(t["customer"], changes, ["customer_id"])
 
 
-def open_rental(t: Tables, customers: DataFrame, rented_at: dt.datetime) -> Change:
+def open_rental(t: Tables, customers: DataFrame, rented_at: dt.datetime | str) -> Change:
     """Open one rental for each customer with the lowest copy and the lowest staff member."""
     copy = t["inventory"].agg(F.min("inventory_id")).scalar()
     staff = t["staff"].agg(F.min("staff_id")).scalar()
     rows = customers.select(
         "customer_id",
-        F.lit(rented_at).alias("rental_date"),
+        moment(rented_at).alias("rental_date"),
         copy.alias("inventory_id"),
         staff.alias("staff_id"),
     )
@@ -156,13 +156,13 @@ def open_rental(t: Tables, customers: DataFrame, rented_at: dt.datetime) -> Chan
     return Change(t["rental"].unionByName(new), new)
 
 
-def return_latest_rental(t: Tables, customers: DataFrame, returned_at: dt.datetime) -> Change:
+def return_latest_rental(t: Tables, customers: DataFrame, returned_at: dt.datetime | str) -> Change:
     """Set the return date of each customer's rental with the highest id."""
     latest = (
         in_keys(t["rental"].select("customer_id", "rental_id"), customers, ["customer_id"])
         .groupBy("customer_id")
         .agg(F.max("rental_id").alias("rental_id"))
-        .select("rental_id", F.lit(returned_at).alias("return_date"))
+        .select("rental_id", moment(returned_at).alias("return_date"))
     )
     return update_from(t["rental"], latest, ["rental_id"])
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelhouse.operators import access, change, footprint, integrity, movies, numbering, seeding
@@ -17,10 +15,6 @@ query = registry.query
 AS_OF = "2001-08-02"
 
 
-def _day(column: str):
-    return F.date_format(column, "yyyy-MM-dd").alias(column)
-
-
 # --- inserts -------------------------------------------------------------------------
 
 _NAMES = """
@@ -327,9 +321,9 @@ def open_and_return_rental(spark: SparkSession, root: str) -> DataFrame:
     s = roles.trade(spark, root)
     t = roles.orders_as_rentals(s)
     renters = s["customer"].where(F.col("c_mktsegment") == "MACHINERY").withColumnRenamed("c_custkey", "customer_id")
-    opened = change.open_rental(t, renters.select("customer_id"), dt.datetime(2001, 8, 2, 10, 0))
+    opened = change.open_rental(t, renters.select("customer_id"), "2001-08-02 10:00")
     returning = renters.where(F.col("c_acctbal") > 0).select("customer_id")
-    state = change.return_latest_rental(t.but(rental=opened.state), returning, dt.datetime(2001, 8, 3, 18, 30)).state
+    state = change.return_latest_rental(t.but(rental=opened.state), returning, "2001-08-03 18:30").state
     shown = "yyyy-MM-dd HH:mm"
     return state.select(
         "rental_id", "customer_id", "inventory_id", "staff_id",

@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from reelhouse.functions import moment
 from reelhouse.operators import lists, reports, stock
 from reelhouse.plans import trade_roles as roles
 from reelhouse.plans.registry import Registry, doubles
@@ -187,7 +186,7 @@ def most_rented_rated_films(spark: SparkSession, root: str) -> DataFrame:
 def most_rented_including_unrented(spark: SparkSession, root: str) -> DataFrame:
     s = roles.trade(spark, root)
     t = roles.lines_as_rentals(s)
-    late = s["lineitem"].where(F.col("l_shipdate") >= F.lit(dt.datetime(2001, 10, 1))).select(
+    late = s["lineitem"].where(F.col("l_shipdate") >= moment("2001-10-01")).select(
         F.col("l_orderkey").alias("rental_id"), F.col("l_partkey").alias("inventory_id")
     )
     t = t.but(rental=late)

@@ -7,18 +7,17 @@ Money is stored as doubles there and becomes ``decimal(18,2)``, which adds up ex
 
 from __future__ import annotations
 
-import datetime as dt
-
 from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from reelhouse.functions import moment
 from reelhouse.sources.catalog import Catalog
 from reelhouse.sources.schemas import TRADE
 
 
 FIRST_YEAR = 1950  # a part's size becomes a film's release year after this one
-OPEN_SINCE = dt.datetime(2001, 7, 1)  # lines not billed and shipped since then count as open rentals
+OPEN_SINCE = "2001-07-01"  # lines not billed and shipped since then count as open rentals
 TYPE_RATINGS = {"ECONOMY": "G", "SMALL": "PG", "MEDIUM": "PG-13", "STANDARD": "R", "LARGE": "NC-17"}
 
 
@@ -154,7 +153,7 @@ def lines_as_rentals(s: Catalog) -> Roles:
         )
 
     def rental() -> DataFrame:
-        still_open = (F.col("l_linestatus") == "O") & (F.col("l_shipdate") >= F.lit(OPEN_SINCE))
+        still_open = (F.col("l_linestatus") == "O") & (F.col("l_shipdate") >= moment(OPEN_SINCE))
         return s["lineitem"].select(
             renamed("l_orderkey", "rental_id"),
             renamed("l_partkey", "inventory_id"),
