@@ -100,8 +100,8 @@ def category_counts_by_year(
 ) -> DataFrame:
     """Films per release year, one ``num_<category>`` column for each category named.
 
-    ``all_years`` keeps years in which none of the categories appears, and then counts
-    a film once per category however often it is listed in it.
+    ``all_years`` keeps years in which none of the categories appears, counts a film once
+    per category however often it is listed in it, and counts none of those without a year.
     """
     tests = {c: _name_is(F.col("name"), c, any_case) for c in categories}
     wanted = F.lit(False)
@@ -119,7 +119,7 @@ def category_counts_by_year(
     for i, category in enumerate(categories):
         n = F.col(f"n_{i}")
         if all_years:
-            n = F.when(n > 0, 1).otherwise(0)
+            n = F.when((n > 0) & F.col("release_year").isNotNull(), 1).otherwise(0)
         counts.append(F.sum(n).alias(f"num_{category.lower()}"))
     return films.groupBy("release_year").agg(*counts).orderBy(F.col("release_year").desc_nulls_first())
 

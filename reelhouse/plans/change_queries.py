@@ -565,6 +565,7 @@ def _as_client(spark: SparkSession, root: str) -> RestrictedTables:
         ColumnGrant("customer", CLIENT, ("c_custkey", "c_name")),
         ColumnGrant("orders", CLIENT, ("o_orderkey", "o_custkey", "o_orderstatus")),
         ColumnGrant("lineitem", CLIENT, ("l_orderkey", "l_linenumber", "l_extendedprice")),
+        ColumnGrant("supplier", CLIENT),
     ]
     return RestrictedTables(s, CLIENT, policies, grants, {"customer", "orders", "lineitem", "supplier"})
 

@@ -63,11 +63,11 @@ class RowPolicy:
 
 @dataclass(frozen=True)
 class ColumnGrant:
-    """Columns of ``table`` that ``principal`` may read."""
+    """Columns of ``table`` that ``principal`` may read, all of them if none are named."""
 
     table: str
     principal: str
-    columns: tuple[str, ...]
+    columns: tuple[str, ...] | None = None
 
 
 def visible_rows(df: DataFrame, policies: list[RowPolicy]) -> DataFrame:
@@ -95,9 +95,9 @@ class RestrictedTables(Mapping[str, DataFrame]):
     """The tables as one principal sees them.
 
     ``secured`` names the tables under row security: without a policy for the
-    principal such a table shows no rows, and other tables are not filtered. When the
-    principal has column grants on a table only those columns are there; asking for
-    another one raises.
+    principal such a table shows no rows, and other tables are not filtered. With
+    ``grants``, a table or column not granted to the principal raises when it is asked
+    for; without them every column is open.
     """
 
     def __init__(
@@ -105,13 +105,13 @@ class RestrictedTables(Mapping[str, DataFrame]):
         tables: Tables,
         principal: str,
         policies: list[RowPolicy] = (),
-        grants: list[ColumnGrant] = (),
+        grants: list[ColumnGrant] | None = None,
         secured: frozenset[str] | set[str] = frozenset(),
     ) -> None:
         self._tables = tables
         self._principal = principal
         self._policies = [p for p in policies if p.principal == principal]
-        self._grants = [g for g in grants if g.principal == principal]
+        self._grants = None if grants is None else [g for g in grants if g.principal == principal]
         self._secured = set(secured)
 
     def __getitem__(self, name: str) -> DataFrame:
@@ -125,10 +125,12 @@ class RestrictedTables(Mapping[str, DataFrame]):
 
     def allowed_columns(self, name: str) -> list[str]:
         columns = self._tables[name].columns
-        granted = [set(g.columns) for g in self._grants if g.table == name]
-        if not granted:
+        if self._grants is None:
             return columns
-        return [c for c in columns if c in set.union(*granted)]
+        granted = {c for g in self._grants if g.table == name for c in (g.columns or columns)}
+        if not granted:
+            raise PermissionError(f"{self._principal} may not read {name}")
+        return [c for c in columns if c in granted]
 
     def read(self, name: str, columns: list[str] | None = None) -> DataFrame:
         allowed = self.allowed_columns(name)

@@ -9,7 +9,7 @@ from reelhouse.operators import access
 from reelhouse.sources import Catalog, ColumnGrant, RestrictedTables, RowPolicy
 from rental import values
 
-CLIENT = "client_patricia_johnson"
+CLIENT = "client_two"
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +35,7 @@ def client(tables):
         RowPolicy("payment", "somebody_else", condition=F.lit(True)),
     ]
     grants = [ColumnGrant("customer", CLIENT, ("customer_id",)), ColumnGrant("customer", CLIENT, ("first_name",))]
+    grants += [ColumnGrant(name, CLIENT) for name in ("rental", "sale", "payment")]
     return RestrictedTables(tables, CLIENT, policies, grants, {"rental", "sale", "payment"})
 
 
@@ -65,6 +66,14 @@ def test_columns(client):
         client.read("customer", ["email"])
 
 
+def test_a_table_without_a_grant_is_denied(tables):
+    grants = [ColumnGrant("customer", "somebody_else"), ColumnGrant("sale", CLIENT)]
+    client = RestrictedTables(tables, CLIENT, grants=grants)
+    assert client["sale"].columns == ["sale_id", "buyer_id"]
+    with pytest.raises(PermissionError, match="may not read customer"):
+        client["customer"]
+
+
 def test_a_policy_needs_one_kind_of_predicate(tables):
     with pytest.raises(ValueError):
         RowPolicy("payment", CLIENT)

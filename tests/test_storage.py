@@ -50,6 +50,23 @@ def test_publish_switches_to_the_new_state(spark, tmp_path):
     drop_table(spark, name)
 
 
+def test_clustered_files_do_not_overlap(spark, tmp_path):
+    name = "clustered_days"
+    drop_table(spark, name)
+    days = spark.range(4000).select(F.expr("IF(id % 3 = 0, 7, pmod(xxhash64(id), 100))").alias("day"), "id")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        publish(spark, {name: days}, str(tmp_path), "first", cluster_by={name: ["day"]})
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    files = spark.table(name).groupBy(F.input_file_name().alias("file"))
+    ranges = sorted(r[1:] for r in values(files.agg(F.min("day"), F.max("day"), F.count(F.lit(1)))))
+    assert len(ranges) > 4 and sum(r[2] for r in ranges) == 4000
+    assert all(before[1] <= after[0] for before, after in zip(ranges, ranges[1:]))
+    assert max(r[2] for r in ranges) < 1000
+    drop_table(spark, name)
+
+
 def test_truncate(spark, tmp_path):
     name = "table_to_empty"
     drop_table(spark, name)
