@@ -42,6 +42,11 @@ def not_null(*columns: str) -> dict[str, Column]:
     return {f"{c} not null": F.col(c).isNotNull() for c in columns}
 
 
+def at_most(lengths: Mapping[str, int]) -> dict[str, Column]:
+    """Texts no longer than so many characters."""
+    return {f"{c} at most {n} characters": F.length(c) <= n for c, n in lengths.items()}
+
+
 def after(column: str, floor: str) -> Column:
     """A date later than ``floor``."""
     return F.col(column) > F.lit(floor).cast("date")
@@ -126,11 +131,19 @@ def add_record_date(t: Tables, as_of: Day = None, name: str = "record_ts") -> di
 
 
 def scalar_lookup(
-    rows: DataFrame, parent: DataFrame, match: str, against: str | Column, value: str, name: str, any_case: bool = True
+    rows: DataFrame,
+    parent: DataFrame,
+    match: str,
+    against: str | Column,
+    value: str,
+    name: str,
+    any_case: bool = True,
+    required: bool = False,
 ) -> DataFrame:
     """Replace the text in ``match`` by the ``value`` of the parent row it names, as column ``name``.
 
-    No such row gives null; more than one is an error, as for a scalar subquery.
+    No such row gives null, which is an error if the column is ``required``; more than
+    one row is always an error, as for a scalar subquery.
     """
     against = F.col(against) if isinstance(against, str) else against
     fold = F.upper if any_case else (lambda c: c)
@@ -138,7 +151,13 @@ def scalar_lookup(
         F.count(F.lit(1)).alias("_n"), F.min(value).alias("_value")
     )
     joined = hot_join(rows.withColumn("_match", fold(F.col(match))), found, ["_match"], "left")
-    many = F.raise_error(F.concat(F.lit(f"more than one {value} for "), F.col("_match")))
-    resolved = F.when(F.col("_n") > 1, many.cast(parent.schema[value].dataType)).otherwise(F.col("_value"))
+    kind = parent.schema[value].dataType
+    named = F.coalesce(F.col("_match"), F.lit("null"))
+    many = F.raise_error(F.concat(F.lit(f"more than one {value} for "), named)).cast(kind)
+    missing = F.raise_error(F.concat(F.lit(f"no {value} for "), named)).cast(kind)
+    resolved = F.when(F.col("_n") > 1, many)
+    if required:
+        resolved = resolved.when(F.col("_value").isNull(), missing)
+    resolved = resolved.otherwise(F.col("_value"))
     drop = {"_match", "_n", "_value", match} - {name}
     return joined.withColumn(name, resolved).drop(*drop)

@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import replace
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelhouse.operators.change import Change
-from reelhouse.operators.integrity import ForeignKey, Rules, Unique, after, not_null, scalar_lookup
+from reelhouse.operators.integrity import ForeignKey, Rules, Unique, after, at_most, not_null, scalar_lookup
 from reelhouse.operators.seeding import insert_or_skip
 from reelhouse.sources.schemas import AUCTION
 
-# The earliest date allowed and the ways to pay.
+# The earliest date allowed, the ways to pay, and the longest texts.
 DATE_FLOOR = "2000-01-01"
 PAYMENT_METHODS = ("CASH", "CARD", "TRANSFER")
+TEXT_LENGTHS = {
+    "country": {"country_name": 100},
+    "city": {"city_name": 100},
+    "category": {"category_name": 100},
+    "address": {"street": 150, "postal_code": 20},
+    "location": {"location_name": 100},
+    "buyer": {"buyer_name": 100, "contact_number": 30, "email": 120},
+    "seller": {"seller_name": 100, "contact_number": 30, "email": 120},
+    "employee": {"name": 100, "role": 50},
+    "item": {"item_name": 150},
+    "lot": {"lot_number": 20},
+    "payment": {"payment_method": 50},
+}
 
 
 def _at_least_zero(column: str) -> Column:
@@ -40,6 +54,13 @@ def _rules(
 
 
 def rules() -> dict[str, Rules]:
+    """The rules of every table, text lengths included."""
+    return {
+        name: replace(r, checks={**r.checks, **at_most(TEXT_LENGTHS.get(name, {}))}) for name, r in _table_rules().items()
+    }
+
+
+def _table_rules() -> dict[str, Rules]:
     return {
         "country": _rules(["country_name"], ("country_id",), unique={"name": ("country_name",)}),
         "city": _rules(
@@ -281,13 +302,16 @@ def _parent(t: Mapping[str, DataFrame], name: str) -> tuple[DataFrame, str]:
 
 
 def seed_step(t: Mapping[str, DataFrame], step: SeedStep, unique_keys: list[list[str]]) -> Change:
+    """Insert the rows of one step; a text that names no parent row is an error where null is not allowed."""
+    required = _table_rules()[step.table].checks
     target = t[step.table]
     numbered = [(i, *row) for i, row in enumerate(step.rows)]
     rows = target.sparkSession.createDataFrame(numbered, ["row_id", *step.columns.split(", ")])
     for lookup in step.lookups:
         parent, value = _parent(t, lookup.parent)
         against = F.col(lookup.against).cast("string")
-        rows = scalar_lookup(rows, parent, lookup.column, against, value, lookup.column)
+        needed = f"{lookup.column} not null" in required
+        rows = scalar_lookup(rows, parent, lookup.column, against, value, lookup.column, required=needed)
     id_column = target.columns[0]
     return insert_or_skip(target, rows, unique_keys, None if id_column in rows.columns else id_column)
 
@@ -295,7 +319,7 @@ def seed_step(t: Mapping[str, DataFrame], step: SeedStep, unique_keys: list[list
 def seed(t: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
     """The tables with the seed rows in, skipping those a unique key already holds."""
     state = dict(t)
-    known = rules()
+    known = _table_rules()
     for step in SEED:
         columns = state[step.table].columns
         keys = [list(k.columns) for k in known[step.table].keys.values()]
