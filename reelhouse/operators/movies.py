@@ -78,7 +78,7 @@ def add_movies(t: Tables, batch: DataFrame, as_of: dt.date | None = None, row_id
         F.lit(RENTAL_RATE).cast("decimal(4,2)").alias("rental_rate"),
         F.lit(REPLACEMENT_COST).cast("decimal(5,2)").alias("replacement_cost"),
     )
-    keyed = assign_keys(films, t["film"], "film_id", [row_id])
+    keyed = assign_keys(films, t["film"], "film_id", [row_id], unique=True)
     rejected = judged.where(F.col("reason").isNotNull()).select(row_id, "title", "release_year", "language", "reason")
     return MovieBatch(
         t["film"].unionByName(like_table(keyed, t["film"])),

@@ -5,25 +5,29 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
+from reelhouse.functions.order import tie_breakers
 from reelhouse.sources.session import checkpointed
 
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
 
 
-def number_rows(df: DataFrame, order_by: list[str | Column], name: str = "row_num", start: int = 1) -> DataFrame:
+def number_rows(
+    df: DataFrame, order_by: list[str | Column], name: str = "row_num", start: int = 1, unique: bool = False
+) -> DataFrame:
     """Number the rows ``start, start + 1, …`` in the given order.
 
     The rows are range-partitioned and sorted, and each gets its place in its own
     partition plus the row count of the partitions before it. The remaining columns
     break ties and take part in the ranges, so many equal leading values do not end up
-    in one partition and equal input gives equal numbers.
+    in one partition and equal input gives equal numbers. Where the order is ``unique``
+    by itself they are left out, which keeps the sample and the sort narrow.
 
     The sorted rows are checkpointed: range bounds come from a sample, and the counts
     and the rows must see the same bounds even when an executor is lost in between.
     """
-    named = {c for c in order_by if isinstance(c, str)}
-    rest = [F.col(f"`{c}`") for c in df.columns if c not in named]
-    order = [F.col(c) if isinstance(c, str) else c for c in order_by] + rest
+    order = [F.col(c) if isinstance(c, str) else c for c in order_by]
+    if not unique:
+        order += tie_breakers(df, order_by)
 
     place = F.monotonically_increasing_id()
     placed = checkpointed(
@@ -46,9 +50,11 @@ def number_rows(df: DataFrame, order_by: list[str | Column], name: str = "row_nu
     )
 
 
-def assign_keys(rows: DataFrame, target: DataFrame, key: str, order_by: list[str | Column]) -> DataFrame:
+def assign_keys(
+    rows: DataFrame, target: DataFrame, key: str, order_by: list[str | Column], unique: bool = False
+) -> DataFrame:
     """Give ``rows`` surrogate keys that continue after the largest one in ``target``."""
     last = target.agg(F.coalesce(F.max(key), F.lit(0)).alias("last")).scalar()
-    numbered = number_rows(rows, order_by, name="_place")
+    numbered = number_rows(rows, order_by, name="_place", unique=unique)
     key_type = target.schema[key].dataType
     return numbered.withColumn(key, (last + F.col("_place")).cast(key_type)).drop("_place")

@@ -72,6 +72,6 @@ def insert_or_skip(
     if unique_keys:
         rows = first_without_conflict(rows, unique_keys, row_id)
     if id_column is not None:
-        rows = assign_keys(rows, target, id_column, [row_id])
+        rows = assign_keys(rows, target, id_column, [row_id], unique=True)
     new = like_table(rows, target)
     return Change(target.unionByName(new), new)

@@ -104,7 +104,7 @@ def films_in_stock_by_title(t: Tables, pattern: str | None) -> DataFrame:
     copies = t["inventory"].select("inventory_id", "film_id").join(matching, "film_id", "left_semi")
     in_stock = copies.join(_copies_out(t), "inventory_id", "left_anti").select("film_id").distinct()
     films = matching.join(in_stock, "film_id", "left_semi")
-    numbered = number_rows(films, ["title", "film_id"]).select(F.col("row_num").cast("int"), "film_id", "title")
+    numbered = number_rows(films, ["title", "film_id"], unique=True).select(F.col("row_num").cast("int"), "film_id", "title")
 
     spark = numbered.sparkSession
     message = spark.range(1).select(

@@ -12,6 +12,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 
+from reelhouse.functions.order import tie_breakers
+
 
 def create_table_as(df: DataFrame, path: str) -> DataFrame:
     """Write ``df`` to a new folder and read it back; an existing folder is an error."""
@@ -25,8 +27,7 @@ def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
     The other columns take part in the ranges: a value that fills a third of the table
     is spread over as many files as its rows need.
     """
-    order = columns + [c for c in df.columns if c not in columns]
-    return df.repartitionByRange(*order).sortWithinPartitions(*columns)
+    return df.repartitionByRange(*columns, *tie_breakers(df, columns)).sortWithinPartitions(*columns)
 
 
 def publish(
@@ -51,7 +52,8 @@ def publish(
         laid_out.write.mode("errorifexists").parquet(folders[table])
     for table, df in states.items():
         if spark.catalog.tableExists(table):
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folders[table]}'")
+            location = folders[table].replace("'", "\\'")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
             spark.catalog.refreshTable(table)
         else:
             spark.catalog.createTable(table, path=folders[table], source="parquet", schema=df.schema)

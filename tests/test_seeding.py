@@ -147,3 +147,8 @@ def test_broken_auction_rows_are_found(spark, seeded):
     long_name = {**seeded, "country": spark.createDataFrame([(1, "x" * 100), (2, "x" * 101)], "country_id BIGINT, country_name STRING")}
     found = integrity.audit_table(long_name, "country", auction.rules()["country"]).where("violations > 0").collect()
     assert [(r["constraint"], r["violations"]) for r in found] == [("country_name at most 100 characters", 1)]
+
+
+def test_numbering_carries_columns_without_an_order(spark):
+    df = spark.createDataFrame([(2, {"a": 1}), (1, {"b": 2})], "id INT, tags MAP<STRING, INT>")
+    assert sorted(values(numbering.number_rows(df, ["id"], start=10))) == [(1, {"b": 2}, 10), (2, {"a": 1}, 11)]
