@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelhouse.sources.session import ensure_checkpoint_dir
 
+_shipped: set[str] = set()
+
 SPACE = r"[ \x09-\x0D]+"
 
 
@@ -84,3 +89,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     folder = shared_folder(spark, name)
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, once per application, for operators with Python in their tasks."""
+    application = spark.sparkContext.applicationId
+    if application in _shipped:
+        return
+    package = Path(__file__).resolve().parent.parent
+    archive = Path(tempfile.mkdtemp(prefix="package-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for path in sorted(package.rglob("*.py")):
+            out.write(path, path.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(application)

@@ -6,18 +6,68 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelhouse.plans.registry import Registry
 
-from . import quality_rules
+from .common import ship
+from . import license_scan, mixing, order_minhash, packing, quality_rules, secrets, simhash
 
 registry = Registry()
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where the public tokenizer's file lies on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@registry.query()
+def op1_order_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    return order_minhash.edited_likeness(table(spark, folder, "documents"))
+
+
 @registry.query()
 def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = quality_rules.judged(table(spark, folder, "documents"), table(spark, folder, "labels"))
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "score"
     )
+
+
+@registry.query()
+def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return license_scan.license_scan(table(spark, folder, "documents"))
+
+
+@registry.query()
+def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.words_taken(table(spark, folder, "documents"))
+
+
+@registry.query()
+def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
+    spans = secrets.scanned(table(spark, folder, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    return spans.select(
+        "doc_id",
+        count("assign").alias("n_assign"),
+        count("access").alias("n_access"),
+        count("hex").alias("n_hex"),
+        F.sha2(secrets.digest(F.col("spans"), *secrets.KINDS[:3]), 256).alias("base_sha256"),
+        secrets.digest(F.col("spans"), *secrets.KINDS).alias("spans"),
+    )
+
+
+@registry.query()
+def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
+
+
+@registry.query()
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return simhash.near_groups(table(spark, folder, "documents"))
