@@ -23,10 +23,9 @@ PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc
 
 # Well-known license notices, and their labels.
 TEMPLATES = {
-    "gpl": "licensed under the gnu general public license version",
-    "apache": "licensed under the apache license version",
-    "cc-by-nc": "licensed under cc by nc",
-    "mit": "released under the mit license",
+    "gpl": "licensed under the gnu general public license version 3",
+    "apache": "licensed under the apache license version 2 0",
+    "cc": "licensed under cc by nc 4 0",
     "mit-text": "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files",
     "gpl-text": "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license as published by the free software foundation",
     "bsd-text": "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met",

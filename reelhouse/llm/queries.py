@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reelhouse.plans.registry import Registry
 
 from .common import ship
-from . import license_scan, mixing, order_minhash, packing, quality_rules, secrets, simhash
+from . import language_id, license_scan, mixing, order_minhash, packing, quality_rules, secrets, simhash, token_files, warc
 
 registry = Registry()
 
@@ -63,11 +63,39 @@ def op5_secret_scan(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@registry.query()
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return token_files.round_trip(table(spark, folder, "documents"), tokenizer_path())
+
+
 @registry.query()
 def op7_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack_documents(table(spark, folder, "documents"), tokenizer_path())
 
 
+@registry.query()
+def op8_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify(table(spark, folder, "documents"))
+
+
+@registry.query(
+    """
+    WITH hashed AS (
+        SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha256(coalesce(html, '')) AS payload_digest
+        FROM pages
+    ), first AS (
+        SELECT *, min(page_id) OVER (PARTITION BY payload_digest) AS first_id FROM hashed
+    )
+    SELECT page_id, payload_bytes, payload_digest,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN 'revisit' ELSE 'response' END AS record_type,
+        CASE WHEN payload_bytes >= 100 AND page_id <> first_id THEN first_id END AS refers_to
+    FROM first
+    """
+)
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.round_trip(table(spark, folder, "pages"))
+
+
 @registry.query()
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents"))
