@@ -308,22 +308,112 @@ def near_groups(docs: DataFrame, search: Search = Search()) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, search: Search = Search()) -> DataFrame:
+def view_fingerprints(text: Column, views: int, words: int, picked: int = 3) -> Column:
+    """SimHash fingerprints of small parts of a text: of its ``picked`` least distinct shingles in each of ``views`` orders.
+
+    Two texts agree in a view about as often as the power ``picked`` of their shingles'
+    similarity, so a few views bring together what the fingerprint of all shingles, a few
+    bits away, does not. A text without words has none.
+    """
+
+    @F.pandas_udf("array<long>")
+    def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for part in parts:
+            yield pd.Series([_views(shingle_hashes(t or b"", words), views, picked) for t in part], dtype=object)
+
+    return of(text.cast("binary"))
+
+
+def _views(hashes: np.ndarray, views: int, picked: int) -> np.ndarray:
+    hashes, out = np.unique(hashes), []
+    with np.errstate(over="ignore"):
+        for v in range(views if len(hashes) else 0):
+            mixed = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * (2 * v + 1) % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
+            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+            mixed ^= mixed >> np.uint64(29)
+            least = np.argpartition(mixed, picked - 1)[:picked] if len(hashes) > picked else np.arange(len(hashes))
+            out.append(majority(mixed[least]))
+    return np.array(out, np.uint64).view(np.int64)
+
+
+def similarity(a: Column, b: Column, words: int) -> Column:
+    """The share of the distinct word shingles of two texts that they have in common; 1 for two texts without any."""
+
+    @F.pandas_udf("double")
+    def of(lefts: pd.Series, rights: pd.Series) -> pd.Series:
+        def one(x: bytes | None, y: bytes | None) -> float:
+            p, q = np.unique(shingle_hashes(x or b"", words)), np.unique(shingle_hashes(y or b"", words))
+            both = len(np.intersect1d(p, q, assume_unique=True))
+            return both / (len(p) + len(q) - both) if len(p) + len(q) else 1.0
+
+        return pd.Series([one(x, y) for x, y in zip(lefts, rights)], dtype=float)
+
+    return of(a.cast("binary"), b.cast("binary"))
+
+
+def similar_links(texts: DataFrame, views: int, words: int, least: float) -> DataFrame:
+    """Links (u, v) between rows of ``texts`` (row, text) that share a view and are ``least`` similar.
+
+    In each group of rows that share a view, every row is compared with one, that which
+    shares most views with other rows: of a text and its changed copies this is the text,
+    from which the copies differ less than from each other. So the comparisons grow with
+    the rows and not with the square of a group, and each is exact.
+    """
+    sides = texts.select("row", F.posexplode(view_fingerprints(F.col("text"), views, words)).alias("view", "fp"))
+    sides = written(sides, "views")
+    group = ["view", "fp"]
+    sizes = sides.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = written(hot_join(sides, sizes, group), "shared-views")
+    known = shared.groupBy("row").agg(F.sum("n").alias("known"))
+    centre = shared.join(known, "row").groupBy(*group).agg(F.max(F.struct("known", "row"))["row"].alias("centre"))
+    pairs = hot_join(shared, centre, group).where("row <> centre").select("row", "centre").distinct()
+    pairs = pairs.join(texts, "row").withColumnRenamed("text", "a")
+    pairs = hot_join(pairs, texts.select(F.col("row").alias("centre"), F.col("text").alias("b")), ["centre"])
+    return pairs.where(similarity(F.col("a"), F.col("b"), words) >= least).select(F.col("row").alias("u"), F.col("centre").alias("v"))
+
+
+@dataclass(frozen=True)
+class NearCopies:
+    """Copies with changes: linked by fingerprint as in ``search``, or by ``similarity`` where one of ``views`` is shared.
+
+    With 16 views of three shingles a pair of similarity 0.8 shares a view with
+    probability 1 - (1 - 0.8 ** 3) ** 16, above 0.99998.
+    """
+
+    search: Search = Search(words=5)
+    views: int = 16
+    similarity: float = 0.8
+
+
+def one_of_each(docs: DataFrame, near: NearCopies = NearCopies()) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that of the smallest id.
 
     Of rows with one id, null ids last, that of the smallest text hash stays, and of
     wholly equal ones any one. The marked rows are written once, so every later step sees
-    the same row numbers.
+    the same row numbers. Equal texts are put together first, so that a text with very
+    many copies is compared once.
     """
     rows = packed(docs, "doc_id", "text").select(
         "doc",
         "doc_id",
+        "text",
         F.xxhash64("text").alias("hash"),
-        fingerprint(F.col("text"), search.words).alias("fp"),
+        F.sha2("text", 256).alias("same"),
+        fingerprint(F.col("text"), near.search.words).alias("fp"),
         F.monotonically_increasing_id().alias("row"),
     )
     rows = written(rows, "marked")
-    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row"))
-    first = rows.groupBy("fp").agg(least.alias("first"))
-    kept = first.join(fingerprint_groups(rows, search), "fp").groupBy("root").agg(F.min("first").alias("first"))
-    return unpacked(rows.join(kept.select("first.row"), "row", "left_semi"), docs)
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row")
+    texts = rows.groupBy("fp", F.coalesce("same", F.lit("")).alias("same")).agg(F.min(order).alias("first"))
+    texts = written(texts.select("fp", "first", F.col("first.row").alias("row")), "texts")
+    # The first row of each fingerprint stands for it; links then connect rows.
+    of_fingerprint = texts.groupBy("fp").agg(F.min("row").alias("v"))
+    equal = hot_join(texts.select("fp", F.col("row").alias("u")), of_fingerprint, ["fp"]).select("u", "v")
+    close = links(texts, near.search).withColumnRenamed("u", "fp").join(of_fingerprint.withColumnRenamed("v", "a"), "fp").select("a", F.col("v").alias("fp"))
+    close = close.join(of_fingerprint, "fp").select(F.col("a").alias("u"), "v")
+    bodies = rows.select("row", "text").join(texts.select("row"), "row", "left_semi")
+    similar = similar_links(bodies, near.views, near.search.words, near.similarity)
+    found = components(equal.unionByName(close).unionByName(similar))
+    rooted = texts.join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first"))
+    return unpacked(rows.drop("text").join(kept.select("first.row"), "row", "left_semi"), docs)

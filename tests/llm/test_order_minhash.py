@@ -1,0 +1,81 @@
+"""Order MinHash: the edited texts, and what the likeness tells."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+
+from pyspark.sql import functions as F
+
+from reelhouse.llm import order_minhash as o
+
+
+def edited(texts):
+    out = []
+    for i, t in enumerate(texts):
+        after, half = texts[(i + 1) % len(texts)], len(t) // 2
+        out.append(t[: len(t) - half] + after[:half])
+    return out
+
+
+def test_documents(small):
+    docs = small["documents"].orderBy("doc_id").collect()
+    rows = {r.doc_id: r for r in o.edited_likeness(small["documents"]).collect()}
+    assert len(rows) == len(docs)
+    by_text = {}
+    for i, (d, e) in enumerate(zip(docs, edited([d.text for d in docs]))):
+        r = rows[d.doc_id]
+        assert r.n_chars == len(d.text) and r.edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
+        by_text.setdefault(d.text, set()).add(r.fingerprint)
+        after = rows[docs[(i + 1) % len(docs)].doc_id].fingerprint
+        cut = lambda f: [f[k : k + 8] for k in range(0, len(f), 8)]
+        assert r.near_next == sum(a == b for a, b in zip(cut(r.fingerprint), cut(after))) / 32
+        assert r.near_edited == sum(a == b for a, b in zip(cut(r.fingerprint), cut(r.edited_fingerprint))) / 32
+    assert all(len(f) == 1 for f in by_text.values())
+    plain = {r.doc_id: r.fingerprint for r in o.fingerprints(small["documents"]).collect()}
+    assert plain == {i: r.fingerprint for i, r in rows.items()}
+
+
+def numbers(spark, text, k=3):
+    df = spark.createDataFrame([(text,)], "text string")
+    return df.select(o.numbered_kmers(F.col("text"), k).alias("k")).first()["k"]
+
+
+def test_kmers_are_numbered_in_text_order(spark):
+    once, twice = numbers(spark, "a b c d"), numbers(spark, "a b c d a b c d a b c")
+    assert twice[:2] == once and len(twice) == 9 and len(set(twice)) == 9
+    # The second "a b c" has one number wherever it comes.
+    other = numbers(spark, "x a b c y a b c")
+    assert other[1] == once[0] and other[5] == twice[4]
+    assert len(numbers(spark, "a b")) == 1 and numbers(spark, "") == [] and numbers(spark, None) == []
+
+
+def test_order_counts(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(400)]
+    swapped = words[200:] + words[:200]
+    few = [w if rng.random() > 0.02 else "new" for w in words]
+    rows = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate([words, swapped, few, words[::-1]])], "doc_id long, text string")
+    f = {r.doc_id: [r.fingerprint[k : k + 8] for k in range(0, 256, 8)] for r in o.fingerprints(rows).collect()}
+    like = lambda a, b: sum(x == y for x, y in zip(f[a], f[b])) / 32
+    # Halves that change places keep nearly all k-mers, and only the order of about half of the pairs.
+    assert like(0, 3) == 0 < 0.2 < like(0, 1) < 0.8 and like(0, 2) > 0.6
+
+
+def test_edge_rows(edge_docs, no_docs):
+    rows = o.edited_likeness(edge_docs).collect()
+    assert len(rows) == 14 and all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in rows)
+    order = sorted(edge_docs.collect(), key=lambda r: (r.doc_id is not None, r.doc_id or 0))
+    firsts = [r for r in order if r.doc_id is not None and r.doc_id > 2]
+    texts = [r.text or "" for r in firsts]
+    by = {r.doc_id: r for r in rows}
+    for i in range(len(firsts) - 1):
+        assert by[firsts[i].doc_id].edited_sha256 == hashlib.sha256(edited(texts)[i].encode()).hexdigest()
+    assert o.edited_likeness(no_docs).count() == 0
+    one = edge_docs.where("doc_id = 8")
+    assert o.edited_likeness(one).first().near_next == 1.0
+
+
+def test_no_python_in_the_plan(small):
+    plan = o.edited_likeness(small["documents"])._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan

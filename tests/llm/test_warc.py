@@ -1,0 +1,101 @@
+"""WARC: an exact round trip, standard gzip members, pushed conditions, and payloads that are passed over."""
+
+from __future__ import annotations
+
+import gzip
+import hashlib
+import io
+
+import pytest
+from pyspark.sql import functions as F
+
+from reelhouse.llm import warc as w
+
+
+class Bytes(io.BytesIO):
+    def size(self):
+        return len(self.getvalue())
+
+
+def sample():
+    return [w.record({"WARC-Type": t, "WARC-Record-ID": f"<urn:page:{i}>"}, b"x" * n) for i, (t, n) in enumerate([("response", 10), ("revisit", 0), ("response", 300_000)])]
+
+
+@pytest.mark.parametrize("pack", [lambda rs: b"".join(map(w.member, rs)), lambda rs: b"".join(map(gzip.compress, rs)), b"".join])
+def test_reader_takes_any_gzip_and_plain_files(pack):
+    data = pack(sample())
+    compressed = data[:2] == b"\x1f\x8b"
+    source = w._Source(Bytes(data), compressed)
+    got = list(source.records(lambda h: h["WARC-Type"] == "response"))
+    assert [h["WARC-Record-ID"] for h, _ in got] == [f"<urn:page:{i}>" for i in range(3)]
+    assert [None if b is None else len(b) for _, b in got] == [10, None, 300_000]
+
+
+def test_members_are_standard_gzip():
+    rs = sample()
+    assert gzip.decompress(b"".join(map(w.member, rs))) == b"".join(rs)
+
+
+def test_unwanted_payloads_are_not_read():
+    import os
+
+    rs = [w.member(w.record({"WARC-Type": "response"}, os.urandom(2_000_000))), w.member(w.record({"WARC-Type": "revisit"}, b""))]
+    source = w._Source(Bytes(b"".join(rs)), True)
+    assert [b for _, b in source.records(lambda h: h["WARC-Type"] == "revisit")] == [None, b""]
+    assert source.skipped > 1_900_000
+
+
+@pytest.mark.parametrize("cut", [5, 40, -30])
+def test_cut_off_files_raise(cut):
+    data = w.member(sample()[2])
+    with pytest.raises(Exception):
+        list(w._Source(Bytes(data[:cut]), True).records(lambda h: True))
+
+
+def expected(pages):
+    first = {}
+    for i, html in pages:
+        data = (html or "").encode()
+        if len(data) >= 100 and i is not None:
+            first[data] = min(i, first.get(data, i))
+    out = []
+    for i, html in pages:
+        data = (html or "").encode()
+        other = data in first and first[data] != i
+        out.append((str(i), len(data), hashlib.sha256(data).hexdigest(), "revisit" if other else "response", str(first[data] if other else None)))
+    return sorted(out)
+
+
+def as_rows(df):
+    return sorted((str(r.page_id), r.payload_bytes, r.payload_digest, r.record_type, str(r.refers_to)) for r in df.collect())
+
+
+def test_round_trip(small):
+    pages = small["pages"]
+    assert as_rows(w.round_trip(pages)) == expected([(r.page_id, r.html) for r in pages.collect()])
+
+
+def test_edge_rows(spark):
+    long, big = "é" * 60, "<p>" + "word " * 400_000
+    rows = [(5, long), (3, long), (None, long), (3, long), (7, None), (8, ""), (9, "short"), (10, "short"), (11, big), (12, big), (None, "only null ids " * 20)]
+    pages = spark.createDataFrame([(i, "http://x/\r\ny" if i else None, h, "x", "y") for i, h in rows], "page_id long, url string, html string, digest string, first string")
+    assert as_rows(w.round_trip(pages)) == expected(rows)
+    assert w.round_trip(pages.limit(0)).count() == 0
+
+
+def test_conditions_reach_the_reader(spark, small):
+    folder, files = w.write_archives(small["pages"])
+    names = [r.file for r in files.collect()]
+    everything = w.read_archives(spark, folder, names)
+    n = everything.where("record_type = 'revisit'").count()
+    assert 0 < n < everything.count() == small["pages"].count()
+    reader = w.WarcReader({"path": folder})
+    from pyspark.sql.datasource import EqualTo, GreaterThan, In
+
+    left = list(reader.pushFilters([EqualTo(("record_type",), "revisit"), In(("target_uri",), ("a", "b")), GreaterThan(("block_bytes",), 3)]))
+    assert [type(f).__name__ for f in left] == ["GreaterThan"]
+    assert reader.wanted({"WARC-Type": "revisit", "WARC-Target-URI": "a"}) and not reader.wanted({"WARC-Type": "response", "WARC-Target-URI": "a"})
+    pushed = everything.where("record_type = 'revisit'")._jdf.queryExecution().executedPlan().toString()
+    assert "record_type" not in pushed.split("BatchScan")[0]
+    none = w.read_archives(spark, folder, names, payload="false")
+    assert none.where(F.col("payload").isNotNull()).count() == 0 and none.count() == everything.count()
