@@ -9,7 +9,7 @@ run serves any number of them.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Iterator, Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -63,11 +63,17 @@ def insert_if_absent(
 
     As with ``INSERT … WHERE NOT EXISTS`` the check sees the table before the insert,
     so a key repeated inside ``rows`` goes in as often as it is there;
-    ``once_per_key`` keeps one. New ids follow the largest one in key order.
+    ``once_per_key`` keeps the least of its rows. New ids follow the largest one in key
+    order. The batch is computed once, so the state and the rows returned always agree.
     """
-    new = not_yet_in(rows, target, natural_key)
+    new = not_yet_in(checkpointed(rows), target, natural_key)
     if once_per_key:
-        new = new.dropDuplicates(natural_key)
+        others = [c for c in new.columns if c not in natural_key]
+        if others:
+            least = new.groupBy(*natural_key).agg(F.min(F.struct(*others)).alias("_least"))
+            new = least.select(*natural_key, "_least.*").select(*new.columns)
+        else:
+            new = new.distinct()
     if id_column is not None:
         new = assign_keys(new.drop(id_column), target, id_column, natural_key)
     new = like_table(new, target)
@@ -199,56 +205,84 @@ def activity_counts(t: Tables, customers: DataFrame) -> DataFrame:
     )
 
 
+class RentAndPay(Mapping[str, Change]):
+    """The changes of the tables ``rental`` and ``payment``; the payments are worked out when they are first asked for."""
+
+    def __init__(self, rental: Change, pay: Callable[[], Change]) -> None:
+        self._rental, self._pay, self._payment = rental, pay, None
+
+    def __getitem__(self, table: str) -> Change:
+        if table == "rental":
+            return self._rental
+        if table != "payment":
+            raise KeyError(table)
+        if self._payment is None:
+            self._payment = self._pay()
+        return self._payment
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(("rental", "payment"))
+
+    def __len__(self) -> int:
+        return 2
+
+
 def rent_and_pay(
-    t: Tables, requests: DataFrame, rented_on: Day, returned_on: Day, as_of: Day = None
-) -> dict[str, Change]:
+    t: Tables, requests: DataFrame, rented_on: Day, returned_on: Day, as_of: Day = None, share_copies: bool = False
+) -> RentAndPay:
     """Rent and pay the films that customers ask for as (customer_id, title).
 
     Each customer is served by the store with the lowest id that holds one of their
-    titles, by its staff member with the lowest id, and rents every copy of the titles
-    there. Payments at the film's rate follow for all their rentals of that day that
-    are not paid yet. Both steps skip what is there already, so a repeat adds nothing.
+    titles, by its staff member with the lowest id. All copies of a title there go to the
+    customer with the lowest id of those the store serves and who ask for it, as a copy can
+    be out only once; with ``share_copies`` every such customer rents every copy, which
+    gives as many rows as customers times copies. Payments at the film's rate follow for
+    all rentals of that day by the customers who asked that are not paid yet. Both steps
+    skip what is there already, so a repeat adds nothing.
     """
     requests = checkpointed(requests.select("customer_id", "title").distinct())
     titles = requests.select("title").distinct()
     films = t["film"].select("film_id", "title").join(titles, "title", "left_semi")
-    copies = t["inventory"].select("inventory_id", "film_id", "store_id").join(films, "film_id")
+    copies = checkpointed(
+        t["inventory"].select("inventory_id", "film_id", "store_id").join(films, "film_id").select("title", "store_id", "inventory_id")
+    )
 
     # The store is settled on one row per title, before any copy is matched.
     nearest = copies.groupBy("title").agg(F.min("store_id").alias("title_store"))
-    served = hot_join(requests, nearest, ["title"]).groupBy("customer_id").agg(F.min("title_store").alias("store_id"))
+    asked = hot_join(requests, nearest, ["title"])
+    served = asked.groupBy("customer_id").agg(F.min("title_store").alias("store_id"))
+    wanted = hot_join(requests, served, ["customer_id"]).select("title", "store_id", "customer_id")
+    if share_copies:
+        to_rent = copies.join(wanted, ["title", "store_id"])
+    else:
+        first = wanted.groupBy("title", "store_id").agg(F.min("customer_id").alias("customer_id"))
+        to_rent = hot_join(copies, first, ["title", "store_id"])
     staff = t["staff"].groupBy("store_id").agg(F.min("staff_id").alias("staff_id"))
     rented_at = F.lit(rented_on).cast("date").cast("timestamp_ntz")
-    to_rent = (
-        hot_join(requests, served, ["customer_id"])
-        .join(copies.select("title", "store_id", "inventory_id"), ["title", "store_id"])
-        .select("customer_id", "inventory_id", "store_id")
-    )
-    to_rent = checkpointed(
-        hot_join(to_rent, staff, ["store_id"], "left").select(
-            "customer_id",
-            "inventory_id",
-            rented_at.alias("rental_date"),
-            F.lit(returned_on).cast("date").cast("timestamp_ntz").alias("return_date"),
-            "staff_id",
-            day_literal(as_of).alias("last_update"),
-        )
+    to_rent = hot_join(to_rent, staff, ["store_id"], "left").select(
+        "customer_id",
+        "inventory_id",
+        rented_at.alias("rental_date"),
+        F.lit(returned_on).cast("date").cast("timestamp_ntz").alias("return_date"),
+        "staff_id",
+        day_literal(as_of).alias("last_update"),
     )
     rentals = insert_if_absent(t["rental"], to_rent, ["inventory_id", "customer_id", "rental_date"], "rental_id")
 
-    rates = t["inventory"].select("inventory_id", "film_id").join(
-        t["film"].select("film_id", F.col("rental_rate").alias("amount")), "film_id"
-    )
-    day = F.lit(rented_on).cast("date")
-    of_that_day = rentals.state.where(within("rental_date", (day, F.date_add(day, 1))))
-    due = (
-        in_keys(of_that_day, requests, ["customer_id"])
-        .select("rental_id", "customer_id", "staff_id", "inventory_id")
-        .join(rates, "inventory_id")
-        .select("customer_id", "staff_id", "rental_id", "amount", rented_at.alias("payment_date"))
-    )
-    payments = insert_if_absent(t["payment"], due, ["rental_id"], "payment_id")
-    return {"rental": rentals, "payment": payments}
+    def pay() -> Change:
+        day = F.lit(rented_on).cast("date")
+        of_that_day = rentals.state.where(within("rental_date", (day, F.date_add(day, 1))))
+        due = checkpointed(
+            in_keys(of_that_day, requests, ["customer_id"]).select("rental_id", "customer_id", "staff_id", "inventory_id")
+        )
+        # Only the copies of this batch are priced.
+        priced = in_keys(t["inventory"].select("inventory_id", "film_id"), due, ["inventory_id"])
+        rates = priced.join(t["film"].select("film_id", F.col("rental_rate").alias("amount")), "film_id")
+        due = hot_join(due, rates.select("inventory_id", "amount"), ["inventory_id"])
+        due = due.select("customer_id", "staff_id", "rental_id", "amount", rented_at.alias("payment_date"))
+        return insert_if_absent(t["payment"], due, ["rental_id"], "payment_id")
+
+    return RentAndPay(rentals, pay)
 
 
 def bulk_load(spark: SparkSession, rows: int, prefix: str = LONG_PREFIX) -> DataFrame:

@@ -27,10 +27,10 @@ def _quoted(text: str) -> str:
 
 
 def film_actor_lists(t: Mapping[str, DataFrame], separator: str = ", ") -> DataFrame:
-    """The actors of each film as one list of full names."""
+    """The actors of each film as one list of full names; two actors of one name are both in it."""
     actors = t["actor"].select("actor_id", F.concat_ws(" ", "first_name", "last_name").alias("actor"))
-    cast = t["film_actor"].select("actor_id", "film_id").join(actors, "actor_id")
-    lists = group_concat(cast, ["film_id"], "actor", name="actors", separator=separator)
+    cast = t["film_actor"].select("actor_id", "film_id").distinct().join(actors, "actor_id")
+    lists = group_concat(cast, ["film_id"], "actor", name="actors", separator=separator, distinct=False)
     return t["film"].select("film_id", "title").join(lists, "film_id").select("film_id", "title", "actors")
 
 

@@ -59,6 +59,7 @@ def add_movies(t: Tables, batch: DataFrame, as_of: dt.date | None = None, row_id
     # The first row of each key is marked by its own id: joining on the id and not on
     # the key keeps a title that fills a third of the batch from meeting in one task.
     firsts = rows.groupBy(*key).agg(F.min(row_id).alias(row_id)).select(row_id, F.lit(True).alias("_first"))
+    # The messages.
     reason = (
         F.when(F.col("title").isNull(), F.lit("Movie title cannot be null"))
         .when(F.col("language_id").isNull(), F.format_string('Language "%s" does not exist', "language"))

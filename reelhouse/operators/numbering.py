@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from reelhouse.functions.order import tie_breakers
+from reelhouse.functions.order import spread_by_range, tie_breakers
 from reelhouse.sources.session import checkpointed
 
 _INDEX_BITS = 33  # monotonically_increasing_id keeps the row's place in its partition in the low 33 bits
@@ -19,20 +19,22 @@ def number_rows(
     The rows are range-partitioned and sorted, and each gets its place in its own
     partition plus the row count of the partitions before it. The remaining columns
     break ties and take part in the ranges, so many equal leading values do not end up
-    in one partition and equal input gives equal numbers. Where the order is ``unique``
-    by itself they are left out, which keeps the sample and the sort narrow.
+    in one partition and equal input gives equal numbers. Rows that are equal in every
+    column are told apart by their place in the input, in the ranges only. Where the order
+    is ``unique`` by itself both are left out, which keeps the sample and the sort narrow.
 
     The sorted rows are checkpointed: range bounds come from a sample, and the counts
     and the rows must see the same bounds even when an executor is lost in between.
     """
     order = [F.col(c) if isinstance(c, str) else c for c in order_by]
-    if not unique:
-        order += tie_breakers(df, order_by)
-
     place = F.monotonically_increasing_id()
+    if unique:
+        ranged = df.repartitionByRange(*order)
+    else:
+        order += tie_breakers(df, order_by)
+        ranged = spread_by_range(df, order)
     placed = checkpointed(
-        df.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
+        ranged.sortWithinPartitions(*order)
         .withColumn("_part", F.shiftright(place, _INDEX_BITS))
         .withColumn("_index", place.bitwiseAND(F.lit((1 << _INDEX_BITS) - 1)))
     )

@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.window import Window
 
-from reelhouse.functions import RATING_AGES, exact, expected_age, full_address, month_of, quarter_of, within, year_of
+from reelhouse.functions import RATING_AGES, exact, expected_age, full_address, month_of, quarter_of, same_text, within, year_of
 from reelhouse.functions.periods import Day
 from reelhouse.operators.joins import hot_join
 
@@ -22,8 +22,12 @@ def _by_name() -> list[Column]:
     return [F.col("last_name").asc_nulls_last(), F.col("first_name").asc_nulls_last()]
 
 
+def _first(ranked: DataFrame, k: int | None) -> DataFrame:
+    return ranked if k is None else ranked.limit(k)
+
+
 def _name_is(name: Column, wanted: str, any_case: bool) -> Column:
-    return F.upper(name) == F.upper(F.lit(wanted)) if any_case else name == wanted
+    return same_text(name, F.lit(wanted)) if any_case else name == wanted
 
 
 def films_in_category(
@@ -76,8 +80,8 @@ def store_revenue_since(t: Tables, since: Day, per_address: bool = False) -> Dat
     return labelled.orderBy(F.col("full_address").asc_nulls_last(), "store_id").select("full_address", "revenue")
 
 
-def top_actors_since(t: Tables, year: int, k: int = 5, include_zero: bool = False) -> DataFrame:
-    """The ``k`` actors with the most distinct films released after ``year``."""
+def top_actors_since(t: Tables, year: int, k: int | None = 5, include_zero: bool = False) -> DataFrame:
+    """The ``k`` actors with the most distinct films released after ``year``, or all."""
     recent = t["film"].where(F.col("release_year") > year).select("film_id")
     # A plain join would be partitioned by film, which the distinct count could build on;
     # then a film with a third of all credits could not be split any more.
@@ -88,12 +92,9 @@ def top_actors_since(t: Tables, year: int, k: int = 5, include_zero: bool = Fals
     )
     actors = t["actor"].select("actor_id", "first_name", "last_name")
     ranked = actors.join(counts, "actor_id", "left" if include_zero else "inner")
-    return (
-        ranked.withColumn("num_movies", F.coalesce("num_movies", F.lit(0)))
-        .orderBy(F.col("num_movies").desc(), *_by_name(), "actor_id")
-        .limit(k)
-        .select("first_name", "last_name", "num_movies")
-    )
+    ranked = ranked.withColumn("num_movies", F.coalesce("num_movies", F.lit(0)))
+    ranked = ranked.orderBy(F.col("num_movies").desc(), *_by_name(), "actor_id")
+    return _first(ranked, k).select("first_name", "last_name", "num_movies")
 
 
 def category_counts_by_year(
@@ -126,12 +127,12 @@ def category_counts_by_year(
 
 
 def top_staff_by_revenue(
-    t: Tables, year: int, k: int = 3, all_payments: bool = False, strict_reference: bool = False
+    t: Tables, year: int, k: int | None = 3, all_payments: bool = False, strict_reference: bool = False
 ) -> DataFrame:
-    """The ``k`` staff members with the most revenue in ``year`` and the store of their last payment.
+    """The ``k`` staff members with the most revenue in ``year``, or all, and the store of their last payment.
 
     Payments without a rental are left out unless ``all_payments`` is set; they have no
-    store either way. The year runs to the end of 31 December; ``strict_reference``
+    store either way, and staff without any amount are left out then. The year runs to the end of 31 December; ``strict_reference``
     stops at its first instant instead.
     """
     paid_at = F.col("payment_date")
@@ -153,14 +154,15 @@ def top_staff_by_revenue(
             F.sum("amount").alias("total_revenue"),
         )
     )
-    return (
+    if all_payments:
+        per_staff = per_staff.where(F.col("total_revenue").isNotNull())
+    ranked = (
         t["staff"]
         .select("staff_id", "first_name", "last_name")
         .join(per_staff, "staff_id")
         .orderBy(F.col("total_revenue").desc_nulls_last(), *_by_name(), "staff_id")
-        .limit(k)
-        .select("first_name", "last_name", "last_store_id", "total_revenue")
     )
+    return _first(ranked, k).select("first_name", "last_name", "last_store_id", "total_revenue")
 
 
 def _rentals_by_film(t: Tables) -> DataFrame:
@@ -174,18 +176,17 @@ def _rentals_by_film(t: Tables) -> DataFrame:
     )
 
 
-def most_rented_films(t: Tables, k: int = 5, rated_only: bool = False, include_unrented: bool = False) -> DataFrame:
-    """The ``k`` films rented most and the age of the audience their rating suits."""
+def most_rented_films(t: Tables, k: int | None = 5, rated_only: bool = False, include_unrented: bool = False) -> DataFrame:
+    """The ``k`` films rented most, or all, and the age of the audience their rating suits."""
     films = t["film"].select("film_id", "title", "rating")
     if rated_only:
         films = films.where(F.col("rating").isin(*RATING_AGES))
-    return (
+    ranked = (
         films.join(_rentals_by_film(t), "film_id", "left" if include_unrented else "inner")
         .withColumn("rentals", F.coalesce("rentals", F.lit(0)))
         .orderBy(F.col("rentals").desc(), F.col("title").asc_nulls_last(), "film_id")
-        .limit(k)
-        .select("title", "rentals", expected_age(F.col("rating")).alias("expected_age"))
     )
+    return _first(ranked, k).select("title", "rentals", expected_age(F.col("rating")).alias("expected_age"))
 
 
 def actor_inactivity(t: Tables, as_of_year: int = 2025, include_unreleased: bool = False) -> DataFrame:
@@ -271,7 +272,7 @@ def most_popular_films_by_country(t: Tables, countries: list[str], by_title: boo
     Ties go to the first title, then the lowest film id. Films are told apart by id;
     ``by_title`` adds up films that share a title.
     """
-    if not countries:
+    if not countries:  # Fixed value: the message.
         raise ValueError("No countries supplied")
     wanted = t["country"].where(F.upper("country").isin(*[F.upper(F.lit(c)) for c in countries]))
     customers = (
@@ -306,7 +307,7 @@ def most_popular_films_by_country(t: Tables, countries: list[str], by_title: boo
     return (
         by_film.groupBy("country")
         .agg(F.min(rank).alias("first"))
-        .select("country", F.col("first.title").alias("film_title"), (-F.col("first.n")).cast("int").alias("rentals"))
+        .select("country", F.col("first.title").alias("film_title"), (-F.col("first.n")).alias("rentals"))
         .orderBy("country")
     )
 
@@ -318,7 +319,7 @@ def rewards_report(t: Tables, min_purchases: int, min_amount: float, as_of: Day
         .where(within("payment_date", month_of(as_of)))
         .groupBy("customer_id")
         .agg(
-            F.count("payment_id").cast("int").alias("purchases"),
+            F.count("payment_id").alias("purchases"),
             F.count(F.lit(1)).alias("payments"),
             F.sum("amount").alias("total_spent"),
         )

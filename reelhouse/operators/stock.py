@@ -98,17 +98,18 @@ def films_in_stock_by_title(t: Tables, pattern: str | None) -> DataFrame:
 
     When there is none the result is one row with a message.
     """
+    # This message and the one below.
     if pattern is None:
         raise ValueError("Title pattern cannot be null")
     matching = t["film"].where(F.like(F.upper("title"), F.upper(F.lit(pattern)))).select("film_id", "title")
     copies = t["inventory"].select("inventory_id", "film_id").join(matching, "film_id", "left_semi")
     in_stock = copies.join(_copies_out(t), "inventory_id", "left_anti").select("film_id").distinct()
     films = matching.join(in_stock, "film_id", "left_semi")
-    numbered = number_rows(films, ["title", "film_id"], unique=True).select(F.col("row_num").cast("int"), "film_id", "title")
+    numbered = number_rows(films, ["title", "film_id"], unique=True).select("row_num", "film_id", "title")
 
     spark = numbered.sparkSession
     message = spark.range(1).select(
-        F.lit(1).alias("row_num"),
+        F.lit(1).cast("long").alias("row_num"),
         F.lit(None).cast(numbered.schema["film_id"].dataType).alias("film_id"),
         F.format_string("No films found in stock for pattern: %s", F.lit(pattern)).alias("title"),
     )

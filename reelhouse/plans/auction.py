@@ -53,10 +53,11 @@ def _rules(
     )
 
 
-def rules() -> dict[str, Rules]:
-    """The rules of every table, text lengths included."""
+def rules(recorded: bool = False) -> dict[str, Rules]:
+    """The rules of every table, text lengths included; the ``recorded`` tables have a ``record_ts`` that is never null."""
     return {
-        name: replace(r, checks={**r.checks, **at_most(TEXT_LENGTHS.get(name, {}))}) for name, r in _table_rules().items()
+        name: replace(r, checks={**r.checks, **at_most(TEXT_LENGTHS.get(name, {})), **(not_null("record_ts") if recorded else {})})
+        for name, r in _table_rules().items()
     }
 
 

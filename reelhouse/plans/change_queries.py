@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelhouse.operators import access, change, footprint, integrity, movies, numbering, seeding
@@ -44,6 +46,25 @@ def insert_if_absent(spark: SparkSession, root: str) -> DataFrame:
     return _insert_people(spark, root).state
 
 
+@query(
+    """
+    SELECT o_custkey AS customer_id, o_orderpriority AS priority, MIN(o_orderkey) AS order_id FROM orders
+    WHERE NOT EXISTS (SELECT 1 FROM customer WHERE c_custkey = o_custkey AND c_mktsegment = 'BUILDING' AND o_orderpriority = '1-URGENT')
+    GROUP BY o_custkey, o_orderpriority
+    UNION ALL SELECT c_custkey, '1-URGENT', CAST(NULL AS BIGINT) FROM customer WHERE c_mktsegment = 'BUILDING'"""
+)
+def insert_if_absent_once(spark: SparkSession, root: str) -> DataFrame:
+    """One row for each customer and priority out of all orders; some customers have their urgent one already."""
+    s = roles.trade(spark, root)
+    urgent = s["customer"].where(F.col("c_mktsegment") == "BUILDING").select(
+        F.col("c_custkey").alias("customer_id"), F.lit("1-URGENT").alias("priority"), F.lit(None).cast("bigint").alias("order_id")
+    )
+    batch = s["orders"].select(
+        F.col("o_custkey").alias("customer_id"), F.col("o_orderpriority").alias("priority"), F.col("o_orderkey").alias("order_id")
+    )
+    return change.insert_if_absent(urgent, batch, ["customer_id", "priority"], once_per_key=True).state
+
+
 @query(f"WITH {_NAMES} SELECT id AS actor_id, first_name, last_name FROM added")
 def insert_if_absent_returning(spark: SparkSession, root: str) -> DataFrame:
     return _insert_people(spark, root).returning
@@ -226,21 +247,40 @@ def insert_or_skip(spark: SparkSession, root: str) -> DataFrame:
     return seeding.insert_or_skip(locations, batch, [["location_name", "city_id"]], "location_id").state
 
 
-@query()
+@query(
+    """
+    WITH RECURSIVE entries AS (
+        SELECT l_orderkey AS a, l_partkey AS i, l_linenumber AS d,
+               row_number() OVER (PARTITION BY l_orderkey ORDER BY l_shipdate, l_linenumber, l_partkey, l_suppkey) AS n
+        FROM lineitem),
+    steps AS (
+        SELECT o_orderkey AS a, 0::BIGINT AS n, [o_custkey] AS items, [1] AS places FROM orders
+        UNION ALL
+        SELECT s.a, e.n,
+               CASE WHEN list_contains(items, i) OR list_contains(places, d) THEN items ELSE list_append(items, i) END,
+               CASE WHEN list_contains(items, i) OR list_contains(places, d) THEN places ELSE list_append(places, d) END
+        FROM steps s JOIN entries e ON e.a = s.a AND e.n = s.n + 1),
+    done AS (SELECT a, arg_max(items, n) AS items, arg_max(places, n) AS places FROM steps GROUP BY a)
+    SELECT a AS auction_id, unnest(items) AS item_id, unnest(places) AS display_order FROM done"""
+)
 def insert_or_skip_two_keys(spark: SparkSession, root: str) -> DataFrame:
-    """Lines as catalogue entries: unique per (order, part) and per (order, line number), tried in date order."""
-    lines = roles.trade(spark, root)["lineitem"]
-    entries = lines.select(
-        F.col("l_orderkey").alias("auction_id"), F.col("l_partkey").alias("item_id"), F.col("l_linenumber").alias("display_order")
+    """Lines as catalogue entries, unique per (order, part) and per (order, line number), tried in date order.
+
+    Each order has an entry already, in the first place and for an item with the customer's number.
+    """
+    s = roles.trade(spark, root)
+    entries = s["orders"].select(
+        F.col("o_orderkey").alias("auction_id"), F.col("o_custkey").alias("item_id"), F.lit(1).alias("display_order")
     )
-    tried = numbering.number_rows(lines, ["l_shipdate", "l_orderkey"], name="row_id").select(
+    keys = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"]
+    tried = numbering.number_rows(s["lineitem"].select(*keys), keys, name="row_id").select(
         "row_id",
         F.col("l_orderkey").alias("auction_id"),
         F.col("l_partkey").alias("item_id"),
         F.col("l_linenumber").alias("display_order"),
     )
-    keys = [["auction_id", "item_id"], ["auction_id", "display_order"]]
-    return seeding.insert_or_skip(entries.where(F.lit(False)), tried, keys).state
+    unique = [["auction_id", "item_id"], ["auction_id", "display_order"]]
+    return seeding.insert_or_skip(entries, tried, unique).state
 
 
 # --- updates -------------------------------------------------------------------------
@@ -412,10 +452,11 @@ requests AS (
     FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN copies ON p_partkey = l_partkey),
 served AS (SELECT o_custkey, MIN(store_id) AS store_id FROM requests JOIN copies USING (title) GROUP BY o_custkey),
 staff AS (SELECT s_nationkey AS store_id, MIN(s_suppkey) AS staff_id FROM supplier GROUP BY s_nationkey),
+owner AS (SELECT title, store_id, MIN(o_custkey) AS o_custkey FROM requests JOIN served USING (o_custkey) GROUP BY title, store_id),
 rented AS (
     SELECT (SELECT MAX(o_orderkey) FROM orders) + row_number() OVER (ORDER BY p_partkey, o_custkey) AS rental_id,
            o_custkey AS customer_id, p_partkey AS inventory_id, staff_id, p_retailprice AS amount
-    FROM requests JOIN served USING (o_custkey) JOIN copies USING (title, store_id) LEFT JOIN staff USING (store_id))"""
+    FROM owner JOIN copies USING (title, store_id) LEFT JOIN staff USING (store_id))"""
 
 
 def _rent(spark: SparkSession, root: str) -> dict[str, change.Change]:
@@ -500,13 +541,13 @@ def duplicate_keys(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     """
-    SELECT l_orderkey, COUNT(*) AS n_rows FROM lineitem
-    WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F') GROUP BY l_orderkey"""
+    SELECT o_orderkey, COUNT(*) AS n_rows FROM orders
+    WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_orderkey = o_orderkey) GROUP BY o_orderkey"""
 )
 def orphan_keys(spark: SparkSession, root: str) -> DataFrame:
-    """Lines of orders that are not finished, as references into the finished ones."""
+    """Orders as references to their lines, which some do not have."""
     s = roles.trade(spark, root)
-    return integrity.orphan_keys(s["lineitem"], ["l_orderkey"], s["orders"].where(F.col("o_orderstatus") == "F"), ["o_orderkey"])
+    return integrity.orphan_keys(s["orders"], ["o_orderkey"], s["lineitem"], ["l_orderkey"])
 
 
 @query(
@@ -538,11 +579,29 @@ def audit_tables(spark: SparkSession, root: str) -> DataFrame:
     return integrity.audit_tables(roles.trade(spark, root), rules)
 
 
-@query("SELECT o_orderkey, o_orderstatus, '2001-08-02' AS record_ts FROM orders")
+_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+@query(
+    " UNION ALL ".join(
+        f"SELECT '{t}' AS table_name, COUNT(*) AS n_rows, COUNT(*) AS dated, '2001-08-02' AS earliest, '2001-08-02' AS latest FROM {t}"
+        for t in _TABLES
+    )
+)
 def add_record_date(spark: SparkSession, root: str) -> DataFrame:
+    """Every table gets the day; asking again with another day changes none."""
     dated = integrity.add_record_date(roles.trade(spark, root), AS_OF)
     again = integrity.add_record_date(dated, "2024-01-01")
-    return again["orders"].select("o_orderkey", "o_orderstatus", F.col("record_ts").cast("string"))
+    counts = [
+        df.agg(
+            F.count(F.lit(1)).alias("n_rows"),
+            F.count("record_ts").alias("dated"),
+            F.min("record_ts").cast("string").alias("earliest"),
+            F.max("record_ts").cast("string").alias("latest"),
+        ).withColumn("table_name", F.lit(name))
+        for name, df in again.items()
+    ]
+    return reduce(DataFrame.unionByName, counts)
 
 
 # --- access and storage --------------------------------------------------------------
@@ -592,9 +651,19 @@ def visible_lines(spark: SparkSession, root: str) -> DataFrame:
     return _as_client(spark, root)["lineitem"]
 
 
-@query("SELECT * FROM supplier WHERE FALSE")
-def visible_without_policy(spark: SparkSession, root: str) -> DataFrame:
-    return _as_client(spark, root)["supplier"]
+@query(
+    f"""
+    SELECT 'customer' AS table_name, COUNT(*) FILTER (c_mktsegment = 'BUILDING') AS visible FROM customer
+    UNION ALL SELECT 'orders', COUNT(*) FROM orders WHERE o_custkey IN {_OWN}
+    UNION ALL SELECT 'lineitem', COUNT(*) FROM lineitem
+              WHERE l_returnflag = 'R' OR l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_custkey IN {_OWN})
+    UNION ALL SELECT 'supplier', 0"""
+)
+def visible_row_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Rows that each secured table shows; the one with a grant but no policy shows none."""
+    t = _as_client(spark, root)
+    counts = [t[n].agg(F.count(F.lit(1)).alias("visible")).withColumn("table_name", F.lit(n)) for n in ("customer", "orders", "lineitem", "supplier")]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def _grants(spark: SparkSession, root: str) -> DataFrame:
@@ -682,6 +751,10 @@ def row_policies(spark: SparkSession, root: str) -> DataFrame:
     return access.row_policies(policies, "public")
 
 
-@query()
+@query(
+    " UNION ALL ".join(f"SELECT '{t}' AS table_name, CAST(1 AS BIGINT) AS files, COUNT(*) AS row_count, TRUE AS has_bytes FROM {t}" for t in _TABLES)
+)
 def table_footprints(spark: SparkSession, root: str) -> DataFrame:
-    return footprint.footprints(roles.trade(spark, root))
+    """The given tables are one file each; what they take on disk is compared in the tests."""
+    found = footprint.footprints(roles.trade(spark, root))
+    return found.select("table_name", "files", "row_count", (F.col("table_bytes") > 0).alias("has_bytes"))

@@ -87,10 +87,10 @@ def top_actors_since(spark: SparkSession, root: str) -> DataFrame:
     SELECT {_FIRST_LAST.format('c_name')},
            COUNT(DISTINCT CASE WHEN year(o_orderdate) > 2000 THEN o_orderkey END) AS num_movies
     FROM customer LEFT JOIN orders ON o_custkey = c_custkey
-    GROUP BY c_custkey, c_name ORDER BY num_movies DESC, last_name, first_name LIMIT 1000"""
+    GROUP BY c_custkey, c_name"""
 )
 def top_actors_including_zero(spark: SparkSession, root: str) -> DataFrame:
-    return reports.top_actors_since(roles.customers_as_actors(roles.trade(spark, root)), 2000, 1000, include_zero=True)
+    return reports.top_actors_since(roles.customers_as_actors(roles.trade(spark, root)), 2000, None, include_zero=True)
 
 
 @query(
@@ -154,21 +154,44 @@ def top_staff_strict_year(spark: SparkSession, root: str) -> DataFrame:
     return doubles(reports.top_staff_by_revenue(t, 1997, strict_reference=True), "total_revenue")
 
 
-@query(_staff_sql(_IN_1997, "(SELECT * FROM orders WHERE o_orderstatus = 'F')", "LEFT JOIN"))
+@query(
+    f"""
+    WITH rented AS (SELECT l_orderkey, MIN(l_partkey) AS copy FROM lineitem GROUP BY l_orderkey),
+    placed AS (
+        SELECT o_custkey, o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) AS amount, CAST(copy % 25 AS INTEGER) AS store_id
+        FROM orders LEFT JOIN rented ON l_orderkey = o_orderkey
+        WHERE o_orderdate >= TIMESTAMP '1997-01-01' AND o_orderdate < TIMESTAMP '1998-01-01'),
+    latest AS (
+        SELECT o_custkey, store_id, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS place
+        FROM placed WHERE store_id IS NOT NULL),
+    revenue AS (SELECT o_custkey, SUM(amount) AS total FROM placed GROUP BY o_custkey HAVING SUM(amount) IS NOT NULL)
+    SELECT {_FIRST_LAST.format('c_name')}, store_id AS last_store_id, CAST(total AS DOUBLE) AS total_revenue
+    FROM revenue JOIN customer ON c_custkey = revenue.o_custkey
+         LEFT JOIN latest ON latest.o_custkey = revenue.o_custkey AND place = 1"""
+)
 def top_staff_all_payments(spark: SparkSession, root: str) -> DataFrame:
+    """Orders as payments to customers as staff, lines as rentals: some orders have no line, so no rental and no store."""
+    return doubles(reports.top_staff_by_revenue(_orders_paid_to_customers(spark, root), 1997, None, all_payments=True), "total_revenue")
+
+
+def _orders_paid_to_customers(spark: SparkSession, root: str) -> roles.Roles:
     s = roles.trade(spark, root)
-    t = roles.orders_as_rentals(s)
-    finished = s["orders"].where(F.col("o_orderstatus") == "F").select(
-        F.col("o_orderkey").alias("rental_id"), F.col("o_custkey").alias("inventory_id")
+    rental = s["lineitem"].groupBy(F.col("l_orderkey").alias("rental_id")).agg(F.min("l_partkey").alias("inventory_id"))
+    payment = s["orders"].select(
+        F.col("o_orderkey").alias("payment_id"),
+        F.col("o_orderkey").alias("rental_id"),
+        F.col("o_custkey").alias("staff_id"),
+        roles.money("o_totalprice").alias("amount"),
+        F.col("o_orderdate").alias("payment_date"),
     )
-    t = t.but(rental=finished)
-    return doubles(reports.top_staff_by_revenue(t, 1997, all_payments=True), "total_revenue")
+    staff = roles.people(s["customer"], "c_custkey", "c_name", "staff_id")
+    return roles.lines_as_rentals(s).but(rental=rental, payment=payment, staff=staff)
 
 
-def _rented_sql(join: str, where: str, limit: int, lines: str = "lineitem") -> str:
+def _rented_sql(join: str, where: str, limit: int) -> str:
     return f"""
     SELECT p_name AS title, CAST(COALESCE(n, 0) AS BIGINT) AS rentals, CAST({_RATING} AS INTEGER) AS expected_age
-    FROM part {join} (SELECT l_partkey, COUNT(*) AS n FROM {lines} GROUP BY l_partkey) ON l_partkey = p_partkey
+    FROM part {join} (SELECT l_partkey, COUNT(*) AS n FROM lineitem GROUP BY l_partkey) ON l_partkey = p_partkey
     WHERE {where} ORDER BY rentals DESC, title, p_partkey LIMIT {limit}"""
 
 
@@ -182,15 +205,24 @@ def most_rented_rated_films(spark: SparkSession, root: str) -> DataFrame:
     return reports.most_rented_films(roles.lines_as_rentals(roles.trade(spark, root)), 20, rated_only=True)
 
 
-@query(_rented_sql("LEFT JOIN", "TRUE", 500, "(SELECT * FROM lineitem WHERE l_shipdate >= TIMESTAMP '2001-10-01')"))
+@query(
+    """
+    SELECT o_orderpriority AS title, COUNT(l_orderkey) AS rentals,
+           CAST(CASE o_orderstatus WHEN 'F' THEN 0 WHEN 'O' THEN 13 END AS INTEGER) AS expected_age
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY o_orderkey, o_orderpriority, o_orderstatus"""
+)
 def most_rented_including_unrented(spark: SparkSession, root: str) -> DataFrame:
+    """Orders as films and their own copies, lines as rentals: some orders have no line."""
+    return reports.most_rented_films(_lines_rent_orders(spark, root), None, include_unrented=True)
+
+
+def _lines_rent_orders(spark: SparkSession, root: str) -> roles.Roles:
     s = roles.trade(spark, root)
-    t = roles.lines_as_rentals(s)
-    late = s["lineitem"].where(F.col("l_shipdate") >= moment("2001-10-01")).select(
-        F.col("l_orderkey").alias("rental_id"), F.col("l_partkey").alias("inventory_id")
-    )
-    t = t.but(rental=late)
-    return reports.most_rented_films(t, 500, include_unrented=True)
+    rating = F.when(F.col("o_orderstatus") == "F", "G").when(F.col("o_orderstatus") == "O", "PG-13")
+    film = s["orders"].select(F.col("o_orderkey").alias("film_id"), F.col("o_orderpriority").alias("title"), rating.alias("rating"))
+    inventory = s["orders"].select(F.col("o_orderkey").alias("inventory_id"), F.col("o_orderkey").alias("film_id"))
+    rental = s["lineitem"].select(F.col("l_linenumber").alias("rental_id"), F.col("l_orderkey").alias("inventory_id"))
+    return roles.lines_as_rentals(s).but(film=film, inventory=inventory, rental=rental)
 
 
 @query(
@@ -204,16 +236,24 @@ def actor_inactivity(spark: SparkSession, root: str) -> DataFrame:
 
 
 @query(
-    f"""
-    SELECT {_FIRST_LAST.format('c_name')}, CAST(MAX(year(o_orderdate)) AS INTEGER) AS last_release,
-           CAST(2025 - MAX(year(o_orderdate)) AS INTEGER) AS inactivity_years
-    FROM customer LEFT JOIN (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '2001-01-01') ON o_custkey = c_custkey
-    GROUP BY c_custkey, c_name"""
+    """
+    SELECT o_orderpriority AS first_name, CAST(o_orderkey AS VARCHAR) AS last_name, CAST(MAX(1950 + p_size) AS INTEGER) AS last_release,
+           CAST(2025 - MAX(1950 + p_size) AS INTEGER) AS inactivity_years
+    FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey LEFT JOIN part ON p_partkey = l_partkey
+    GROUP BY o_orderkey, o_orderpriority"""
 )
 def actor_inactivity_including_unreleased(spark: SparkSession, root: str) -> DataFrame:
-    t = roles.customers_as_actors(roles.trade(spark, root))
-    t = t.but(film=t["film"].where(F.col("release_year") >= 2001))
-    return reports.actor_inactivity(t, 2025, include_unreleased=True)
+    """Orders as actors, lines as their credits: some orders have no line."""
+    return reports.actor_inactivity(_orders_as_actors(spark, root), 2025, include_unreleased=True)
+
+
+def _orders_as_actors(spark: SparkSession, root: str) -> roles.Roles:
+    s = roles.trade(spark, root)
+    actor = s["orders"].select(
+        F.col("o_orderkey").alias("actor_id"), F.col("o_orderpriority").alias("first_name"), F.col("o_orderkey").cast("string").alias("last_name")
+    )
+    credits = s["lineitem"].select(F.col("l_orderkey").alias("actor_id"), F.col("l_partkey").alias("film_id"))
+    return roles.lines_as_rentals(s).but(actor=actor, film_actor=credits)
 
 
 def _gap_sql(released: str) -> str:
@@ -257,7 +297,7 @@ def _popular_sql(key: str) -> str:
         WHERE upper(n_name) IN ('NATION_3', 'NATION_7', 'NATION_12', 'NOWHERE')
         GROUP BY n_name, p_name, {key}),
     placed AS (SELECT *, row_number() OVER (PARTITION BY n_name ORDER BY n DESC, p_name, film) AS place FROM counted)
-    SELECT n_name AS country, p_name AS film_title, CAST(n AS INTEGER) AS rentals FROM placed WHERE place = 1"""
+    SELECT n_name AS country, p_name AS film_title, n AS rentals FROM placed WHERE place = 1"""
 
 
 _COUNTRIES = ["nation_3", "NATION_7", "Nation_12", "Nowhere"]
@@ -277,7 +317,7 @@ def most_popular_titles_by_country(spark: SparkSession, root: str) -> DataFrame:
 @query(
     f"""
     SELECT c_custkey AS customer_id, {_FIRST_LAST.format('c_name')}, lower(c_name) || '@example.com' AS email,
-           CAST(COUNT(*) AS INTEGER) AS purchases, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spent
+           COUNT(*) AS purchases, CAST(SUM(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) AS total_spent
     FROM customer JOIN orders ON o_custkey = c_custkey
     WHERE date_trunc('month', o_orderdate) = DATE '1998-05-01'
     GROUP BY c_custkey, c_name
@@ -291,7 +331,7 @@ def rewards_report(spark: SparkSession, root: str) -> DataFrame:
 @query(
     f"""
     WITH {_OUT}
-    SELECT CAST(row_number() OVER (ORDER BY p_name, p_partkey) AS INTEGER) AS row_num, p_partkey AS film_id, p_name AS title
+    SELECT row_number() OVER (ORDER BY p_name, p_partkey) AS row_num, p_partkey AS film_id, p_name AS title
     FROM part WHERE upper(p_name) LIKE '%WIDGET%' AND p_partkey NOT IN (SELECT l_partkey FROM copies_out)"""
 )
 def films_in_stock_by_title(spark: SparkSession, root: str) -> DataFrame:
@@ -300,7 +340,7 @@ def films_in_stock_by_title(spark: SparkSession, root: str) -> DataFrame:
 
 @query(
     """
-    SELECT CAST(1 AS INTEGER) AS row_num, CAST(NULL AS BIGINT) AS film_id,
+    SELECT CAST(1 AS BIGINT) AS row_num, CAST(NULL AS BIGINT) AS film_id,
            'No films found in stock for pattern: %no such title%' AS title
     WHERE NOT EXISTS (SELECT 1 FROM part WHERE upper(p_name) LIKE '%NO SUCH TITLE%')"""
 )

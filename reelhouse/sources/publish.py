@@ -10,9 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reelhouse.functions.order import tie_breakers
+from reelhouse.functions.order import spread_by_range, tie_breakers
 
 
 def create_table_as(df: DataFrame, path: str) -> DataFrame:
@@ -24,10 +24,12 @@ def create_table_as(df: DataFrame, path: str) -> DataFrame:
 def clustered(df: DataFrame, columns: list[str]) -> DataFrame:
     """``df`` in ranges of ``columns``, so that a filter on them skips files and row groups.
 
-    The other columns take part in the ranges: a value that fills a third of the table
-    is spread over as many files as its rows need.
+    The other columns take part in the ranges, and the place in the input after them: a
+    value that fills a third of the table is spread over as many files as its rows need,
+    even where the rows are wholly equal.
     """
-    return df.repartitionByRange(*columns, *tie_breakers(df, columns)).sortWithinPartitions(*columns)
+    order = [F.col(f"`{c}`") for c in columns] + tie_breakers(df, columns)
+    return spread_by_range(df, order).sortWithinPartitions(*columns)
 
 
 def publish(

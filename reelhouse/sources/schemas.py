@@ -12,10 +12,10 @@ RENTAL = {
     "category": "category_id INT, name STRING",
     "film_category": "film_id INT, category_id INT",
     "language": "language_id INT, name STRING",
-    "inventory": "inventory_id INT, film_id INT, store_id INT, last_update DATE",
-    "rental": """rental_id INT, rental_date TIMESTAMP_NTZ, inventory_id INT, customer_id INT,
+    "inventory": "inventory_id BIGINT, film_id INT, store_id INT, last_update DATE",
+    "rental": """rental_id BIGINT, rental_date TIMESTAMP_NTZ, inventory_id BIGINT, customer_id INT,
         return_date TIMESTAMP_NTZ, staff_id INT, last_update DATE""",
-    "payment": """payment_id INT, customer_id INT, staff_id INT, rental_id INT,
+    "payment": """payment_id BIGINT, customer_id INT, staff_id INT, rental_id BIGINT,
         amount DECIMAL(5,2), payment_date TIMESTAMP_NTZ""",
     "customer": """customer_id INT, store_id INT, first_name STRING, last_name STRING, email STRING,
         address_id INT, active INT, create_date DATE, last_update DATE""",

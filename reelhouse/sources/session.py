@@ -25,6 +25,7 @@ def local_session(
         .config("spark.sql.shuffle.partitions", partitions)
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     if warehouse is not None:
         builder = builder.config("spark.sql.warehouse.dir", warehouse)
