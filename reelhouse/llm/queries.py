@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reelhouse.plans.registry import Registry
 
 from .common import ship
-from . import language_id, license_scan, mixing, order_minhash, packing, quality_rules, secrets, simhash, token_files, warc
+from . import language_id, license_scan, mixing, oracles, order_minhash, packing, quality_rules, secrets, simhash, token_files, warc
 
 registry = Registry()
 
@@ -39,12 +39,12 @@ def op2_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@registry.query()
+@registry.query(oracles.license_labels())
 def op3_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return license_scan.license_scan(table(spark, folder, "documents"))
 
 
-@registry.query()
+@registry.query(oracles.source_mix())
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.words_taken(table(spark, folder, "documents"))
 
