@@ -74,6 +74,16 @@ def number_array(values: list[float]) -> Column:
     return F.split(F.lit(",".join(f"{v:.9g}" for v in values)), ",").cast("array<double>")
 
 
+def thinned(rows: DataFrame, key: Column, bound: int) -> DataFrame:
+    """About twice ``bound`` of ``rows``, chosen by a hash of ``key``, or all if there are fewer.
+
+    Taken before a sample is ordered or collected, so that the sample costs its own size and
+    not that times the number of tasks. Rows of one key stay or go together.
+    """
+    share = min(1.0, 2 * bound / max(1, rows.count()))
+    return rows.where(F.pmod(F.xxhash64(key), F.lit(1 << 30)) < F.lit(int(share * (1 << 30))))
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A new folder's address under the folder that the cluster shares; only writers create it."""
     ensure_checkpoint_dir(spark)

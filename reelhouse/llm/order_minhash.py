@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import indices, let, pick, words_of
+from .common import indices, let, pick, thinned, words_of
 
 _PLACE_BITS = 31  # the low bits of a selected value are its k-mer's place, the others its hash
 
@@ -23,8 +23,8 @@ _PLACE_BITS = 31  # the low bits of a selected value are its k-mer's place, the
 class Sketching:
     """``kmer`` words make a k-mer; ``sketches`` pairs make a fingerprint.
 
-    ``sample`` ids for each part, those with the least hashes, are brought to the driver
-    to divide the id range into even parts.
+    About ``sample`` ids for each part, chosen by hash, are brought to the driver to divide
+    the id range into even parts.
     """
 
     kmer: int = 3
@@ -127,8 +127,8 @@ def _chunked(docs: DataFrame, sketching: Sketching) -> DataFrame:
     spark = docs.sparkSession
     rows = pick(docs, "doc_id", "text").withColumn("text", F.coalesce("text", F.lit("")))
     parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = rows.where(F.col("doc_id").isNotNull()).select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
-    sample = sorted(r[0] for r in ids.limit(parts * sketching.sample).collect())
+    ids = rows.where(F.col("doc_id").isNotNull()).select("doc_id")
+    sample = sorted(r[0] for r in thinned(ids, F.col("doc_id"), parts * sketching.sample // 2).distinct().collect())
     bounds = [F.lit(sample[i]) for i in range(sketching.sample, len(sample), sketching.sample)]
     chunk = F.size(F.filter(F.array(*bounds), lambda b: b <= F.col("doc_id"))) if bounds else F.lit(0)
     rows = rows.withColumn("chunk", chunk)

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reelhouse.operators.joins import hot_join
 
-from .common import packed, pick, unpacked, written
+from .common import packed, pick, thinned, unpacked, written
 
 _SEED = 42
 _CHUNK = 1 << 16  # hashes whose bits are unpacked at once
@@ -29,7 +29,7 @@ _CELLS = 1 << 20  # comparisons made at once
 
 @dataclass(frozen=True)
 class Search:
-    """``sample`` bounds the fingerprints that reach the driver to fit the tree on.
+    """Half of ``sample`` bounds, on average, the fingerprints that reach the driver to fit the tree on.
 
     The tree is as deep as ``leaf`` fingerprints a shard ask for, ``depth`` at most; shards
     that are larger for it are pruned further where they are searched.
@@ -227,7 +227,8 @@ def links(fingerprints: DataFrame, search: Search = Search()) -> DataFrame:
     distinct = written(fingerprints.select("fp").distinct(), "fingerprints")
     n = distinct.count()
     depth = min(search.depth, max(0, int(np.ceil(np.log2(max(1, n) / search.leaf)))))
-    sample = [r["fp"] for r in distinct.orderBy(F.xxhash64("fp"), "fp").limit(min(search.sample, 16 << depth)).collect()] if depth else []
+    few = thinned(distinct, F.col("fp"), min(search.sample // 4, 16 << depth)).orderBy(F.xxhash64("fp"), "fp")
+    sample = [r["fp"] for r in few.collect()] if depth else []
     tree = Tree.fit(np.array(sample, np.int64).view(np.uint64), depth, search.max_bits)
     max_bits = search.max_bits
 
