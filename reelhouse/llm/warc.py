@@ -12,7 +12,7 @@ from __future__ import annotations
 import json
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterator, Mapping
 from dataclasses import dataclass
 
 import pandas as pd
@@ -208,9 +208,12 @@ class WarcSource(DataSource):
 
     Options: ``path`` (a folder or file), ``files`` (a JSON list of files in the folder,
     all with a WARC name by default), ``payload`` (``false``: payloads are null and never
-    decoded), ``partition_bytes`` (files packed into one partition). Conditions of the
-    form ``column = value`` or ``column IN (…)`` on the header columns are taken over when
-    ``spark.sql.python.filterPushdown.enabled`` is set.
+    decoded), ``partition_bytes`` (files packed into one partition), ``headers`` (a JSON
+    object: the allowed values of each header named, any value if the list is empty).
+    With ``pushdown`` (``true``, and ``spark.sql.python.filterPushdown.enabled``) conditions
+    of the form ``column = value`` or ``column IN (…)`` on the header columns are taken over
+    from the query. Spark then keeps the reader with its conditions, so a DataFrame loaded
+    so must serve one query only; ``headers`` has no such effect.
     """
 
     @classmethod
@@ -221,7 +224,8 @@ class WarcSource(DataSource):
         return SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
-        return WarcReader(dict(self.options))
+        options = dict(self.options)
+        return PushingWarcReader(options) if options.get("pushdown", "false").lower() == "true" else WarcReader(options)
 
 
 class WarcReader(DataSourceReader):
@@ -230,19 +234,7 @@ class WarcReader(DataSourceReader):
         self.names = json.loads(options["files"]) if "files" in options else None
         self.payload = options.get("payload", "true").lower() != "false"
         self.partition_bytes = int(options.get("partition_bytes", 128 << 20))
-        self.allowed: list[tuple[str, frozenset[str]]] = []
-
-    def pushFilters(self, filters: list[Filter]):
-        for f in filters:
-            header = _COLUMNS.get(f.attribute[0]) if len(getattr(f, "attribute", ())) == 1 else None
-            if header and isinstance(f, EqualTo) and isinstance(f.value, str):
-                self.allowed.append((header, frozenset([f.value])))
-            elif header and isinstance(f, In):
-                self.allowed.append((header, frozenset(v for v in f.value if v is not None)))
-            elif header and isinstance(f, IsNotNull):
-                self.allowed.append((header, frozenset()))
-            else:
-                yield f
+        self.allowed = [(h, frozenset(values)) for h, values in json.loads(options.get("headers", "{}")).items()]
 
     def wanted(self, headers: dict[str, str]) -> bool:
         return all(h in headers and (not values or headers[h] in values) for h, values in self.allowed)
@@ -286,6 +278,22 @@ class WarcReader(DataSourceReader):
             yield _batch(rows)
 
 
+class PushingWarcReader(WarcReader):
+    """A reader that also takes conditions over from the query."""
+
+    def pushFilters(self, filters: list[Filter]):
+        for f in filters:
+            header = _COLUMNS.get(f.attribute[0]) if len(getattr(f, "attribute", ())) == 1 else None
+            if header and isinstance(f, EqualTo) and isinstance(f.value, str):
+                self.allowed.append((header, frozenset([f.value])))
+            elif header and isinstance(f, In):
+                self.allowed.append((header, frozenset(v for v in f.value if v is not None)))
+            elif header and isinstance(f, IsNotNull):
+                self.allowed.append((header, frozenset()))
+            else:
+                yield f
+
+
 def payload_of(headers: dict[str, str], block: bytes) -> bytes:
     """The block without the head of an HTTP message."""
     if headers.get("Content-Type", "").startswith("application/http"):
@@ -367,11 +375,14 @@ def write_archives(pages: DataFrame, archive: Archive = Archive()) -> tuple[str,
     return folder, written(rows.mapInPandas(write, "file string, records long"), "warc-files")
 
 
-def read_archives(spark: SparkSession, folder: str, files: list[str] | None = None, **options: str) -> DataFrame:
-    """The records in ``folder``, with conditions on headers pushed into the reader."""
+def read_archives(
+    spark: SparkSession, folder: str, files: list[str] | None = None, headers: Mapping[str, list[str]] | None = None, **options: str
+) -> DataFrame:
+    """The records in ``folder`` whose headers have the values asked for; the others are passed over by the reader."""
     spark.dataSource.register(WarcSource)
-    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     reader = spark.read.format("warc").options(**options)
+    if headers is not None:
+        reader = reader.option("headers", json.dumps(headers))
     if files is not None:
         reader = reader.option("files", json.dumps(files))
     return reader.load(folder)
