@@ -7,8 +7,8 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 
 _TEXT_AT_ONCE = 2 << 20  # characters whose words are looked up together
-_WORDS_AT_ONCE = 8192  # new words encoded in one call
-_CACHED = 400_000  # words in each of two generations of the cache
+_WORDS_AT_ONCE = 512  # new words encoded in one call
+_CACHED = 700_000  # words in each of two generations of the cache
 
 _encoders: dict[str, "WordEncoder"] = {}
 
