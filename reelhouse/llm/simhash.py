@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from reelhouse.operators.joins import hot_join
 
@@ -309,18 +309,24 @@ def near_groups(docs: DataFrame, search: Search = Search()) -> DataFrame:
     )
 
 
-def view_fingerprints(text: Column, views: int, words: int, picked: int = 3) -> Column:
-    """SimHash fingerprints of small parts of a text: of its ``picked`` least distinct shingles in each of ``views`` orders.
+def marks(text: Column, views: int, words: int, picked: int = 3) -> Column:
+    """The ``fp`` of a text, as :func:`fingerprint`, and its ``views``: fingerprints of small parts of it.
 
-    Two texts agree in a view about as often as the power ``picked`` of their shingles'
-    similarity, so a few views bring together what the fingerprint of all shingles, a few
-    bits away, does not. A text without words has none.
+    A part is the ``picked`` least distinct shingles in one of ``views`` orders. Two texts
+    agree in a view about as often as the power ``picked`` of their shingles' similarity,
+    so a few views bring together what the fingerprint of all shingles, a few bits away,
+    does not. A text without words has no view.
     """
 
-    @F.pandas_udf("array<long>")
-    def of(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.pandas_udf("fp long, views array<long>")
+    def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for part in parts:
-            yield pd.Series([_views(shingle_hashes(t or b"", words), views, picked) for t in part], dtype=object)
+            fps, found = [], []
+            for t in part:
+                hashes = shingle_hashes(t or b"", words)
+                fps.append(majority(hashes))
+                found.append(_views(hashes, views, picked))
+            yield pd.DataFrame({"fp": np.array(fps, np.uint64).view(np.int64), "views": pd.Series(found, dtype=object)})
 
     return of(text.cast("binary"))
 
@@ -352,25 +358,38 @@ def similarity(a: Column, b: Column, words: int) -> Column:
     return of(a.cast("binary"), b.cast("binary"))
 
 
-def similar_links(texts: DataFrame, views: int, words: int, least: float) -> DataFrame:
-    """Links (u, v) between rows of ``texts`` (row, text) that share a view and are ``least`` similar.
+def candidate_pairs(marked: DataFrame) -> DataFrame:
+    """Pairs (row, centre) of rows of ``marked`` (row, views) that share a view.
 
-    In each group of rows that share a view, every row is compared with one, that which
+    In each group of rows that share a view, every row is paired with one, that which
     shares most views with other rows: of a text and its changed copies this is the text,
-    from which the copies differ less than from each other. So the comparisons grow with
-    the rows and not with the square of a group, and each is exact.
+    from which the copies differ less than from each other. So the pairs grow with the rows
+    and not with the square of a group.
     """
-    sides = texts.select("row", F.posexplode(view_fingerprints(F.col("text"), views, words)).alias("view", "fp"))
-    sides = written(sides, "views")
-    group = ["view", "fp"]
+    group = ["view", "part"]
+    sides = marked.select("row", F.posexplode("views").alias(*group))
     sizes = sides.groupBy(*group).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(hot_join(sides, sizes, group), "shared-views")
     known = shared.groupBy("row").agg(F.sum("n").alias("known"))
     centre = shared.join(known, "row").groupBy(*group).agg(F.max(F.struct("known", "row"))["row"].alias("centre"))
-    pairs = hot_join(shared, centre, group).where("row <> centre").select("row", "centre").distinct()
-    pairs = pairs.join(texts, "row").withColumnRenamed("text", "a")
-    pairs = hot_join(pairs, texts.select(F.col("row").alias("centre"), F.col("text").alias("b")), ["centre"])
-    return pairs.where(similarity(F.col("a"), F.col("b"), words) >= least).select(F.col("row").alias("u"), F.col("centre").alias("v"))
+    return hot_join(shared, centre, group).where("row <> centre").select("row", "centre").distinct()
+
+
+def _content_keys() -> list[Column]:
+    """128 bits that tell rows (doc_id, text) apart, nulls included."""
+    none = [F.isnull("doc_id").cast("int"), F.isnull("text").cast("int")]
+    return [F.xxhash64("doc_id", "text", *none).alias("k1"), F.xxhash64(*none, "text", "doc_id").alias("k2")]
+
+
+def similar_links(docs: DataFrame, marked: DataFrame, words: int, least: float) -> DataFrame:
+    """Links (u, v) between the candidate pairs of ``marked`` (row, views, k1, k2) that are ``least`` similar, exactly."""
+    keys = marked.select("row", "k1", "k2")
+    pairs = candidate_pairs(marked).join(keys, "row")
+    pairs = hot_join(pairs, keys.select(F.col("row").alias("centre"), F.col("k1").alias("c1"), F.col("k2").alias("c2")), ["centre"])
+    texts = pick(docs, "doc_id", "text").select(*_content_keys(), "text")
+    left = pairs.join(texts.withColumnRenamed("text", "a"), ["k1", "k2"]).select("row", "centre", "c1", "c2", "a")
+    both = left.join(texts.toDF("c1", "c2", "b"), ["c1", "c2"])
+    return both.where(similarity(F.col("a"), F.col("b"), words) >= least).select(F.col("row").alias("u"), F.col("centre").alias("v"))
 
 
 @dataclass(frozen=True)
@@ -389,32 +408,34 @@ class NearCopies:
 def one_of_each(docs: DataFrame, near: NearCopies = NearCopies()) -> DataFrame:
     """``docs`` with one row of each group of near-duplicates, that of the smallest id.
 
-    Of rows with one id, null ids last, that of the smallest text hash stays, and of
-    wholly equal ones any one. The marked rows are written once, so every later step sees
-    the same row numbers. Equal texts are put together first, so that a text with very
-    many copies is compared once.
+    Of rows with one id, null ids last, that of the smallest text hash stays, and of rows
+    with one id and one text any one. Texts are not copied: the marks of each row are
+    written once, and rows are found again by a 128-bit hash of id and text. Equal texts
+    are put together first, so that a text with very many copies is compared once.
     """
-    rows = packed(docs, "doc_id", "text").select(
-        "doc",
+    marked = pick(docs, "doc_id", "text").select(
         "doc_id",
-        "text",
         F.xxhash64("text").alias("hash"),
         F.sha2("text", 256).alias("same"),
-        fingerprint(F.col("text"), near.search.words).alias("fp"),
+        *_content_keys(),
+        marks(F.col("text"), near.views, near.search.words).alias("marks"),
         F.monotonically_increasing_id().alias("row"),
     )
-    rows = written(rows, "marked")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row")
-    texts = rows.groupBy("fp", F.coalesce("same", F.lit("")).alias("same")).agg(F.min(order).alias("first"))
+    marked = written(marked.select("*", "marks.*").drop("marks"), "marked")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row", "k1", "k2")
+    texts = marked.groupBy("fp", F.coalesce("same", F.lit("")).alias("same")).agg(F.min(order).alias("first"))
     texts = written(texts.select("fp", "first", F.col("first.row").alias("row")), "texts")
     # The first row of each fingerprint stands for it; links then connect rows.
     of_fingerprint = texts.groupBy("fp").agg(F.min("row").alias("v"))
     equal = hot_join(texts.select("fp", F.col("row").alias("u")), of_fingerprint, ["fp"]).select("u", "v")
     close = links(texts, near.search).withColumnRenamed("u", "fp").join(of_fingerprint.withColumnRenamed("v", "a"), "fp").select("a", F.col("v").alias("fp"))
     close = close.join(of_fingerprint, "fp").select(F.col("a").alias("u"), "v")
-    bodies = rows.select("row", "text").join(texts.select("row"), "row", "left_semi")
-    similar = similar_links(bodies, near.views, near.search.words, near.similarity)
+    once = marked.join(texts.select("row"), "row", "left_semi")
+    similar = similar_links(docs, once, near.search.words, near.similarity)
     found = components(equal.unionByName(close).unionByName(similar))
     rooted = texts.join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    kept = rooted.groupBy("root").agg(F.min("first").alias("first"))
-    return unpacked(rows.drop("text").join(kept.select("first.row"), "row", "left_semi"), docs)
+    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.k1", "first.k2")
+    rows = packed(docs, "doc_id", "text").select("doc", *_content_keys()).join(kept, ["k1", "k2"], "left_semi")
+    # Rows of one id and one text have met in one partition for the join.
+    place = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0)))
+    return unpacked(rows.withColumn("place", place).where("place = 1"), docs)
