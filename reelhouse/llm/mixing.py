@@ -190,8 +190,9 @@ def pieces(placed: DataFrame, slots: DataFrame, mix: Mix = Mix()) -> DataFrame:
         F.explode(F.sequence(F.floor(F.col("start") / b), F.floor((F.col("start") + F.col("size") - 1) / b))).alias("block"),
     )
     at = F.col("block") * b
+    # Spark estimates the exploded rows by the table before it, and would broadcast them.
     return (
-        parts.join(slots.select("source_no", "block", "epoch", "words"), ["source_no", "block"])
+        parts.hint("merge").join(slots.select("source_no", "block", "epoch", "words"), ["source_no", "block"])
         .select(
             "source_no",
             "start",
