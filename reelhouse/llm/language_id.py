@@ -15,7 +15,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import pick, ship
+from .common import pick, ship, written
 
 UNKNOWN = "und"
 _BLOCK = 256  # texts whose vectors are held at once
@@ -37,6 +37,7 @@ class Training:
     sample: int = 400
     centroids: int = 4
     rounds: int = 12
+    broadcast_languages: int = 10_000
     slack: float = 1.1
 
 
@@ -125,7 +126,10 @@ class Model:
 
 def _sampled(labelled: DataFrame, training: Training) -> DataFrame:
     """At most ``sample`` rows of each language, thinned by hash before they are ordered."""
-    sizes = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))  # one row per language
+    sizes = written(labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "languages")
+    # So that texts are thinned where they are read; with more languages they meet their size in a shuffle.
+    if sizes.count() <= training.broadcast_languages:
+        sizes = F.broadcast(sizes)
     place = F.xxhash64("doc_id", "text")
     share = F.lit(float(2 * training.sample << 20)) / F.col("n")
     thin = labelled.withColumn("hash", place).join(sizes, "lang").where(F.pmod(F.col("hash"), F.lit(1 << 20)) < share)
