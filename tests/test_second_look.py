@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from reelhouse.operators import change, integrity, lists, numbering, reports, seeding
+from reelhouse.operators.joins import hot_join
 from reelhouse.plans import auction, report_queries
 from reelhouse.sources.publish import clustered
 from rental import table, ts, values
@@ -151,3 +152,16 @@ def test_a_missing_record_date_is_found(spark):
     rows = spark.createDataFrame([(1, "LT", dt.date(2024, 1, 1)), (2, "LV", None)], "country_id BIGINT, country_name STRING, record_ts DATE")
     broken = integrity.violating_rows(rows, {"record_ts not null": rules["country"].checks["record_ts not null"]})
     assert [r["country_id"] for r in broken.collect()] == [2]
+
+
+def test_a_hot_key_crosses_the_shuffle_once(spark):
+    rows = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").alias("v"))
+    lookup = spark.range(7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("n"))
+    joined = hot_join(rows, lookup, ["k"])
+    assert joined.columns == ["k", "v", "n"] and joined.where("n <> 2 * k").isEmpty() and joined.count() == 100
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    sides = [line.split("Project ")[1] for line in plan.splitlines() if "AS _key" in line]
+    assert len(sides) == 2
+    for side in sides:
+        assert " AS k#" not in side
+    assert hot_join(rows, lookup.where("k < 3"), ["k"], "left_anti").columns == ["k", "v"]
