@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import bisect
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,12 +26,11 @@ from .tokens import WordEncoder
 
 @dataclass(frozen=True)
 class Packing:
-    """``nodes`` bounds the fillings tried beyond the first descent, ``fillings`` those kept at a node."""
+    """``nodes`` bounds the fillings tried, or dropped as dominated, beyond the first descent."""
 
     length: int = 4096
     end_id: int = 1
     nodes: int = 20_000
-    fillings: int = 4
     rank_parts: int = 4_096
     rank_block: int = 64
 
@@ -75,71 +74,132 @@ def pieces(docs: DataFrame, tokenizer: str, packing: Packing = Packing(), with_i
 
 
 Filling = tuple[tuple[int, int], ...]  # (length, how many), longest first
+Completion = tuple[Filling, int, int]  # filling of a whole sequence, how many sequences have it, waste of each
 
 
 class _Stock:
-    """Pieces at hand: how many of each length, and the lengths in order."""
+    """Pieces at hand: how many of each length, the lengths in order, and the sums they can give."""
 
-    def __init__(self, histogram: dict[int, int]) -> None:
+    def __init__(self, histogram: dict[int, int], room: int) -> None:
         self.counts = {size: n for size, n in histogram.items() if n}
         self.lengths = sorted(self.counts)
+        self.bits = sum(1 << size for size in self.lengths)
+        self.room, self.all = room, (1 << (room + 1)) - 1
+        self.sums: list[int] = []  # see reach; as many of them as are still right
 
     def add(self, size: int, n: int) -> None:
         """``n`` pieces more, or fewer where it is negative."""
-        now = self.counts.get(size, 0) + n
+        old = self.counts.get(size, 0)
+        now, most = old + n, self.room // size
+        at = bisect.bisect_left(self.lengths, size)
+        if min(old, most) != min(now, most):
+            del self.sums[at:]
+        if not old:
+            self.lengths.insert(at, size)
+            self.bits |= 1 << size
         if now:
-            if size not in self.counts:
-                bisect.insort(self.lengths, size)
             self.counts[size] = now
         else:
             del self.counts[size]
-            self.lengths.pop(bisect.bisect_left(self.lengths, size))
+            self.lengths.pop(at)
+            self.bits &= ~(1 << size)
 
     def use(self, filling: Filling, times: int) -> None:
         for size, n in filling:
             self.add(size, -n * times)
 
-    def fillings(self, room: int, most: int) -> list[Filling]:
-        """Undominated fillings of ``room``, those that leave least room first.
-
-        A filling is dominated if one of its pieces can be replaced by a longer one at hand
-        that still fits. Descents that take the longest fitting length each time, begun at
-        each of the longest lengths in turn, give fillings that no longer piece can improve
-        after the first.
+    def reach(self, at: int) -> int:
+        """The totals that pieces of the lengths up to place ``at`` can have, as bits."""
+        for i in range(len(self.sums), at + 1):
+            size, bits = self.lengths[i], self.sums[-1] if i else 1
+            left, step = min(self.counts[size], self.room // size), 1
+            while left and bits != self.all:
+                step = min(step, left)
+                bits |= bits << step * size & self.all
+                left, step = left - step, 2 * step
+            self.sums.append(bits)
+        return self.sums[at] if at >= 0 else 1
+
+    def fillings(self, room: int, hope: Callable[[], int]) -> Iterator[Filling | None]:
+        """All undominated fillings of ``room``, those that leave least of it first, as long as that is at most ``hope()``.
+
+        A filling is dominated if a longer piece at hand fits instead of one of its pieces or
+        of none, or one that is as long or longer instead of several. A None is given
+        wherever a filling begun turns out to be dominated; the first filling, the fullest one
+        with the longest pieces, never is. Between two fillings the pieces may be used if they
+        are put back.
+        """
+        total = room + 1
+        while total > 0:
+            total = (self.reach(bisect.bisect_right(self.lengths, room) - 1) & (1 << total) - 1).bit_length() - 1
+            waste = room - total
+            if waste > hope():
+                return
+            # Pieces that the waste has room for have to be used, all of them.
+            short = {size: self.counts[size] for size in self.lengths[: bisect.bisect_right(self.lengths, waste)]}
+            if sum(size * n for size, n in short.items()) > total:
+                return
+            yield from self._fillings(total, len(self.lengths), waste, short, (), 0, 0)
+
+    def _fillings(self, left: int, top: int, waste: int, short: dict[int, int], chosen: Filling, one: int, more: int) -> Iterator[Filling | None]:
+        """``chosen`` and pieces of the lengths before place ``top`` that have the total ``left``.
+
+        ``one`` and ``more`` have the totals of single and of several pieces of ``chosen`` as bits.
         """
-        found: dict[Filling, int] = {}
-        top = bisect.bisect_right(self.lengths, room)
-        for first in range(top - 1, max(-1, top - 1 - 4 * most), -1):
-            filling, left, at = [], room, first
-            while at >= 0 and left > 0:
-                size = self.lengths[at]
-                if size > left:
-                    at = bisect.bisect_right(self.lengths, left, 0, at) - 1
+        if not left:
+            yield chosen if short.items() <= dict(chosen).items() else None
+            return
+        for at in range(bisect.bisect_right(self.lengths, left, 0, min(top, len(self.lengths))) - 1, -1, -1):
+            if not self.reach(at) >> left & 1:
+                return
+            size = self.lengths[at]
+            for n in range(min(self.counts[size], left // size), 0, -1):
+                if not self.reach(at - 1) >> (left - n * size) & 1:
                     continue
-                n = min(self.counts[size], left // size)
-                filling.append((size, n))
-                left -= n * size
-                at -= 1
-            if filling:
-                found[tuple(filling)] = left
-            if left == 0 and len(found) >= most:
-                break
-        return sorted(found, key=lambda f: (found[f], tuple(-s for s, _ in f)))[:most] or [()]
-
-    def completions(self, packing: Packing) -> list[tuple[Filling, int, int]]:
-        """Fillings of a sequence around the longest piece: what, how many sequences can have it, and its waste."""
+                own, single, several = (*chosen, (size, n)), one, more
+                for _ in range(n):
+                    several |= (several | single) << size
+                    single |= 1 << size
+                # What replaces pieces is longer than they are, so it has been passed over for good.
+                if self._dominated(own, single, several, waste):
+                    yield None
+                else:
+                    yield from self._fillings(left - n * size, at, waste, short, own, single, several)
+
+    def _dominated(self, chosen: Filling, one: int, more: int, waste: int) -> bool:
+        free = self.bits
+        for size, n in chosen:
+            if self.counts[size] == n:
+                free &= ~(1 << size)
+        longer, done = (one | more) << 1, 1
+        while done < waste:
+            step = min(done, waste - done)
+            longer, done = longer | longer << step, done + step
+        return bool(free & (more | longer if waste else more))
+
+    def completions(self, packing: Packing, hope: Callable[[], int]) -> Iterator[Completion | None]:
+        """Undominated fillings around the longest piece, each in as many sequences as can have it, then in fewer."""
         longest = self.lengths[-1]
-        self.add(longest, -1)
-        rests = self.fillings(packing.length - longest, packing.fillings)
-        self.add(longest, 1)
-        out = []
-        for rest in rests:
-            own = dict(rest)
-            own[longest] = own.get(longest, 0) + 1
-            times = min(self.counts[size] // n for size, n in own.items())
-            waste = packing.length - sum(size * n for size, n in own.items())
-            out.append((tuple(sorted(own.items(), reverse=True)), times, waste))
-        return out
+        for fewer in (False, True):
+            repeated = False
+            self.add(longest, -1)
+            for rest in self.fillings(packing.length - longest, hope):
+                self.add(longest, 1)
+                if rest is None:
+                    yield None
+                else:
+                    own = dict(rest)
+                    own[longest] = own.get(longest, 0) + 1
+                    times = min(self.counts[size] // n for size, n in own.items())
+                    waste = packing.length - sum(size * n for size, n in own.items())
+                    filling = tuple(sorted(own.items(), reverse=True))
+                    repeated |= times > 1
+                    for n in range(times - 1, 0, -1) if fewer else (times,):
+                        yield filling, n, waste
+                self.add(longest, -1)
+            self.add(longest, 1)
+            if not repeated:
+                return
 
 
 def complete_bins(histogram: dict[int, int], packing: Packing = Packing()) -> list[tuple[Filling, int]]:
@@ -147,43 +207,52 @@ def complete_bins(histogram: dict[int, int], packing: Packing = Packing()) -> li
 
     The first descent takes the best-fitting completion at every longest piece, and as many
     sequences of it as the pieces allow; its packing is the first incumbent. Then the last
-    decisions are taken back first and other completions tried, where the waste so far
-    leaves hope of fewer sequences, until the lower bound is met or ``nodes`` completions
-    beyond the first descent were tried.
+    decisions are taken back first and the other undominated completions tried, where the
+    waste so far leaves hope of fewer sequences, until the lower bound is met, none is left,
+    or ``nodes`` completions beyond the first descent were tried or found to be dominated.
     """
-    stock = _Stock(histogram)
+    stock = _Stock(histogram, packing.length)
     total = sum(size * n for size, n in histogram.items())
     # Pieces of over half a sequence can't share one.
     bound = max(-(-total // packing.length), sum(n for size, n in histogram.items() if 2 * size > packing.length))
     best: list[tuple[Filling, int]] = []
     best_bins: int | None = None
     tried = bins = waste = 0
-    trail: list[tuple[tuple[Filling, int, int], list]] = []  # decisions, and what else was to choose from
+    trail: list[tuple[Completion, Iterator[Completion | None]]] = []  # decisions, and what else is to choose from
+
+    def hope() -> int:
+        """The waste that may be added if the sequences are to be fewer than the incumbent's."""
+        return packing.length if best_bins is None else (best_bins - 1) * packing.length - total - waste
+
+    def take(choices: Iterator[Completion | None]) -> bool:
+        nonlocal tried, bins, waste
+        for choice in choices:
+            tried += best_bins is not None
+            if choice is not None:
+                stock.use(choice[0], choice[1])
+                bins, waste = bins + choice[1], waste + choice[1] * choice[2]
+                trail.append((choice, choices))
+                return True
+            if tried > packing.nodes:
+                break
+        return False
+
     while True:
         while stock.lengths:
-            # Fewer sequences than the incumbent's leave this much waste at most.
-            if best_bins is not None and (best_bins - 1) * packing.length - total < waste:
+            if hope() < 0 or not take(stock.completions(packing, hope)):
                 break
-            first, *others = stock.completions(packing)
-            tried += best_bins is not None
-            stock.use(first[0], first[1])
-            bins, waste = bins + first[1], waste + first[1] * first[2]
-            trail.append((first, others))
         else:
             if best_bins is None or bins < best_bins:
                 best_bins, best = bins, [(f, n) for (f, n, _), _ in trail]
+        if best_bins == bound or tried > packing.nodes:
+            return best
         while trail:
-            (filling, times, w), others = trail.pop()
+            (filling, times, w), choices = trail.pop()
             stock.use(filling, -times)
             bins, waste = bins - times, waste - times * w
-            if others:
-                first, *others = others
-                tried += 1
-                stock.use(first[0], first[1])
-                bins, waste = bins + first[1], waste + first[1] * first[2]
-                trail.append((first, others))
+            if take(choices):
                 break
-        if not trail or best_bins == bound or tried > packing.nodes:
+        if not trail:
             return best
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -55,6 +56,37 @@ def test_search_goes_beyond_the_first_descent():
     assert p.complete_bins({}, p.Packing()) == []
 
 
+@pytest.mark.parametrize("copies", [1, 5, 10**6])
+def test_fillings_that_pass_over_a_fitting_length(copies):
+    """Two exactly full sequences exist, but the longest piece that fits is in neither of them."""
+    pieces = [2457, 778, 451, 410, 2253, 737, 573, 533]
+    plan = p.complete_bins(dict.fromkeys(pieces, copies), p.Packing())
+    assert sum(n for _, n in plan) == 2 * copies
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(1, 12), max_size=7), st.integers(1, 20))
+def test_all_undominated_fillings_and_no_others(items, room):
+    def totals(own):
+        """Total and number of pieces of each choice of some pieces."""
+        found = {(0, 0)}
+        for x in own:
+            found |= {(t + x, n + 1) for t, n in found}
+        return found
+
+    def dominated(own):
+        free = Counter(items) - Counter(own)
+        return any(x > t or (x == t and n > 1) for t, n in totals(own) for x in free if t <= x <= t + room - sum(own))
+
+    choices = {tuple(sorted(c)) for n in range(len(items) + 1) for c in combinations(items, n)}
+    expected = {c for c in choices if sum(c) <= room and not dominated(c)}
+    found = list(p._Stock(Counter(items), room).fillings(room, lambda: room))
+    assert found[0] is not None
+    found = [tuple(sorted(x for x, n in f for _ in range(n))) for f in found if f is not None]
+    assert len(found) == len(set(found)) and set(found) == expected
+    assert [sum(f) for f in found] == sorted(map(sum, found), reverse=True)
+
+
 def test_many_of_few_lengths():
     plan = p.complete_bins({4096: 10**9, 1000: 10**9, 3000: 10**9, 96: 10**9}, p.Packing())
     assert sum(n for _, n in plan) == 2 * 10**9
