@@ -141,3 +141,24 @@ def test_one_text_and_many_changed_copies(spark):
     rows += [(2000 + i, passage + " " + " ".join(f"y{rng.randrange(10**6)}" for _ in range(300))) for i in range(50)]
     kept = {r.doc_id for r in s.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert kept == {0, *range(2000, 2050)}
+
+
+@pytest.mark.parametrize("block", [16, 256])
+def test_pairs_that_share_a_template(spark, block):
+    """Texts are 85 % one template and not similar for it; planted pairs of 0.8 to 0.9 among them are all found."""
+    rng = random.Random(5)
+    new = lambda n: [f"w{rng.randrange(10**9)}" for _ in range(n)]
+    template = new(340)
+    rows = [(i, " ".join(template + new(60))) for i in range(200)]
+    for i in range(60):
+        kept = rng.randrange(24, 44)
+        own = new(60)
+        rows.append((1000 + 2 * i, " ".join(template + own)))
+        rows.append((1001 + 2 * i, " ".join(template + own[:kept] + new(60 - kept))))
+    alike = lambda a, b: len(a & b) / len(a | b)
+    sets = {i: shingles(t) for i, t in rows}
+    planted = [i for i in range(1000, 1120, 2) if 0.8 <= alike(sets[i], sets[i + 1])]
+    assert len(planted) > 40 and all(alike(sets[i], sets[j]) < 0.8 for i in range(200) for j in range(i))
+    near = s.NearCopies(block=block)
+    kept = {r.doc_id for r in s.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), near).collect()}
+    assert kept == {i for i, _ in rows} - {i + 1 for i in planted}
