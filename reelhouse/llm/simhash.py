@@ -436,8 +436,7 @@ def open_links(docs: DataFrame, marked: DataFrame, shared: DataFrame, found: Dat
     apart = apart.where("a <> b and size > 2").groupBy("size", "x", "y").agg(F.min(F.struct(*_GROUP)).alias("group"))
     members = written(hot_join(members, apart.select("group.*"), _GROUP, "left_semi"), "open-groups")
     keys = marked.join(members.select("row").distinct(), "row", "left_semi").select("row", "k1", "k2")
-    texts = pick(docs, "doc_id", "text").select(*_content_keys(), "text").join(keys.select("k1", "k2"), ["k1", "k2"], "left_semi")
-    texts = texts.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+    texts = _texts_of(docs, keys.select("k1", "k2"))
 
     @F.pandas_udf("binary")
     def distinct_shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -486,12 +485,20 @@ def _content_keys() -> list[Column]:
     return [F.xxhash64("doc_id", "text", *none).alias("k1"), F.xxhash64(*none, "text", "doc_id").alias("k2")]
 
 
+def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
+    """(k1, k2, text) once for each of ``keys`` (k1, k2), however often its row stands in ``docs``."""
+    rows = pick(docs, "doc_id", "text").select(*_content_keys(), "text")
+    rows = hot_join(rows, keys.distinct(), ["k1", "k2"], "left_semi")
+    return rows.groupBy("k1", "k2").agg(F.first("text").alias("text"))
+
+
 def similar_links(docs: DataFrame, marked: DataFrame, shared: DataFrame, words: int, least: float) -> DataFrame:
     """Links (u, v) between the candidate pairs of ``shared`` that are ``least`` similar, exactly; ``marked`` has (row, k1, k2)."""
     keys = marked.select("row", "k1", "k2")
     pairs = candidate_pairs(shared).join(keys, "row")
     pairs = hot_join(pairs, keys.select(F.col("row").alias("centre"), F.col("k1").alias("c1"), F.col("k2").alias("c2")), ["centre"])
-    texts = pick(docs, "doc_id", "text").select(*_content_keys(), "text")
+    pairs = written(pairs, "pairs")
+    texts = _texts_of(docs, pairs.select("k1", "k2").union(pairs.select("c1", "c2")))
     left = pairs.join(texts.withColumnRenamed("text", "a"), ["k1", "k2"]).select("row", "centre", "c1", "c2", "a")
     both = left.join(texts.toDF("c1", "c2", "b"), ["c1", "c2"])
     return both.where(similarity(F.col("a"), F.col("b"), words) >= least).select(F.col("row").alias("u"), F.col("centre").alias("v"))

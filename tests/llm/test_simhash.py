@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from reelhouse.llm import simhash as s
 
@@ -162,3 +163,13 @@ def test_pairs_that_share_a_template(spark, block):
     near = s.NearCopies(block=block)
     kept = {r.doc_id for r in s.one_of_each(spark.createDataFrame(rows, "doc_id long, text string"), near).collect()}
     assert kept == {i for i, _ in rows} - {i + 1 for i in planted}
+
+
+def test_repeated_rows_are_compared_once(spark):
+    words = [f"w{i}" for i in range(300)]
+    rows = [(1, " ".join(words))] * 30 + [(2, " ".join([*words, "x"]))] * 20
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marked = docs.distinct().select("doc_id", *s._content_keys(), s.marks(F.col("text"), 16, 5).alias("marks"))
+    marked = s.written(marked.select("k1", "k2", F.col("doc_id").alias("row"), "marks.views"), "marked")
+    links = s.similar_links(docs, marked, s.shared_views(marked), 5, 0.8).collect()
+    assert [{r.u, r.v} for r in links] == [{1, 2}]
