@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import license_scan, mixing
+from . import license_scan, mixing, resampling
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -111,3 +111,49 @@ def license_labels(scan: license_scan.Scan = license_scan.Scan()) -> str:
            COALESCE((SELECT string_agg(DISTINCT label, ',' ORDER BY label) FROM labels l WHERE l.row = read.row), '') AS labels,
            CAST(GREATEST(CASE WHEN n > 0 THEN 1.0 ELSE 0.0 END, COALESCE((SELECT MAX(share) FROM found f WHERE f.row = read.row), 0.0)) AS DOUBLE) AS score
     FROM read LEFT JOIN base USING (row)"""
+
+
+def importance_resampling(how: resampling.Resampling = resampling.Resampling()) -> str:
+    """Weights, scores and ranks for features of one word; the checksum is worked out bit by bit, once for each word."""
+    if how.runs != 1:
+        raise ValueError("the SQL knows features of one word only")
+    halved = "CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END"
+    lower = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    words = rf"regexp_extract_all({lower}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+    return f"""
+    WITH checksums AS (
+        SELECT list_transform(range(256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0], lambda c, k: {halved})) AS tab),
+    docs AS (SELECT doc_id, row_number() OVER () AS row_no, {words} AS words FROM documents),
+    doc_words AS (SELECT row_no, word, COUNT(*) AS n FROM (SELECT row_no, unnest(words) AS word FROM docs) GROUP BY ALL),
+    target_words AS (SELECT word, COUNT(*) AS n FROM (SELECT unnest({words}) AS word FROM benchmark) GROUP BY ALL),
+    spelled AS (
+        SELECT word, list_transform(range(strlen(word)), lambda i: CAST('0x' || substr(hex(encode(word)), 2 * i + 1, 2) AS BIGINT)) AS bytes
+        FROM (SELECT word FROM doc_words UNION SELECT word FROM target_words)),
+    bucketed AS (
+        SELECT word, xor(list_reduce(list_prepend(4294967295, bytes), lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1])), 4294967295)
+                     % {how.buckets} AS bucket
+        FROM spelled, checksums),
+    raw AS (SELECT bucket, SUM(n) AS s FROM doc_words JOIN bucketed USING (word) GROUP BY bucket),
+    wanted AS (SELECT bucket, SUM(n) AS t FROM target_words JOIN bucketed USING (word) GROUP BY bucket),
+    totals AS (
+        SELECT (SELECT CAST(COALESCE(SUM(s), 0) + {how.buckets} AS DOUBLE) FROM raw) AS s_all,
+               (SELECT CAST(COALESCE(SUM(t), 0) + {how.buckets} AS DOUBLE) FROM wanted) AS t_all),
+    gained AS (
+        SELECT bucket, CAST(floor(1000 * ln((CAST(COALESCE(t, 0) AS DOUBLE) + 1) * s_all / ((CAST(s AS DOUBLE) + 1) * t_all))) AS BIGINT) AS gain
+        FROM raw LEFT JOIN wanted USING (bucket), totals),
+    weighed AS (
+        SELECT row_no, CAST(SUM(n * gain) AS BIGINT) AS weight
+        FROM doc_words JOIN bucketed USING (word) JOIN gained USING (bucket) GROUP BY row_no),
+    scored AS (
+        SELECT doc_id, CAST(len(words) AS BIGINT) AS n_features, COALESCE(weight, 0) AS weight,
+               COALESCE(weight, 0) + CAST(floor(-1000 * ln(-ln(
+                   (CAST('0x' || substr(sha256('{how.seed}:' || doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296.0::DOUBLE))) AS BIGINT) AS score
+        FROM docs LEFT JOIN weighed USING (row_no)),
+    placed AS (
+        SELECT *, CASE WHEN n_features >= {how.least_words} THEN row_number() OVER (
+                   PARTITION BY n_features >= {how.least_words} ORDER BY score DESC, doc_id) END AS place,
+               COUNT(*) FILTER (n_features >= {how.least_words}) OVER () AS drawable
+        FROM scored)
+    SELECT doc_id, n_features, weight, score, CASE WHEN place <= {how.percent} * drawable // 100 THEN place END AS rank
+    FROM placed
+    """

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reelhouse.plans.registry import Registry
 
 from .common import ship
-from . import language_id, license_scan, mixing, oracles, order_minhash, packing, quality_rules, secrets, simhash, token_files, warc
+from . import language_id, license_scan, mixing, oracles, order_minhash, packing, quality_rules, resampling, secrets, simhash, token_counts, token_files, warc
 
 registry = Registry()
 
@@ -99,3 +99,13 @@ def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
 @registry.query()
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return simhash.near_groups(table(spark, folder, "documents"))
+
+
+@registry.query(oracles.importance_resampling())
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    return resampling.resampled(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@registry.query()
+def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
