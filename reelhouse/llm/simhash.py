@@ -10,7 +10,6 @@ branch is small enough to compare bit by bit, so no pair is missed.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -26,7 +25,6 @@ from .common import packed, pick, thinned, unpacked, written
 _SEED = 42
 _CHUNK = 1 << 16  # hashes whose bits are unpacked at once
 _CELLS = 1 << 20  # comparisons made at once
-_GROUP = ["view", "part"]  # rows of one group share a view
 
 
 @dataclass(frozen=True)
@@ -311,251 +309,33 @@ def near_groups(docs: DataFrame, search: Search = Search()) -> DataFrame:
     )
 
 
-def marks(text: Column, views: int, words: int, picked: int = 3) -> Column:
-    """The ``fp`` of a text, as :func:`fingerprint`, and its ``views``: fingerprints of small parts of it.
-
-    A part is the ``picked`` least distinct shingles in one of ``views`` orders. Two texts
-    agree in a view about as often as the power ``picked`` of their shingles' similarity,
-    so a few views bring together what the fingerprint of all shingles, a few bits away,
-    does not. A text without words has no view.
-    """
-
-    @F.pandas_udf("fp long, views array<long>")
-    def of(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            fps, found = [], []
-            for t in part:
-                hashes = shingle_hashes(t or b"", words)
-                fps.append(majority(hashes))
-                found.append(_views(hashes, views, picked))
-            yield pd.DataFrame({"fp": np.array(fps, np.uint64).view(np.int64), "views": pd.Series(found, dtype=object)})
-
-    return of(text.cast("binary"))
-
-
-def _views(hashes: np.ndarray, views: int, picked: int) -> np.ndarray:
-    hashes, out = np.unique(hashes), []
-    with np.errstate(over="ignore"):
-        for v in range(views if len(hashes) else 0):
-            mixed = (hashes ^ np.uint64(0x9E3779B97F4A7C15 * (2 * v + 1) % (1 << 64))) * np.uint64(0xD6E8FEB86659FD93)
-            mixed = (mixed ^ (mixed >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-            mixed ^= mixed >> np.uint64(29)
-            least = np.argpartition(mixed, picked - 1)[:picked] if len(hashes) > picked else np.arange(len(hashes))
-            out.append(majority(mixed[least]))
-    return np.array(out, np.uint64).view(np.int64)
-
-
-def similarity(a: Column, b: Column, words: int) -> Column:
-    """The share of the distinct word shingles of two texts that they have in common; 1 for two texts without any."""
-
-    @F.pandas_udf("double")
-    def of(lefts: pd.Series, rights: pd.Series) -> pd.Series:
-        def one(x: bytes | None, y: bytes | None) -> float:
-            p, q = np.unique(shingle_hashes(x or b"", words)), np.unique(shingle_hashes(y or b"", words))
-            both = len(np.intersect1d(p, q, assume_unique=True))
-            return both / (len(p) + len(q) - both) if len(p) + len(q) else 1.0
-
-        return pd.Series([one(x, y) for x, y in zip(lefts, rights)], dtype=float)
-
-    return of(a.cast("binary"), b.cast("binary"))
-
-
-def shared_views(marked: DataFrame) -> DataFrame:
-    """(row, view, part, n) for each view of ``marked`` (row, views) that ``n`` rows share, more than one."""
-    sides = marked.select("row", F.posexplode("views").alias(*_GROUP))
-    sizes = sides.groupBy(*_GROUP).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return written(hot_join(sides, sizes, _GROUP), "shared-views")
-
-
-def candidate_pairs(shared: DataFrame) -> DataFrame:
-    """Pairs (row, centre) of rows of ``shared`` (see :func:`shared_views`) that share a view.
-
-    In each group of rows that share a view, every row is paired with one, that which
-    shares most views with other rows: of a text and its changed copies this is the text,
-    from which the copies differ less than from each other. So the pairs grow with the rows
-    and not with the square of a group; :func:`open_links` compares what they leave apart.
-    """
-    known = shared.groupBy("row").agg(F.sum("n").alias("known"))
-    centre = shared.join(known, "row").groupBy(*_GROUP).agg(F.max(F.struct("known", "row"))["row"].alias("centre"))
-    return hot_join(shared, centre, _GROUP).where("row <> centre").select("row", "centre").distinct()
-
-
-def _bitmaps(sets: list[np.ndarray]) -> np.ndarray:
-    """1024 parity bits of each set; two sets differ in at least as many members as their bits."""
-    out = np.zeros((len(sets), 1024), np.uint8)
-    for i, s in enumerate(sets):
-        out[i] = np.bincount((s.view(np.uint64) % np.uint64(1024)).astype(np.int64), minlength=1024) & 1
-    return np.packbits(out, axis=1).view(np.uint64)
-
-
-def cell_links(least: float):
-    """For ``applyInPandas`` over rows (row, root, seeks, hashes) of a cell; gives rows (u, v).
-
-    Compares all of the cell with those of its rows that seek, but for pairs whose roots
-    are equal or linked by then, or that sizes or bitmaps rule out.
-    """
-
-    def run(cell: pd.DataFrame) -> pd.DataFrame:
-        rows, roots, seeks = cell["row"].to_numpy(), cell["root"].to_numpy(), cell["seeks"].to_numpy()
-        sets = [np.frombuffer(h, np.int64) for h in cell["hashes"]]
-        sizes, bits, found = np.array([len(s) for s in sets]), _bitmaps(sets), []
-        names, labels = np.unique(roots, return_inverse=True)
-        others = np.flatnonzero(~seeks) if not seeks.all() else np.arange(len(rows))
-        for i in np.flatnonzero(seeks):
-            both = sizes[i] + sizes[others]
-            apart = np.bitwise_count(bits[others] ^ bits[i]).sum(axis=1, dtype=np.int64)
-            near = apart * (1 + least) <= (1 - least) * both + 1e-6
-            near &= np.minimum(sizes[i], sizes[others]) >= least * np.maximum(sizes[i], sizes[others]) - 1e-6
-            for j in others[near & (labels[others] != labels[i])]:
-                if labels[i] == labels[j]:
-                    continue
-                common = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                if common / (sizes[i] + sizes[j] - common) >= least:
-                    labels[labels == labels[j]] = labels[i]
-                    found.append((rows[i], rows[j]))
-        return pd.DataFrame(found, columns=["u", "v"], dtype=np.int64)
-
-    return run
-
-
-def open_links(docs: DataFrame, marked: DataFrame, shared: DataFrame, found: DataFrame, words: int, least: float, block: int) -> DataFrame:
-    """Links (u, v) between rows that share a view, are ``least`` similar, and that ``found`` (node, root) leaves apart.
-
-    Every pair in a group of ``shared`` is compared exactly unless its rows are connected
-    already or a bound rules it out. In groups of more than ``block`` rows, shingles that no
-    other row of the group has bound what a row can have in common with one: the smaller
-    row of a pair ``least`` similar has a share of 2 ``least`` / (1 + ``least``) in common,
-    the larger one a share of ``least``. What is left is dealt to cells by size and block.
-    """
-    members = shared.join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    apart = members.groupBy(*_GROUP).agg(
-        F.min("root").alias("a"), F.max("root").alias("b"), F.count(F.lit(1)).alias("size"),
-        F.bit_xor(F.xxhash64("row")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "row")).alias("y"),
-    )
-    # A pair alone has been compared. Of groups of the same rows one is enough.
-    apart = apart.where("a <> b and size > 2").groupBy("size", "x", "y").agg(F.min(F.struct(*_GROUP)).alias("group"))
-    members = written(hot_join(members, apart.select("group.*"), _GROUP, "left_semi"), "open-groups")
-    keys = marked.join(members.select("row").distinct(), "row", "left_semi").select("row", "k1", "k2")
-    texts = _texts_of(docs, keys.select("k1", "k2"))
-
-    @F.pandas_udf("binary")
-    def distinct_shingles(parts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for part in parts:
-            yield pd.Series([np.unique(shingle_hashes(t or b"", words)).view(np.int64).tobytes() for t in part], dtype=object)
-
-    sets = keys.join(texts, ["k1", "k2"]).select("row", distinct_shingles(F.col("text").cast("binary")).alias("hashes"))
-    sets = written(sets.withColumn("size", (F.octet_length("hashes") / 8).cast("long")), "shingle-sets")
-
-    @F.pandas_udf("array<long>")
-    def numbers(hashes: pd.Series) -> pd.Series:
-        return pd.Series([np.frombuffer(h, np.int64) for h in hashes], dtype=object)
-
-    large = members.where(F.col("n") > block)
-    of_large = hot_join(large, sets, ["row"])
-    single = of_large.select(*_GROUP, "row", F.explode(numbers("hashes")).alias("shingle")).groupBy(*_GROUP, "shingle")
-    single = single.agg(F.count(F.lit(1)).alias("rows"), F.min("row").alias("row")).where("rows = 1")
-    alone = single.groupBy(*_GROUP, "row").agg(F.count(F.lit(1)).alias("alone"))
-    kept = of_large.select(*_GROUP, "row", "root", "size").join(alone, [*_GROUP, "row"], "left")
-    share = (F.col("size") - F.coalesce("alone", F.lit(0))) / F.col("size") + 1e-9
-    # Sizes of one class, or of two in a row, are those that can be similar.
-    step = F.floor(F.log(F.col("size")) / (-0.999 * math.log(least))).cast("int") if 0 < least < 1 else F.lit(0)
-    kept = kept.where(share >= least).select(*_GROUP, "row", "root", (share >= 2 * least / (1 + least)).alias("seeks"), step.alias("class"))
-    kept = written(kept, "open-rows")
-    cell = [*_GROUP, "class"]
-    sought = kept.select(*_GROUP, "row", "root", F.explode(F.array(F.col("class"), F.col("class") - 1)).alias("class"))
-    blocks = lambda n: F.ceil(F.col(n) / block).cast("int")
-    seekers = kept.where("seeks").groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).select(*cell, blocks("n").alias("down"))
-    widths = sought.groupBy(*cell).agg(F.count(F.lit(1)).alias("n")).select(*cell, blocks("n").alias("across"))
-    shape = written(seekers.join(widths, cell), "cells")
-    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
-    own = lambda n: F.pmod(F.xxhash64("row"), F.col(n)).cast("int")
-    rows = ["row", "root", "seeks"]
-    down = hot_join(kept.where("seeks"), shape, cell).select(*cell, own("down").alias("i"), upto("across").alias("j"), *rows)
-    across = hot_join(sought.withColumn("seeks", F.lit(False)), shape, cell).select(*cell, upto("down").alias("i"), own("across").alias("j"), *rows)
-    whole = members.where(F.col("n") <= block).select(
-        *_GROUP, F.lit(None).cast("int").alias("class"), F.lit(0).alias("i"), F.lit(0).alias("j"), "row", "root", F.lit(True).alias("seeks")
-    )
-    cells = hot_join(whole.unionByName(down).unionByName(across), sets.select("row", "hashes"), ["row"])
-    return cells.groupBy(*cell, "i", "j").applyInPandas(cell_links(least), "u long, v long")
-
-
 def _content_keys() -> list[Column]:
     """128 bits that tell rows (doc_id, text) apart, nulls included."""
     none = [F.isnull("doc_id").cast("int"), F.isnull("text").cast("int")]
     return [F.xxhash64("doc_id", "text", *none).alias("k1"), F.xxhash64(*none, "text", "doc_id").alias("k2")]
 
 
-def _texts_of(docs: DataFrame, keys: DataFrame) -> DataFrame:
-    """(k1, k2, text) once for each of ``keys`` (k1, k2), however often its row stands in ``docs``."""
-    rows = pick(docs, "doc_id", "text").select(*_content_keys(), "text")
-    rows = hot_join(rows, keys.distinct(), ["k1", "k2"], "left_semi")
-    return rows.groupBy("k1", "k2").agg(F.first("text").alias("text"))
-
-
-def similar_links(docs: DataFrame, marked: DataFrame, shared: DataFrame, words: int, least: float) -> DataFrame:
-    """Links (u, v) between the candidate pairs of ``shared`` that are ``least`` similar, exactly; ``marked`` has (row, k1, k2)."""
-    keys = marked.select("row", "k1", "k2")
-    pairs = candidate_pairs(shared).join(keys, "row")
-    pairs = hot_join(pairs, keys.select(F.col("row").alias("centre"), F.col("k1").alias("c1"), F.col("k2").alias("c2")), ["centre"])
-    pairs = written(pairs, "pairs")
-    texts = _texts_of(docs, pairs.select("k1", "k2").union(pairs.select("c1", "c2")))
-    left = pairs.join(texts.withColumnRenamed("text", "a"), ["k1", "k2"]).select("row", "centre", "c1", "c2", "a")
-    both = left.join(texts.toDF("c1", "c2", "b"), ["c1", "c2"])
-    return both.where(similarity(F.col("a"), F.col("b"), words) >= least).select(F.col("row").alias("u"), F.col("centre").alias("v"))
-
-
-@dataclass(frozen=True)
-class NearCopies:
-    """Copies with changes: linked by fingerprint as in ``search``, or by ``similarity`` where one of ``views`` is shared.
-
-    With 16 views of three shingles a pair of similarity 0.8 shares a view with
-    probability 1 - (1 - 0.8 ** 3) ** 16, above 0.99998. Texts that share a view are
-    compared with each other in blocks of ``block``.
-    """
-
-    search: Search = Search(words=5)
-    views: int = 16
-    similarity: float = 0.8
-    block: int = 256
-
-
-def one_of_each(docs: DataFrame, near: NearCopies = NearCopies()) -> DataFrame:
-    """``docs`` with one row of each group of near-duplicates, that of the smallest id.
+def one_of_each(docs: DataFrame, search: Search = Search()) -> DataFrame:
+    """``docs`` with one row of each group of :func:`near_groups`, that of the smallest id.
 
     Of rows with one id, null ids last, that of the smallest text hash stays, and of rows
-    with one id and one text any one. Texts are not copied: the marks of each row are
-    written once, and rows are found again by a 128-bit hash of id and text. Equal texts
-    are put together first, so that a text with very many copies is compared once.
+    with one id and one text any one. Texts without a word, null ones included, are one
+    group. Texts are not copied: the fingerprint of each row is written once, and the rows
+    that stay are found again by a 128-bit hash of id and text.
     """
     marked = pick(docs, "doc_id", "text").select(
-        "doc_id",
-        F.xxhash64("text").alias("hash"),
-        F.sha2("text", 256).alias("same"),
-        *_content_keys(),
-        marks(F.col("text"), near.views, near.search.words).alias("marks"),
-        F.monotonically_increasing_id().alias("row"),
+        "doc_id", F.xxhash64("text").alias("hash"), *_content_keys(), fingerprint(F.col("text"), search.words).alias("fp")
     )
-    marked = written(marked.select("*", "marks.*").drop("marks"), "marked")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "row", "k1", "k2")
-    texts = marked.groupBy("fp", F.coalesce("same", F.lit("")).alias("same")).agg(F.min(order).alias("first"))
-    texts = written(texts.select("fp", "first", F.col("first.row").alias("row")), "texts")
-    # The first row of each fingerprint stands for it; links then connect rows.
-    of_fingerprint = texts.groupBy("fp").agg(F.min("row").alias("v"))
-    equal = hot_join(texts.select("fp", F.col("row").alias("u")), of_fingerprint, ["fp"]).select("u", "v")
-    close = links(texts, near.search).withColumnRenamed("u", "fp").join(of_fingerprint.withColumnRenamed("v", "a"), "fp").select("a", F.col("v").alias("fp"))
-    close = close.join(of_fingerprint, "fp").select(F.col("a").alias("u"), "v")
-    once = marked.join(texts.select("row"), "row", "left_semi")
-    shared = shared_views(once)
-    similar = similar_links(docs, once, shared, near.search.words, near.similarity)
-    linked = written(equal.unionByName(close).unionByName(similar), "near-links")
-    found = components(linked)
-    more = open_links(docs, once, shared, found, near.search.words, near.similarity, near.block)
-    more = written(more, "open-links")
-    if not more.isEmpty():
-        found = components(linked.unionByName(more))
-    rooted = texts.join(found.withColumnRenamed("node", "row"), "row", "left").withColumn("root", F.coalesce("root", "row"))
-    kept = rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.k1", "first.k2")
-    rows = packed(docs, "doc_id", "text").select("doc", *_content_keys()).join(kept, ["k1", "k2"], "left_semi")
-    # Rows of one id and one text have met in one partition for the join.
+    marked = written(marked, "simhash")
+    texts = marked.groupBy("fp", "doc_id", "hash", "k1", "k2").agg(F.count(F.lit(1)).alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "hash", "k1", "k2", "n")
+    firsts = texts.groupBy("fp").agg(F.min(order).alias("first"))
+    rooted = firsts.join(fingerprint_groups(marked, search), "fp")
+    kept = written(rooted.groupBy("root").agg(F.min("first").alias("first")).select("first.k1", "first.k2", "first.n"), "kept")
+    rows = packed(docs, "doc_id", "text").select("doc", *_content_keys())
+    once = hot_join(rows, kept.where("n = 1"), ["k1", "k2"], "left_semi")
+    # Only rows that stand more than once are dealt again by their key; each task sends one of them.
+    again = hot_join(rows, kept.where("n > 1"), ["k1", "k2"], "left_semi")
     place = F.row_number().over(Window.partitionBy("k1", "k2").orderBy(F.lit(0)))
-    return unpacked(rows.withColumn("place", place).where("place = 1"), docs)
+    again = again.withColumn("place", place).where("place = 1").drop("place")
+    return unpacked(once.unionByName(again), docs)
