@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reelhouse.plans.registry import Registry
 
 from .common import ship
-from . import language_id, license_scan, mixing, oracles, order_minhash, packing, quality_rules, resampling, secrets, simhash, token_counts, token_files, warc
+from . import language_id, license_scan, mixing, oracles, order_minhash, packing, quality_rules, resampling, secrets, simhash, token_counts, token_files, warc, whitening
 
 registry = Registry()
 
@@ -109,3 +109,8 @@ def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
 @registry.query()
 def op12_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     return token_counts.token_counts(table(spark, folder, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
+@registry.query()
+def op13_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whitened(table(spark, folder, "embeddings"))

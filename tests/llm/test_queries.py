@@ -18,6 +18,9 @@ COLUMNS = {
     "op8": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op9": "page_id bigint, payload_bytes bigint, payload_digest string, record_type string, refers_to bigint",
     "op10": "doc_id bigint, fingerprint string, component_id bigint",
+    "op11": "doc_id bigint, n_features bigint, weight bigint, score bigint, rank bigint",
+    "op12": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    "op13": "vec_id bigint, component int, n bigint, deviation bigint, whitened double, explained double, identity_error double",
 }
 
 
