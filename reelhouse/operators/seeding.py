@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from reelhouse.operators.change import Change, like_table, not_yet_in
 from reelhouse.operators.joins import hot_join
 from reelhouse.operators.numbering import assign_keys, number_rows
-from reelhouse.sources.session import checkpointed
+from reelhouse.sources.session import checkpointed, stored
 
 
 def _filled(key: list[str]) -> Column:
@@ -24,19 +24,49 @@ def _leading(rows: DataFrame, keys: list[list[str]], row_id: str) -> DataFrame:
     return rows.join(wins, row_id, "left").where(F.coalesce("_wins", F.lit(0)) == needed).drop("_wins")
 
 
+def _settled_by_parity(chains: DataFrame) -> DataFrame:
+    """(_id, _kept) of the rows (_id, _before) that lead to a row without a blocker.
+
+    ``_before`` is the one row that can block a row, or null. A row goes in exactly if its
+    blocker does not, so its fate is that of the row its chain starts with and the parity of
+    its place. Pointers are doubled until they reach the start: a chain of n rows takes the
+    logarithm of n in steps, each one join. Chains that start behind a row which is not in
+    ``chains`` are left out.
+    """
+    first = F.isnull("_before")
+    columns = ["_id", F.coalesce("_before", "_id").alias("_at"), (~first).alias("_odd"), first.alias("_ends")]
+    count = Observation()
+    state = stored(chains.select(*columns).observe(count, F.count_if(~F.col("_ends")).alias("open")))
+    while count.get["open"]:
+        step = state.select(F.col("_id").alias("_at"), F.col("_at").alias("_next"), F.col("_odd").alias("_more"), F.col("_ends").alias("_end"))
+        moved = hot_join(state.where("not _ends"), step, ["_at"], "left").select(
+            "_id",
+            F.coalesce("_next", "_at").alias("_at"),
+            (F.col("_odd") != F.coalesce("_more", F.lit(False))).alias("_odd"),
+            F.coalesce("_end", F.lit(False)).alias("_ends"),
+            F.isnotnull("_next").alias("_moved"),
+        )
+        both = state.where("_ends").withColumn("_moved", F.lit(True)).unionByName(moved)
+        count = Observation()
+        state = stored(both.observe(count, F.count_if(~F.col("_ends") & F.col("_moved")).alias("open"))).drop("_moved")
+    return state.where("_ends").select("_id", (~F.col("_odd")).alias("_kept"))
+
+
 def first_without_conflict(rows: DataFrame, keys: list[list[str]], row_id: str) -> DataFrame:
     """The rows that go in when they are tried one by one in ``row_id`` order.
 
     A row is refused when it shares a key with one that went in before; a refused row
-    blocks nobody. With one key the first row of each key goes in. With several, the
-    rows that lead all their keys go in, those they block drop out, and the rest is
-    judged again until nothing is left. Each round settles at least the first open row
-    and everything it touches, so a chain of n rows in which each blocks the next takes
-    n / 2 rounds; two or three rounds are usual.
-
-    A round is one pass over (row, key) pairs: the first row of every key value, the rows
-    that are first under all their keys, the values these take, and what that makes of each
-    row. Its outcome is checkpointed once, and the number of rows still open is counted
+    blocks nobody. With one key the first row of each key goes in. With several, rounds
+    settle the open rows. Of each key value a round looks at the first two open rows. A row
+    that is first under all its keys goes in. One that is first or second under all of
+    them, and second always behind the same row, has that row as its only blocker; chains
+    of such rows are settled at once, see :func:`_settled_by_parity`. Rows that share a key
+    with one that went in are refused, and the rest is judged again. One to three rounds
+    are usual, and a chain in which each row blocks the next is settled in the logarithm of
+    its length. Rows with several open blockers each wait for a later round: where long
+    chains run through such rows, the rounds grow with the number of these in a row.
+
+    A round's outcome is stored once, and the number of rows still open is counted
     while it is written.
     """
     if len(keys) == 1:
@@ -50,19 +80,26 @@ def first_without_conflict(rows: DataFrame, keys: list[list[str]], row_id: str)
     every = rows.select(F.col(row_id).alias("_id"), values.alias("_values"))
     open_rows = every.where(F.size("_values") > 0)
     settled = [every.where(F.size("_values") == 0).select("_id")]
+    by_value = Window.partitionBy("_value").orderBy("_id")
     left = 1
     while left:
         pairs = open_rows.select("_id", "_values", F.explode("_values").alias("_value"))
-        first = pairs.groupBy("_value").agg(F.min(F.struct("_id", "_values")).alias("_first"))
-        leading = first.groupBy("_first").agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") == F.size("_first._values"))
-        taken = leading.select(F.explode("_first._values").alias("_value"), F.col("_first._id").alias("_by"))
+        # Each task sends at most two rows of a value, however many it has.
+        two = pairs.select("_id", "_value", F.size("_values").alias("_keys")).withColumn("_place", F.row_number().over(by_value))
+        two = two.where("_place <= 2").withColumn("_before", F.lag("_id").over(by_value))
+        known = two.groupBy("_id", "_keys").agg(
+            F.count(F.lit(1)).alias("_n"), F.min("_before").alias("_before"), F.max("_before").alias("_other")
+        )
+        chains = known.where("_n = _keys and _before <=> _other").select("_id", "_before")
+        kept = _settled_by_parity(chains).where("_kept").select("_id")
+        taken = open_rows.join(kept, "_id").select(F.explode("_values").alias("_value"), F.col("_id").alias("_by"))
         judged = (
             hot_join(pairs, taken, ["_value"], "left")
             .groupBy("_id", "_values")
             .agg(F.bool_or(F.col("_by") == F.col("_id")).alias("_kept"), F.count("_by").alias("_met"))
         )
         count = Observation()
-        judged = checkpointed(judged.observe(count, F.count_if(F.col("_met") == 0).alias("open")))
+        judged = stored(judged.observe(count, F.count_if(F.col("_met") == 0).alias("open")))
         settled.append(judged.where("_kept").select("_id"))
         open_rows = judged.where("_met = 0").select("_id", "_values")
         left = count.get["open"]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,3 +59,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once, as Parquet files beside the checkpoints.
+
+    For loops that join their own outcome again and again: a checkpoint keeps the size that
+    was estimated for the plan behind it, and a join's estimate is the product of its
+    sides', so that it grows beyond all bounds; files have the size they have.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    folder = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder)

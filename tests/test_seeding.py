@@ -46,6 +46,34 @@ def test_long_chain_of_conflicts(spark):
     assert sorted(r[0] for r in values(done.returning)) == [0, 2, 4, 6, 8]
 
 
+@pytest.mark.parametrize("shape", ["one chain", "chains behind a row with two blockers"])
+def test_a_chain_of_100000_takes_the_logarithm_of_rounds(spark, monkeypatch, shape):
+    n = 100_000
+    batch = spark.range(n).select(
+        F.col("id").alias("row_id"), F.expr("(id + 1) div 2").alias("a"), F.expr("id div 2").alias("b"), F.lit(None).cast("bigint").alias("c")
+    )
+    if shape != "one chain":
+        # Row 4 also meets row 0 under a third key, so it waits for a second round, and the chain after it does.
+        batch = batch.withColumn("c", F.when(F.col("row_id").isin(0, 4), F.lit(1)))
+    rounds = []
+    monkeypatch.setattr(seeding, "stored", lambda df, of=seeding.stored: rounds.append(1) or of(df))
+    kept = seeding.first_without_conflict(batch.repartition(8), [["a"], ["b"], ["c"]], "row_id")
+    found = sorted(r["row_id"] for r in kept.select("row_id").collect())
+    rows = [((i + 1) // 2, i // 2, 1 if shape != "one chain" and i in (0, 4) else None, i) for i in range(n)]
+    assert found == [r[3] for r in one_by_one([], rows, [(0,), (1,), (2,)])]
+    assert len(rounds) <= (20 if shape == "one chain" else 40)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_three_keys_of_any_density(spark, seed):
+    rng = random.Random(seed)
+    rows = [tuple(rng.choice([None, *range(60 + 40 * seed)]) for _ in range(3)) + (i,) for i in range(300)]
+    rows += [(0, None, None, 300 + i) for i in range(100)]
+    batch = spark.createDataFrame(rows, "a INT, b INT, c INT, row_id INT").repartition(6)
+    kept = seeding.first_without_conflict(batch, [["a"], ["b"], ["c"]], "row_id").collect()
+    assert sorted(r["row_id"] for r in kept) == [r[3] for r in one_by_one([], rows, [(0,), (1,), (2,)])]
+
+
 def test_ids_follow_the_batch_order(spark):
     target = spark.createDataFrame([(5, "x")], "id BIGINT, name STRING")
     batch = spark.createDataFrame([(0, "c"), (1, "a"), (2, "x"), (3, "c"), (4, "b")], "row_id INT, name STRING")
