@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reelhouse.functions import moment
 from reelhouse.operators import lists, reports, stock
-from reelhouse.plans import trade_roles as roles
+from reelhouse.plans import sql_functions, trade_roles as roles
 from reelhouse.plans.registry import Registry, doubles
 
 registry = Registry()
@@ -438,3 +438,43 @@ def last_updated(spark: SparkSession, root: str) -> DataFrame:
     orders = roles.trade(spark, root)["orders"]
     latest = lists.last_updated(orders, ["o_custkey"], "o_orderdate")
     return latest.withColumn("last_updated", F.date_format("last_updated", "yyyy-MM-dd"))
+
+
+# --- the same reports called from SQL ---------------------------------------------------
+
+
+def _called(t: roles.Roles, function: str, arguments: str) -> DataFrame:
+    sql_functions.create_functions(t, "trade_", [function])
+    return next(iter(t.values())).sparkSession.sql(f"SELECT * FROM trade_{function}({arguments})")
+
+
+@query(registry.oracle_sql["sales_by_category_quarter"])
+def sales_by_category_quarter_function(spark: SparkSession, root: str) -> DataFrame:
+    t = roles.orders_as_rentals(roles.trade(spark, root))
+    return doubles(_called(t, "get_sales_revenue_by_category_qtr", "DATE'1998-05-01'"), "total_revenue")
+
+
+@query(registry.oracle_sql["most_popular_films_by_country"])
+def most_popular_films_by_country_function(spark: SparkSession, root: str) -> DataFrame:
+    t = roles.lines_with_customers(roles.trade(spark, root))
+    return _called(t, "most_popular_films_by_countries", f"array({', '.join(map(repr, _COUNTRIES))})")
+
+
+@query(registry.oracle_sql["rewards_report"])
+def rewards_report_function(spark: SparkSession, root: str) -> DataFrame:
+    t = roles.lines_as_rentals(roles.trade(spark, root))
+    return doubles(_called(t, "rewards_report", "2, 100000, DATE'1998-05-20'"), "total_spent")
+
+
+@query(registry.oracle_sql["films_in_stock_by_title"])
+def films_in_stock_by_title_function(spark: SparkSession, root: str) -> DataFrame:
+    return _called(roles.lines_as_rentals(roles.trade(spark, root)), "films_in_stock_by_title", "'%Widget%'")
+
+
+@query(registry.oracle_sql["film_in_stock"])
+def inventory_in_stock_function(spark: SparkSession, root: str) -> DataFrame:
+    """Copies in stock, by a boolean function in the WHERE clause."""
+    t = roles.lines_as_rentals(roles.trade(spark, root))
+    sql_functions.create_functions(t, "trade_", ["inventory_in_stock"])
+    t["inventory"].createOrReplaceTempView("trade_inventory")
+    return spark.sql("SELECT inventory_id, film_id, store_id FROM trade_inventory WHERE trade_inventory_in_stock(inventory_id)")
