@@ -4,7 +4,8 @@ Documents are cut into pieces of at most the sequence length. Only the lengths o
 pieces matter for a packing, so the search works on how many pieces there are of each
 length, a table of at most one row per possible length. It goes from the longest piece
 down: the undominated fillings of what room the longest piece leaves are tried, the fullest
-first, and branches whose waste rules out a better packing are cut. What comes out is a
+first, and branches whose waste rules out a better packing are cut. Best-fit packings of
+all pieces, and of what beginnings of the search leave, are the incumbents. What comes out is a
 list of fillings with the number of sequences that use each; the pieces are then joined to
 their places by length and rank.
 """
@@ -26,11 +27,15 @@ from .tokens import WordEncoder
 
 @dataclass(frozen=True)
 class Packing:
-    """``nodes`` bounds the fillings tried, or dropped as dominated, beyond the first descent."""
+    """``nodes`` bounds the fillings tried, or dropped as dominated, beyond the first descent.
+
+    ``starts`` is how many beginnings of the first descent are finished by best fit.
+    """
 
     length: int = 4096
     end_id: int = 1
     nodes: int = 20_000
+    starts: int = 64
     rank_parts: int = 4_096
     rank_block: int = 64
 
@@ -202,32 +207,92 @@ class _Stock:
                 return
 
 
+def best_fit(histogram: dict[int, int], length: int) -> list[tuple[Filling, int]]:
+    """The packing in which every piece, longest first, goes where it leaves least room.
+
+    Sequences with the same filling are one entry. A piece that fits a sequence twice goes
+    there twice, as the room then left is the least of all, so pieces of one length are
+    placed together.
+    """
+    rooms: list[int] = []  # in order, of sequences that are begun
+    groups: dict[int, list[tuple[Filling, int]]] = {}
+
+    def put(room: int, filling: Filling, times: int) -> None:
+        if times:
+            if room not in groups:
+                bisect.insort(rooms, room)
+                groups[room] = []
+            groups[room].append((filling, times))
+
+    for size in sorted(histogram, reverse=True):
+        left = histogram[size]
+        while left:
+            at = bisect.bisect_left(rooms, size)
+            room = rooms[at] if at < len(rooms) else length
+            each = room // size
+            if at < len(rooms):
+                filling, times = groups[room].pop()
+                if not groups[room]:
+                    del groups[room], rooms[at]
+            else:
+                filling, times = (), -(-left // each)
+            full = min(times, left // each)
+            put(room - each * size, (*filling, (size, each)), full)
+            left -= full * each
+            if full < times and left:
+                put(room - left * size, (*filling, (size, left)), 1)
+                full, left = full + 1, 0
+            put(room, filling, times - full)
+    return [entry for room in rooms for entry in groups[room]]
+
+
+def fewest(histogram: dict[int, int], length: int) -> int:
+    """A lower bound of the sequences: the larger of Martello and Toth's over all thresholds.
+
+    Pieces longer than half share no sequence with each other, and what is at least as long
+    as the threshold fits only what room those leave that are short enough.
+    """
+    sizes = sorted(histogram)
+    sums, counts = [0], [0]
+    for size in sizes:
+        sums.append(sums[-1] + size * histogram[size])
+        counts.append(counts[-1] + histogram[size])
+    half, best = bisect.bisect_right(sizes, length // 2), 0
+    for threshold in [0, *sizes[:half]]:
+        low, high = bisect.bisect_left(sizes, threshold), max(half, bisect.bisect_right(sizes, length - threshold))
+        room = (counts[high] - counts[half]) * length - (sums[high] - sums[half])
+        best = max(best, counts[-1] - counts[half] + max(0, -(-(sums[half] - sums[low] - room) // length)))
+    return best
+
+
 def complete_bins(histogram: dict[int, int], packing: Packing = Packing()) -> list[tuple[Filling, int]]:
     """Fillings and the number of sequences that use each, over all pieces of ``histogram`` (length to count).
 
-    The first descent takes the best-fitting completion at every longest piece, and as many
-    sequences of it as the pieces allow; its packing is the first incumbent. Then the last
+    The best-fit packing of all pieces is the first incumbent. The first descent takes the
+    best-fitting completion at every longest piece, and as many sequences of it as the
+    pieces allow; it is an incumbent too where it is better, as are its beginnings at up to
+    ``packing.starts`` places, each with a best-fit packing of what is left. Then the last
     decisions are taken back first and the other undominated completions tried, where the
     waste so far leaves hope of fewer sequences, until the lower bound is met, none is left,
     or ``nodes`` completions beyond the first descent were tried or found to be dominated.
     """
     stock = _Stock(histogram, packing.length)
     total = sum(size * n for size, n in histogram.items())
-    # Pieces of over half a sequence can't share one.
-    bound = max(-(-total // packing.length), sum(n for size, n in histogram.items() if 2 * size > packing.length))
-    best: list[tuple[Filling, int]] = []
-    best_bins: int | None = None
+    bound = fewest(histogram, packing.length)
+    best = best_fit(histogram, packing.length)
+    best_bins = sum(n for _, n in best)
     tried = bins = waste = 0
+    descended = False
     trail: list[tuple[Completion, Iterator[Completion | None]]] = []  # decisions, and what else is to choose from
 
     def hope() -> int:
-        """The waste that may be added if the sequences are to be fewer than the incumbent's."""
-        return packing.length if best_bins is None else (best_bins - 1) * packing.length - total - waste
+        """The waste that may be added if the sequences are to be fewer than the incumbent's, any in the first descent."""
+        return (best_bins - 1) * packing.length - total - waste if descended else packing.length
 
     def take(choices: Iterator[Completion | None]) -> bool:
         nonlocal tried, bins, waste
         for choice in choices:
-            tried += best_bins is not None
+            tried += descended
             if choice is not None:
                 stock.use(choice[0], choice[1])
                 bins, waste = bins + choice[1], waste + choice[1] * choice[2]
@@ -237,15 +302,30 @@ def complete_bins(histogram: dict[int, int], packing: Packing = Packing()) -> li
                 break
         return False
 
-    while True:
+    def finish(steps: list[tuple[Filling, int]], rest: list[tuple[Filling, int]]) -> None:
+        nonlocal best, best_bins
+        found = sum(n for _, n in steps) + sum(n for _, n in rest)
+        if found < best_bins:
+            best_bins, best = found, [*steps, *rest]
+
+    while best_bins > bound:
         while stock.lengths:
             if hope() < 0 or not take(stock.completions(packing, hope)):
                 break
         else:
-            if best_bins is None or bins < best_bins:
-                best_bins, best = bins, [(f, n) for (f, n, _), _ in trail]
+            steps = [(f, n) for (f, n, _), _ in trail]
+            finish(steps, [])
+            if not descended:
+                left = dict(histogram)
+                gap = -(-len(steps) // packing.starts)
+                for i, (filling, times) in enumerate(steps):
+                    for size, n in filling:
+                        left[size] -= n * times
+                    if i % gap == gap - 1 and best_bins > bound:
+                        finish(steps[: i + 1], best_fit({size: n for size, n in left.items() if n}, packing.length))
+        descended = True
         if best_bins == bound or tried > packing.nodes:
-            return best
+            break
         while trail:
             (filling, times, w), choices = trail.pop()
             stock.use(filling, -times)
@@ -253,7 +333,8 @@ def complete_bins(histogram: dict[int, int], packing: Packing = Packing()) -> li
             if take(choices):
                 break
         if not trail:
-            return best
+            break
+    return best
 
 
 def _places(plan: list[tuple[Filling, int]]) -> list[tuple[int, int, int, int, int, int]]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import zlib
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -38,7 +39,7 @@ def best(items, room):
 
 @settings(max_examples=150, deadline=None)
 @given(st.lists(st.integers(1, 20), min_size=1, max_size=9))
-def test_plan_is_whole_and_nearly_as_short_as_can_be(items):
+def test_plan_is_whole_and_as_short_as_can_be(items):
     plan = p.complete_bins(Counter(items), p.Packing(length=20))
     used = Counter()
     for filling, times in plan:
@@ -46,7 +47,52 @@ def test_plan_is_whole_and_nearly_as_short_as_can_be(items):
         for size, n in filling:
             used[size] += n * times
     assert used == Counter(items)
-    assert sum(n for _, n in plan) <= best(items, 20) + (len(items) > 6)
+    assert p.fewest(Counter(items), 20) <= sum(n for _, n in plan) == best(items, 20)
+
+
+def plain_best_fit(items, room):
+    """Best-fit decreasing, piece by piece."""
+    bins = []
+    for x in sorted(items, reverse=True):
+        fitting = [b for b in bins if b >= x]
+        if fitting:
+            bins.remove(min(fitting))
+            bins.append(min(fitting) - x)
+        else:
+            bins.append(room - x)
+    return len(bins)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.integers(1, 60), min_size=1, max_size=60))
+def test_best_fit_by_groups_is_best_fit_by_pieces(items):
+    plan = p.best_fit(Counter(items), 60)
+    used = Counter()
+    for filling, times in plan:
+        assert sum(size * n for size, n in filling) <= 60
+        for size, n in filling:
+            used[size] += n * times
+    assert used == Counter(items) and sum(n for _, n in plan) == plain_best_fit(items, 60)
+
+
+@pytest.mark.parametrize("low, high", [(1000, 2100), (1, 4097), (200, 1500), (1300, 1400), (900, 3000)])
+def test_never_more_than_best_fit(low, high):
+    rng = random.Random(low)
+    for i in range(40):
+        counts = Counter(rng.randrange(low, high) for _ in range(rng.choice([50, 300, 3000])))
+        if i % 2:
+            counts = Counter({size: n * rng.randrange(1, 10**6) for size, n in counts.items()})
+        plan = p.complete_bins(counts, p.Packing(nodes=300))
+        bins = sum(n for _, n in plan)
+        assert p.fewest(counts, 4096) <= bins <= sum(n for _, n in p.best_fit(counts, 4096))
+        if not i % 2:
+            assert bins <= plain_best_fit(counts.elements(), 4096)
+        used = Counter()
+        for filling, times in plan:
+            assert sum(size * n for size, n in filling) <= 4096
+            for size, n in filling:
+                used[size] += n * times
+        assert used == counts
 
 
 def test_search_goes_beyond_the_first_descent():
