@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import re
 from collections.abc import Iterable, Iterator
+from itertools import filterfalse
 
 import numpy as np
 
 _TEXT_AT_ONCE = 2 << 20  # characters whose words are looked up together
 _WORDS_AT_ONCE = 512  # new words encoded in one call
-_CACHED = 700_000  # words in each of two generations of the cache
+_CACHED_BYTES = 176 << 20  # of words and their ids in each of two generations of the cache, with what Python adds
+_ENTRY = 220  # bytes that a cached word takes beside its letters and ids
+_LETTERS = re.compile(rb"([A-Za-z]+)([,.;:!?]*)")
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -27,8 +32,14 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
+        spec = json.loads(self.tokenizer.to_str())
+        # Where case is dropped, and letters and punctuation are always apart, words of ASCII
+        # letters have the ids of their lower case, then those of the signs behind them.
+        steps, apart = json.dumps(spec["normalizer"]), json.dumps(spec["pre_tokenizer"])
+        self.plain = '"Lowercase"' in steps and "|[\\\\p{L}]+|" in apart and "|[^\\\\s\\\\p{L}\\\\p{N}]+" in apart
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
+        self.size = 0
 
     @staticmethod
     def of(path: str) -> "WordEncoder":
@@ -36,7 +47,22 @@ class WordEncoder:
             _encoders[path] = WordEncoder(path)
         return _encoders[path]
 
-    def _learn(self, words: list[bytes]) -> None:
+    def _keep(self, word: bytes, ids: bytes) -> bytes:
+        self.new[word] = ids
+        self.size += _ENTRY + len(word) + len(ids)
+        return ids
+
+    def _missing(self, words: Iterable[bytes]) -> list[bytes]:
+        """Those of ``words`` that no generation has; what the older one has is kept on."""
+        missing = []
+        for w in words:
+            if w in self.old:
+                self._keep(w, self.old[w])
+            else:
+                missing.append(w)
+        return missing
+
+    def _encode_new(self, words: list[bytes]) -> None:
         for i in range(0, len(words), _WORDS_AT_ONCE):
             block = words[i : i + _WORDS_AT_ONCE]
             texts = [w.decode() for w in block]
@@ -46,22 +72,31 @@ class WordEncoder:
             at = np.array([s for s, _ in encoding.offsets], np.int64)
             cuts = np.searchsorted(at, starts)
             for w, lo, hi in zip(block, cuts, [*cuts[1:], len(ids)]):
-                self.new[w] = ids[lo:hi].tobytes()
+                self._keep(w, ids[lo:hi].tobytes())
+
+    def _learn(self, words: Iterable[bytes]) -> None:
+        words = self._missing(words)
+        parts = {}
+        if self.plain:
+            for w in words:
+                m = _LETTERS.fullmatch(w)
+                if m and (m[2] or not w.islower()):
+                    parts[w] = (m[1].lower(), m[2])
+        whole = {w for w in words if w not in parts}.union(*parts.values())
+        whole.discard(b"")
+        self._encode_new(self._missing(filterfalse(self.new.__contains__, whole)))
+        for w, (letters, signs) in parts.items():
+            self._keep(w, self.new[letters] + (self.new[signs] if signs else b""))
 
     def _lookup(self, texts: list[list[bytes]]) -> Iterator[bytes]:
-        wanted = set().union(*texts)
-        unknown = []
-        for w in wanted:
-            if w not in self.new:
-                if w in self.old:
-                    self.new[w] = self.old[w]
-                else:
-                    unknown.append(w)
+        unknown: set[bytes] = set()
+        for words in texts:
+            unknown.update(filterfalse(self.new.__contains__, words))
         self._learn(unknown)
-        ids = self.new
-        yield from [b"".join([ids[w] for w in words]) for words in texts]
-        if len(self.new) > _CACHED:
-            self.old, self.new = self.new, {}
+        of = self.new.__getitem__
+        yield from [b"".join(map(of, words)) for words in texts]
+        if self.size > _CACHED_BYTES:
+            self.old, self.new, self.size = self.new, {}, 0
 
     def encode(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian numbers of ``dtype``; a null text has none."""
