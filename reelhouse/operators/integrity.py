@@ -97,27 +97,76 @@ def orphan_keys(child: DataFrame, columns: list[str], parent: DataFrame, parent_
 
 
 def audit_table(t: Tables, table: str, rules: Rules) -> DataFrame:
-    """Rows (table, constraint, violations) for every rule of a table.
+    """Rows (table, constraint, violations) for every rule of a table; see :func:`audit_tables`."""
+    return audit_tables(t, {table: rules})
 
-    A duplicated key counts the rows beyond its first, or all of them if it has a null.
-    """
-    parts = []
-    df = t[table]
-    if rules.checks:
-        parts.append(violation_counts(df, rules.checks).select(F.col("rule").alias("constraint"), "violations"))
-    for name, key in rules.keys.items():
-        surplus = F.col("n_rows") - F.when(_any_null(key.columns), 0).otherwise(1)
-        found = duplicate_keys(df, list(key.columns), key.primary).agg(F.coalesce(F.sum(surplus), F.lit(0)).alias("violations"))
-        parts.append(found.select(F.lit(name).alias("constraint"), "violations"))
-    for name, ref in rules.references.items():
-        found = orphan_keys(df, list(ref.columns), t[ref.parent], list(ref.parent_columns))
-        total = found.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("violations"))
-        parts.append(total.select(F.lit(name).alias("constraint"), "violations"))
-    return reduce(DataFrame.unionByName, parts).select(F.lit(table).alias("table"), "constraint", "violations")
+
+_CHECK, _UNIQUE, _REFERENCE = range(3)
+
+
+def _comparable(df: DataFrame, column: str, other: DataFrame | None = None, theirs: str | None = None) -> Column:
+    """A key column as text that is equal where the values are, in the type both sides of a reference compare in."""
+    value, kind = F.col(f"`{column}`"), df.schema[column].dataType.simpleString()
+    if other is not None:
+        kind = df.select(F.coalesce(F.lit(None).cast(kind), F.lit(None).cast(other.schema[theirs].dataType)).alias("k")).schema["k"].dataType.simpleString()
+        value = value.cast(kind)
+    if kind in ("float", "double"):
+        value = value + F.lit(0.0).cast(kind)  # -0.0 equals 0.0
+    return F.hex(value) if kind == "binary" else value.cast("string")
+
+
+def _entry(rule: int, kind: int, key: Column, rows: int, held: bool) -> Column:
+    return F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), key.alias("key"), F.lit(rows).cast("long").alias("n"), F.lit(held).alias("held"))
 
 
 def audit_tables(t: Tables, rules: Mapping[str, Rules]) -> DataFrame:
-    return reduce(DataFrame.unionByName, [audit_table(t, name, r) for name, r in rules.items()])
+    """Rows (table, constraint, violations) for every rule of the tables, all rules in one pass.
+
+    Every row is expanded once to the (rule, key) pairs it takes part in: values that break
+    a check, unique keys, keys that refer to a parent, and keys that a parent holds. One
+    aggregate counts duplicates and orphans of all rules, so the plan has the same two
+    shuffles for any number of rules, and a key with a third of the rows is folded before
+    the first of them. A duplicated key counts the rows beyond its first, or all of them if
+    it has a null; a reference with a null passes.
+    """
+    names: list[tuple[int, str, str]] = []
+    entries: dict[str, list[Column]] = {}
+
+    def add(table: str, entry: Column, condition: Column) -> None:
+        entries.setdefault(table, []).append(F.when(condition, entry))
+
+    no_key = F.lit(None).cast("array<string>")
+    for table, of_table in rules.items():
+        df = t[table]
+
+        def number(name: str, table: str = table) -> int:
+            names.append((len(names), table, name))
+            return len(names) - 1
+
+        for name, condition in of_table.checks.items():
+            add(table, _entry(number(name), _CHECK, no_key, 1, True), _broken(condition))
+        for name, key in of_table.keys.items():
+            columns = F.array(*[_comparable(df, c) for c in key.columns])
+            add(table, _entry(number(name), _UNIQUE, columns, 1, True), F.lit(True) if key.primary else ~_any_null(key.columns))
+        for name, ref in of_table.references.items():
+            parent, rule = t[ref.parent], number(name)
+            pairs = list(zip(ref.columns, ref.parent_columns, strict=True))
+            add(table, _entry(rule, _REFERENCE, F.array(*[_comparable(df, c, parent, p) for c, p in pairs]), 1, False), ~_any_null(ref.columns))
+            add(ref.parent, _entry(rule, _REFERENCE, F.array(*[_comparable(parent, p, df, c) for c, p in pairs]), 0, True), ~_any_null(ref.parent_columns))
+    spark = t[next(iter(rules))].sparkSession
+    # Rules that no row takes part in are reported too.
+    zeros = spark.range(1).select(F.inline(F.array(*[_entry(rule, _CHECK, no_key, 0, True) for rule, _, _ in names])))
+    parts = [t[table].select(F.inline(F.array_compact(F.array(*found)))) for table, found in entries.items()]
+    grouped = reduce(DataFrame.unionByName, parts, zeros).groupBy("rule", "key").agg(
+        F.max("kind").alias("kind"), F.sum("n").alias("n"), F.bool_or("held").alias("held")
+    )
+    surplus = F.col("n") - F.when(F.exists("key", F.isnull), 0).otherwise(1)
+    violations = F.when(F.col("kind") == _CHECK, F.col("n")).when(F.col("kind") == _UNIQUE, surplus).otherwise(F.when(~F.col("held"), F.col("n")).otherwise(0))
+    totals = grouped.groupBy("rule").agg(F.sum(violations).alias("violations"))
+    labels = F.array(*[F.struct(F.lit(table).alias("table"), F.lit(name).alias("constraint")) for _, table, name in names])
+    label = F.get(labels, F.col("rule"))
+    # As many rows as rules, in their order.
+    return totals.coalesce(1).sortWithinPartitions("rule").select(label["table"].alias("table"), label["constraint"].alias("constraint"), "violations")
 
 
 def add_column_if_missing(df: DataFrame, name: str, value: Column) -> DataFrame:

@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from reelhouse.operators import access, change, footprint, integrity, movies, numbering, seeding
 from reelhouse.plans import trade_roles as roles
 from reelhouse.plans.registry import Registry, doubles
+from reelhouse.sources import create_table_as, snapshots
 from reelhouse.sources.catalog import ColumnGrant, RestrictedTables, RowPolicy
+from reelhouse.sources.session import scratch_folder
 
 registry = Registry()
 query = registry.query
@@ -441,6 +443,59 @@ def delete_every_third_returning(spark: SparkSession, root: str) -> DataFrame:
     return change.delete_every_nth(_loaded(spark, root)).returning
 
 
+@query("SELECT 'veeeeeeery_long_string' || i AS col FROM range(1, (SELECT COUNT(*) + 1 FROM lineitem)) AS r(i)")
+def bulk_load(spark: SparkSession, root: str) -> DataFrame:
+    """As many strings as there are lines, written as a table and read back."""
+    rows = roles.trade(spark, root)["lineitem"].count()
+    return create_table_as(change.bulk_load(spark, rows), scratch_folder(spark, "bulk-load"))
+
+
+# --- changes that write the touched files only -----------------------------------------
+
+
+def _lines_by_order(spark: SparkSession, root: str) -> snapshots.Snapshot:
+    lines = roles.trade(spark, root)["lineitem"].select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity", "l_returnflag")
+    return snapshots.create_snapshot(lines, scratch_folder(spark, "lines"), ["l_orderkey"])
+
+
+def _first_orders(spark: SparkSession, root: str) -> DataFrame:
+    """Orders of the first day."""
+    orders = roles.trade(spark, root)["orders"].select(F.col("o_orderkey").alias("l_orderkey"), F.to_date("o_orderdate").alias("day"))
+    return orders.where(F.col("day") == orders.agg(F.min("day")).scalar()).select("l_orderkey")
+
+
+_FIRST_ORDERS = "(SELECT o_orderkey FROM orders WHERE CAST(o_orderdate AS DATE) = (SELECT MIN(CAST(o_orderdate AS DATE)) FROM orders))"
+
+
+@query(f"SELECT l_orderkey, l_linenumber, l_partkey, l_quantity, l_returnflag FROM lineitem WHERE l_orderkey NOT IN {_FIRST_ORDERS}")
+def delete_in_touched_files(spark: SparkSession, root: str) -> DataFrame:
+    """The lines left when those of the first day's orders are deleted from the files that hold them."""
+    state, gone = _lines_by_order(spark, root), _first_orders(spark, root)
+    done = snapshots.rewrite(state, scratch_folder(spark, "lines"), lambda t: change.delete_matching(t, gone, ["l_orderkey"]), gone, ["l_orderkey"])
+    return done.state.table()
+
+
+@query(
+    f"""
+    SELECT l_orderkey, l_linenumber, l_partkey, l_quantity,
+           CASE WHEN l_orderkey IN {_FIRST_ORDERS} THEN 'X' ELSE l_returnflag END AS l_returnflag
+    FROM lineitem"""
+)
+def update_in_touched_files(spark: SparkSession, root: str) -> DataFrame:
+    state = _lines_by_order(spark, root)
+    marked = _first_orders(spark, root).withColumn("l_returnflag", F.lit("X"))
+    done = snapshots.rewrite(state, scratch_folder(spark, "lines"), lambda t: change.update_from(t, marked, ["l_orderkey"]), marked, ["l_orderkey"])
+    return done.state.table()
+
+
+@query()
+def rewrite_footprint(spark: SparkSession, root: str) -> DataFrame:
+    """Files, rows and bytes before and after the delete, and of the files it leaves dead; SQL knows no files."""
+    state, gone = _lines_by_order(spark, root), _first_orders(spark, root)
+    done = snapshots.rewrite(state, scratch_folder(spark, "lines"), lambda t: change.delete_matching(t, gone, ["l_orderkey"]), gone, ["l_orderkey"])
+    return footprint.rewrite_footprint(spark, state.paths(), done.state.paths())
+
+
 # --- rent and pay --------------------------------------------------------------------
 
 _RENT = """

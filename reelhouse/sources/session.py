@@ -61,6 +61,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def scratch_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's address beside the checkpoints, which all executors share; only writers create it."""
+    ensure_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def stored(df: DataFrame) -> DataFrame:
     """``df`` computed once, as Parquet files beside the checkpoints.
 
@@ -69,7 +75,6 @@ def stored(df: DataFrame) -> DataFrame:
     sides', so that it grows beyond all bounds; files have the size they have.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    folder = f"{spark.sparkContext.getCheckpointDir().rstrip('/')}/stored-{uuid.uuid4().hex}"
+    folder = scratch_folder(spark, "stored")
     df.write.parquet(folder)
     return spark.read.schema(df.schema).parquet(folder)

@@ -47,3 +47,37 @@ def test_record_date_is_added_once(spark):
     twice = integrity.add_record_date(once, "2025-01-01")
     assert values(twice["a"]) == [(0, dt.date(2024, 1, 1))]
     assert twice["b"].columns == ["id", "record_ts"]
+
+
+def exchanges(df) -> int:
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange ")
+
+
+def test_an_audit_has_two_shuffles_for_any_number_of_rules(spark):
+    child = spark.createDataFrame(
+        [(1, 10, 0.0, "a", b"x"), (2, 10, -0.0, "a", b"x"), (None, 11, 1.5, None, None), (4, 99, None, "b", b"y"), (4, None, 2.0, "b", b"z")],
+        "id INT, parent INT, d DOUBLE, s STRING, b BINARY",
+    )
+    parent = spark.createDataFrame([(10, "p"), (11, "q"), (11, "q"), (None, None)], "pid BIGINT, name STRING")
+    few = {"child": integrity.Rules({}, {"id": integrity.Unique(("id",), primary=True)}, {"up": integrity.ForeignKey(("parent",), "parent", ("pid",))})}
+    many = {
+        "child": integrity.Rules(
+            {f"id above {i}": F.col("id") > i for i in range(5)} | integrity.not_null("s"),
+            {"id": integrity.Unique(("id",), primary=True), "d": integrity.Unique(("d",)), "s, b": integrity.Unique(("s", "b")), "s": integrity.Unique(("s",))}
+            | {f"k{i}": integrity.Unique(("id", "parent")) for i in range(5)},
+            {"up": integrity.ForeignKey(("parent",), "parent", ("pid",)), "odd": integrity.ForeignKey(("d",), "parent", ("pid",))},
+        ),
+        "parent": integrity.Rules({}, {"pid": integrity.Unique(("pid",), primary=True)}, {"down": integrity.ForeignKey(("pid",), "child", ("parent",))}),
+    }
+    t = {"child": child, "parent": parent}
+    assert exchanges(integrity.audit_tables(t, few)) == exchanges(integrity.audit_tables(t, many)) == 2
+    found = {(r["table"], r["constraint"]): r["violations"] for r in integrity.audit_tables(t, many).collect()}
+    assert len(found) == 19
+    assert {k: v for k, v in found.items() if v} == {
+        ("child", "id above 1"): 1, ("child", "id above 2"): 2, ("child", "id above 3"): 2, ("child", "id above 4"): 4,
+        ("child", "s not null"): 1, ("child", "id"): 2, ("child", "d"): 1, ("child", "s, b"): 1, ("child", "s"): 2,
+        ("child", "up"): 1, ("child", "odd"): 4, ("parent", "pid"): 2,
+    }
+    empty = {name: df.limit(0) for name, df in t.items()}
+    none = integrity.audit_tables(empty, many).collect()
+    assert len(none) == 19 and all(r["violations"] == 0 for r in none)

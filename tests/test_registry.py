@@ -9,8 +9,10 @@ from check import compare, oracle_connection
 from reelhouse.plans import change_queries, report_queries
 
 SMALL = "/root/testdata/sf0.001"
-# The queries of the rental and auction operators; all of them have SQL and none has Python in its plan.
-NAMES = sorted({**report_queries.registry.queries, **change_queries.registry.queries})
+# Files are not visible to SQL; their footprint is compared with the disk.
+WITHOUT_SQL = {"rewrite_footprint"}
+# The queries of the rental and auction operators; the others have SQL and none has Python in its plan.
+NAMES = sorted({**report_queries.registry.queries, **change_queries.registry.queries}.keys() - WITHOUT_SQL)
 
 
 @pytest.fixture(scope="module")
@@ -39,3 +41,11 @@ def test_entry_has_rows(spark):
 
 def test_every_oracle_belongs_to_a_query():
     assert set(registered.oracle_sql()) <= set(registered.queries())
+
+
+def test_footprint_of_a_rewrite(spark):
+    rows = {r["table_name"]: r for r in registered.queries()["rewrite_footprint"](spark, SMALL).collect()}
+    lines = registered.queries()["delete_in_touched_files"](spark, SMALL).count()
+    assert rows["after"]["row_count"] == lines < rows["before"]["row_count"]
+    assert 0 < rows["dead"]["table_bytes"] <= rows["before"]["table_bytes"]
+    assert all(r["files"] and r["table_bytes"] for r in rows.values())
