@@ -59,7 +59,8 @@ def customer_balance(t: Tables, as_of: Day, late_fee_per_day: float) -> DataFram
     """What every customer owes at the end of ``as_of``: charges and late fees less payments.
 
     Rentals and payments after ``as_of`` are ignored. A rental still open then is
-    charged, and is late for the days it is over its rental duration by then.
+    charged, and is late for the days it is over its rental duration by then. Rentals and
+    payments of nobody in ``customer`` are left out.
     """
     day = F.lit(as_of).cast("date")
     until = F.date_add(day, 1)
@@ -69,27 +70,30 @@ def customer_balance(t: Tables, as_of: Day, late_fee_per_day: float) -> DataFram
     late = late_days(
         F.to_date("rental_date"), F.to_date("return_date"), F.col("rental_duration"), day
     )
-    fee = exact(late_fee_per_day)
-    charged = (
+    nothing = F.lit(None)
+    rented = (
         t["rental"]
-        .where(F.col("rental_date") < until)
+        .where((F.col("rental_date") < until) & F.col("customer_id").isNotNull())
         .select("customer_id", "inventory_id", "rental_date", "return_date")
         .join(terms, "inventory_id")
-        .groupBy("customer_id")
-        .agg(F.sum("rental_rate").alias("charges"), (F.sum(late) * fee).alias("late_fees"))
+        .select("customer_id", F.col("rental_rate").alias("charge"), late.alias("days"), nothing.alias("paid"), F.lit(False).alias("known"))
     )
-    paid = (
-        t["payment"].where(F.col("payment_date") < until).groupBy("customer_id").agg(F.sum("amount").alias("payments"))
+    paid = t["payment"].where((F.col("payment_date") < until) & F.col("customer_id").isNotNull())
+    paid = paid.select("customer_id", nothing.alias("charge"), nothing.alias("days"), F.col("amount").alias("paid"), F.lit(False).alias("known"))
+    customers = t["customer"].select("customer_id", *[nothing.alias(c) for c in ("charge", "days", "paid")], F.lit(True).alias("known"))
+    # One stream of events, folded once: customers without any have a row of their own in it.
+    folded = (
+        rented.unionByName(paid)
+        .unionByName(customers)
+        .groupBy("customer_id")
+        .agg(F.sum("charge").alias("charges"), F.sum("days").alias("days"), F.sum("paid").alias("payments"), F.bool_or("known").alias("known"))
+        .where("known")
+        .withColumn("late_fees", F.col("days") * exact(late_fee_per_day))
     )
     none = F.lit(0).cast("decimal(28,2)")
     amounts = [F.coalesce(c, none).cast("decimal(28,2)").alias(c) for c in ("charges", "late_fees", "payments")]
-    return (
-        t["customer"]
-        .select("customer_id")
-        .join(charged, "customer_id", "left")
-        .join(paid, "customer_id", "left")
-        .select("customer_id", *amounts)
-        .withColumn("balance", (F.col("charges") + F.col("late_fees") - F.col("payments")).cast("decimal(28,2)"))
+    return folded.select("customer_id", *amounts).withColumn(
+        "balance", (F.col("charges") + F.col("late_fees") - F.col("payments")).cast("decimal(28,2)")
     )
 
 
