@@ -59,10 +59,14 @@ def member(data: bytes) -> bytes:
 
 
 class _Source:
-    """A file as a stream of records; ``skipped`` counts bytes that were passed over without being read."""
+    """A file as a stream of records.
+
+    Of records that are not wanted, ``skipped`` counts bytes of the file that were passed
+    over without being read, and ``undecoded`` bytes of the blocks that were not inflated.
+    """
 
     def __init__(self, file, compressed: bool) -> None:
-        self.file, self.compressed, self.skipped = file, compressed, 0
+        self.file, self.compressed, self.skipped, self.undecoded = file, compressed, 0, 0
         self.size = file.size()
 
     def records(self, wanted) -> Iterator[tuple[dict[str, str], bytes | None]]:
@@ -75,6 +79,8 @@ class _Source:
                 return
             length = int(headers.get("Content-Length", 0))
             block = part.block(length) if wanted(headers) else None
+            if block is None and self.compressed and part.length:
+                self.undecoded += length - len(part.data) + part.body
             end = part.end(length)
             if block is None:
                 self.skipped += end - part.read_to
@@ -234,6 +240,7 @@ class WarcReader(DataSourceReader):
         self.names = json.loads(options["files"]) if "files" in options else None
         self.payload = options.get("payload", "true").lower() != "false"
         self.partition_bytes = int(options.get("partition_bytes", 128 << 20))
+        self.slices = int(options.get("slices", 1))
         self.allowed = [(h, frozenset(values)) for h, values in json.loads(options.get("headers", "{}")).items()]
 
     def wanted(self, headers: dict[str, str]) -> bool:
@@ -251,8 +258,9 @@ class WarcReader(DataSourceReader):
             infos = [i for i in store.get_file_info(fs.FileSelector(path)) if i.path.endswith((".warc", ".warc.gz"))]
         out: list[InputPartition] = []
         own, size = [], 0
+        most = min(self.partition_bytes, max(1 << 20, sum(i.size for i in infos) // self.slices))
         for info in sorted(infos, key=lambda i: i.path):
-            if own and size + info.size > self.partition_bytes:
+            if own and size + info.size > most:
                 out.append(_Files(own))
                 own, size = [], 0
             own.append(info.path)
@@ -309,6 +317,11 @@ def _batch(rows: list[tuple[dict[str, str], bytes | None]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=[*_COLUMNS, "block_bytes", "headers", "payload"])
 
 
+# What the heads of the two kinds of records have.
+RESPONSES = {"WARC-Type": ["response"]}
+REVISITS = {"WARC-Type": ["revisit"], "WARC-Refers-To": []}
+
+
 @dataclass(frozen=True)
 class Archive:
     """``least_revisit`` is the smallest payload, in bytes, that a later record refers to instead of holding it again."""
@@ -378,9 +391,12 @@ def write_archives(pages: DataFrame, archive: Archive = Archive()) -> tuple[str,
 def read_archives(
     spark: SparkSession, folder: str, files: list[str] | None = None, headers: Mapping[str, list[str]] | None = None, **options: str
 ) -> DataFrame:
-    """The records in ``folder`` whose headers have the values asked for; the others are passed over by the reader."""
+    """The records in ``folder`` whose headers have the values asked for; the others are passed over by the reader.
+
+    Files are read together up to ``partition_bytes``, and less where the session has cores for more tasks.
+    """
     spark.dataSource.register(WarcSource)
-    reader = spark.read.format("warc").options(**options)
+    reader = spark.read.format("warc").options(**{"slices": str(spark.sparkContext.defaultParallelism), **options})
     if headers is not None:
         reader = reader.option("headers", json.dumps(headers))
     if files is not None:
@@ -392,18 +408,28 @@ def round_trip(pages: DataFrame, archive: Archive = Archive()) -> DataFrame:
     """Write ``pages`` as archives and read them back.
 
     Gives ``page_id``, ``payload_bytes``, ``payload_digest``, ``record_type`` and
-    ``refers_to`` for each row. Length and digest of a response are taken from its payload
-    as read, those of a revisit from the heads that tell of the full payload.
+    ``refers_to`` for each row. Responses and revisits are two loads, each with a condition
+    on the heads that the reader applies before it decodes a payload. Length and digest of a
+    response are taken from its payload as read. Revisits are loaded without payloads, so
+    the responses between them are passed over undecoded; their heads tell of the full one.
     """
+    spark = pages.sparkSession
     folder, files = write_archives(pages, archive)
     names = [r["file"] for r in files.select("file").collect()]  # one per task
     kind = pages.schema["page_id"].dataType
     id_of = lambda uri: F.nullif(F.regexp_extract(uri, "^<urn:page:(.*)>$", 1), F.lit("")).cast(kind)
-    response = F.col("record_type") == "response"
-    return read_archives(pages.sparkSession, folder, names).select(
+    responses = read_archives(spark, folder, names, RESPONSES).select(
+        id_of(F.col("record_id")).alias("page_id"),
+        F.octet_length("payload").cast("long").alias("payload_bytes"),
+        F.sha2("payload", 256).alias("payload_digest"),
+        "record_type",
+        F.lit(None).cast(kind).alias("refers_to"),
+    )
+    revisits = read_archives(spark, folder, names, REVISITS, payload="false").select(
         id_of(F.col("record_id")).alias("page_id"),
-        F.when(response, F.octet_length("payload")).otherwise(F.col("headers")["X-Payload-Length"].cast("long")).cast("long").alias("payload_bytes"),
-        F.when(response, F.sha2("payload", 256)).otherwise(F.regexp_replace("payload_digest", "^sha256:", "")).alias("payload_digest"),
+        F.col("headers")["X-Payload-Length"].cast("long").alias("payload_bytes"),
+        F.regexp_replace("payload_digest", "^sha256:", "").alias("payload_digest"),
         "record_type",
         id_of(F.col("refers_to")).alias("refers_to"),
     )
+    return responses.unionByName(revisits)
