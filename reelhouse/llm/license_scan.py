@@ -4,9 +4,9 @@ A template is found in a block when the block contains enough of the template's
 tokens. Tokens are ordered by the number of documents they occur in, rarest first. By the
 prefix filter, a block that reaches the threshold shares a token with the template's
 prefix; by the length filter it has enough tokens; by the positional filter the tokens from
-a match on, in that order, have to suffice. What is left is checked exactly. The table of
-templates is a parameter, so it and its index are small; all texts and all blocks take
-part. All of it is built-in column functions.
+a match on, in that order, have to suffice. What is left is checked exactly. All texts and
+all blocks take part. The few built-in notices are constants of the plan; templates of the
+caller are a table of any size, joined by token. All of it is built-in column functions.
 """
 
 from __future__ import annotations
@@ -16,7 +16,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import ascii_lower, indices, pick
+from reelhouse.operators.joins import hot_join
+from reelhouse.operators.numbering import number_rows
+
+from .common import ascii_lower, indices, pick, written
 
 # Phrases that have to stand word by word, and their labels.
 PHRASES = {"gnu general public license": "gpl", "apache license": "apache", "cc by": "cc-by", "mit license": "mit"}
@@ -134,6 +137,73 @@ def block_matches(scanned: DataFrame, keys: list[str], counts: dict[str, int], s
     )
 
 
+def _template_tokens(templates: DataFrame, threshold: float) -> DataFrame:
+    """(template, label, stride, least, token) for each distinct token of each row (label, text) of ``templates``.
+
+    ``stride`` is the template's length in words up to a power of two. Templates without a
+    word or a label are left out.
+    """
+    words = pick(templates, "label", "text").select("label", tokens_of(F.col("text")).alias("words"))
+    words = words.where((F.size("words") > 0) & F.col("label").isNotNull()).distinct()
+    words = written(words.select(F.monotonically_increasing_id().alias("template"), "label", "words"), "templates")
+    stride = F.expr("shiftleft(1, if(size(words) = 1, 0, length(bin(size(words) - 1))))")
+    distinct = F.array_distinct("words")
+    least = F.ceil(F.lit(threshold) * F.size(distinct) - 1e-9).cast("int")
+    return words.select("template", "label", stride.alias("stride"), least.alias("least"), F.explode(distinct).alias("token"))
+
+
+def containments(scanned: DataFrame, templates: DataFrame, threshold: float) -> DataFrame:
+    """(row, label, containment) for texts with a block that contains a template's share ``threshold`` of tokens.
+
+    ``scanned`` has a unique ``row`` and ``words``. A template is sought in blocks of twice
+    its length in words, up to a power of two, of which half overlap. Only words that some
+    template has are joined; nothing but what Spark measures as small is broadcast, and a
+    word with a third of all places is split over tasks. Repeated templates count once.
+    """
+    tokens = written(_template_tokens(templates, threshold), "template-tokens")
+    hits = scanned.select("row", F.posexplode("words").alias("at", "token"))
+    known = tokens.select("token").distinct()
+    hits = written(hot_join(hits, known, ["token"], "left_semi"), "template-words")
+    # The global order: in how few texts a token occurs. Tokens in no text come first, and match nothing.
+    counts = hits.select("row", "token").distinct().groupBy("token").agg(F.count(F.lit(1)).alias("n"))
+    ranked = known.join(counts, "token", "left").select("token", F.coalesce("n", F.lit(0)).alias("n"))
+    ranked = written(number_rows(ranked, ["n", "token"], name="rank", unique=True).select("token", "rank"), "token-ranks")
+    ordered = tokens.join(ranked, "token").groupBy("template", "label", "stride", "least").agg(F.sort_array(F.collect_list("rank")).alias("tokens"))
+    ordered = written(ordered, "template-index")
+    prefix = F.slice("tokens", F.lit(1), F.size("tokens") - F.col("least") + 1)
+    index = ordered.select("*", F.posexplode(prefix).alias("place", "rank"))
+    # Each word goes to the two blocks it lies in, for every stride at which a template has it.
+    of_stride = tokens.join(ranked, "token").groupBy("token", "rank").agg(F.collect_set("stride").alias("strides"))
+    placed = hot_join(hits, of_stride, ["token"]).select("row", "at", "rank", F.explode("strides").alias("stride"))
+    block = F.floor(F.col("at") / F.col("stride"))
+    placed = placed.select("row", "rank", "stride", F.explode(F.array(block, block - 1)).alias("block")).where("block >= 0")
+    blocks = placed.groupBy("row", "stride", "block").agg(F.sort_array(F.collect_set("rank")).alias("ordered"))
+    found = blocks.select("row", "stride", "block", "ordered", F.posexplode("ordered").alias("at", "rank"))
+    found = found.join(index, ["rank", "stride"])
+    rest = F.least(F.size("tokens") - F.col("place"), F.size("ordered") - F.col("at"))
+    found = found.where((F.size("ordered") >= F.col("least")) & (rest >= F.col("least")))
+    # Exactly, and once for a block and template: at the first token they have in common.
+    found = found.withColumn("common", F.array_intersect("ordered", "tokens"))
+    found = found.where((F.get("common", F.lit(0)) == F.col("rank")) & (F.size("common") >= F.col("least")))
+    return found.groupBy("row", "label").agg(F.max(F.size("common") / F.size("tokens")).alias("containment"))
+
+
+def templates_in(docs: DataFrame, templates: DataFrame, scan: Scan = Scan()) -> DataFrame:
+    """``doc_id``, ``labels`` (distinct, sorted, comma-joined) and ``score`` of every row of ``docs``.
+
+    The labels of those of ``templates`` (label, text) that a block of the text contains.
+    Null and empty texts have none; repeated rows and null ids each stay; without templates
+    every row has no label and score 0.
+    """
+    rows = pick(docs, "doc_id", "text").select(F.monotonically_increasing_id().alias("row"), "doc_id", tokens_of(F.col("text")).alias("words"))
+    rows = written(rows, "words")
+    found = containments(rows, templates, scan.threshold).groupBy("row").agg(
+        F.array_join(F.sort_array(F.collect_set("label")), ",").alias("labels"), F.max("containment").alias("score")
+    )
+    joined = rows.select("row", "doc_id").join(found, "row", "left")
+    return joined.select("doc_id", F.coalesce("labels", F.lit("")).alias("labels"), F.coalesce("score", F.lit(0.0)).alias("score"))
+
+
 def license_scan(docs: DataFrame, scan: Scan = Scan()) -> DataFrame:
     """``doc_id``, ``n_words``, ``n_base``, ``first_word``, ``last_word``, ``base_labels``, ``labels`` and ``score``.
 
