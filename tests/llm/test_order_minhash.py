@@ -4,7 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import random
+import re
+import struct
+from collections import Counter
 
+import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from reelhouse.llm import order_minhash as o
@@ -36,6 +41,48 @@ def test_documents(small):
     assert plain == {i: r.fingerprint for i, r in rows.items()}
 
 
+def hashed(*values):
+    """64 bits of strings, longs and (as ``(n,)``) ints, one after the other; None is passed over."""
+    seed = 42
+    for v in values:
+        if v is None:
+            continue
+        data = v.encode() if isinstance(v, str) else struct.pack("<i", *v) if isinstance(v, tuple) else struct.pack("<q", v)
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed - (1 << 64) if seed >> 63 else seed
+
+
+def plain_fingerprint(text, how):
+    """For each sketch the least numbered k-mer of either stratum, in text order, hashed as a pair."""
+    w = re.findall(r"[^\x20\x09-\x0D]+", text or "")
+    windows = [" ".join(w)] if 0 < len(w) < how.kmer else [tuple(w[i : i + how.kmer]) for i in range(len(w) - how.kmer + 1)]
+    seen, kmers = Counter(), []
+    for x in windows:
+        h = hashed(x) if isinstance(x, str) else hashed(*x)
+        kmers.append(hashed(h, (seen[h],)) if seen[h] else h)
+        seen[h] += 1
+    out = []
+    for i in range(how.sketches):
+        least = {}
+        for place, k in enumerate(kmers):
+            x = hashed(k, (i,))
+            v = (x >> 31, place)
+            least[x & 1] = min(v, least.get(x & 1, v))
+        chosen = sorted(least.values(), key=lambda v: v[1])
+        out.append(f"{hashed(*[h for h, _ in chosen]) & 0xFFFFFFFF:08x}" if kmers else "0" * 8)
+    return "".join(out)
+
+
+@pytest.mark.parametrize("how", [o.Sketching(), o.Sketching(kmer=2, sketches=5)])
+def test_fingerprints_agree_with_plain_python(spark, small, how):
+    rng = random.Random(2)
+    texts = [r.text for r in small["documents"].orderBy("doc_id").limit(60).collect() if len(r.text) < 20_000]
+    texts += [" ".join(rng.choice("abc") for _ in range(n)) for n in (0, 1, 2, 3, 4, 5, 9, 40, 300)] + [None, " \n", "a  b\tc"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r.fingerprint for r in o.fingerprints(docs, how).collect()}
+    assert found == {i: plain_fingerprint(t, how) for i, t in enumerate(texts)}
+
+
 def numbers(spark, text, k=3):
     df = spark.createDataFrame([(text,)], "text string")
     return df.select(o.numbered_kmers(F.col("text"), k).alias("k")).first()["k"]
