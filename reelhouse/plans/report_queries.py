@@ -419,6 +419,11 @@ def group_concat(spark: SparkSession, root: str) -> DataFrame:
     return lists.group_concat(roles.trade(spark, root)["part"], ["p_brand"], "p_name")
 
 
+@query(registry.oracle_sql["group_concat"])
+def group_concat_in_pieces(spark: SparkSession, root: str) -> DataFrame:
+    return lists.group_concat(roles.trade(spark, root)["part"], ["p_brand"], "p_name", in_pieces=True)
+
+
 @query(
     """
     SELECT p_partkey AS film_id, p_name AS title,

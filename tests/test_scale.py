@@ -6,7 +6,7 @@ import __spark_entry__ as registered
 import pytest
 from pyspark.sql import functions as F
 
-from reelhouse.operators import change, reports, stock
+from reelhouse.operators import change, lists, reports, stock
 from reelhouse.operators.joins import hot_join, in_keys, not_in_keys
 
 SMALL = "/root/testdata/sf0.001"
@@ -133,3 +133,19 @@ def test_date_filters_reach_the_scan(spark):
 def test_reports_read_only_the_columns_they_need(spark):
     formatted = formatted_plan(spark, registered.queries()["store_revenue_since"](spark, SMALL))
     assert "ReadSchema: struct<l_orderkey:bigint,l_extendedprice:double,l_shipdate:timestamp_ntz>" in formatted
+
+
+def test_a_huge_list_is_sorted_in_pieces(spark, monkeypatch, conf):
+    """A group with a third of all rows, most of them equal, is sorted in many tasks."""
+    conf("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    hot = F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id") % 1000)
+    rows = spark.range(30_000).select(hot.alias("g"), F.when(F.col("id") % 4 > 0, F.lit("v")).otherwise((F.col("id") % 500).cast("string")).alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([(-1, None), (None, "x"), (None, "a")], "g BIGINT, v STRING"))
+    kept = []
+    monkeypatch.setattr(lists, "stored", lambda df, of=lists.stored: kept.append(of(df)) or kept[-1])
+    for distinct in (False, True):
+        pieces = lists.group_concat(rows, ["g"], "v", separator="|", distinct=distinct, in_pieces=True)
+        plain = lists.group_concat(rows, ["g"], "v", separator="|", distinct=distinct)
+        assert {tuple(r) for r in pieces.collect()} == {tuple(r) for r in plain.collect()}
+    sizes = [r["count"] for r in kept[0].where("g = 7").groupBy("_piece").count().collect()]
+    assert len(sizes) > 2 and max(sizes) < 0.5 * sum(sizes)
