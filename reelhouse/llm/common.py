@@ -42,6 +42,15 @@ def unpacked(rows: DataFrame, docs: DataFrame, **replaced: Column) -> DataFrame:
     return rows.select(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).toDF(*docs.columns)
 
 
+def with_text(rows: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
+    """:func:`unpacked` with another ``text``, and with its length in ``n_chars`` if ``docs`` has that column."""
+    replaced = {"text": text}
+    if "n_chars" in docs.columns:
+        kind = docs.schema.fields[docs.columns.index("n_chars")].dataType
+        replaced["n_chars"] = F.char_length(text).cast(kind)
+    return unpacked(rows, docs, **replaced)
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, also where the body uses it in a lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import indices, packed, pick, unpacked, words_of, written
+from .common import indices, packed, pick, with_text, words_of, written
 
 # Primes above any number of blocks. A prime's remainder modulo n has no
 # factor in common with n, so multiplying by it permutes the numbers below n.
@@ -229,7 +229,7 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix as rows with the columns of ``docs``: one for each document and each epoch it is taken in.
 
     A document that is taken whole keeps its text as it is; of one that is taken in part
-    the taken words remain, in order and with single spaces. ``n_chars`` is counted anew.
+    the taken words remain, in order and with single spaces. ``n_chars``, where there is one, is counted anew.
     """
     rows = _sized(packed(docs, "doc_id", "source", "text")).drop("text")
     sources = written(source_targets(_sized(pick(docs, "source", "text")).drop("text"), mix), "sources")
@@ -246,4 +246,4 @@ def mixed(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     rows = placed.join(taken, ["source_no", "start"])
     rows = rows.withColumn("words", F.when(F.col("n") < F.col("size"), words))
     rows = rows.withColumn("new", F.when(F.col("n") < F.col("size"), part).otherwise(text))
-    return unpacked(rows, docs, text=F.col("new"), n_chars=F.char_length("new").cast(docs.schema["n_chars"].dataType))
+    return with_text(rows, docs, F.col("new"))

@@ -49,4 +49,12 @@ def test_queries_are_registered():
     import __spark_entry__ as registered
 
     names = registered.queries()
-    assert "pipeline" in names and {f"op{i}" for i in range(1, 11)} <= {n.split("_")[0] for n in names}
+    assert "pipeline" in names and {f"op{i}" for i in range(1, 14)} <= {n.split("_")[0] for n in names}
+
+
+def test_stages_need_id_source_and_text_only(spark, folder, small):
+    """Tables without ``n_chars`` pass the stages that change texts."""
+    docs = small["documents"].drop("n_chars")
+    for stage in (c.mask_secrets, c.mix_sources):
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns and out.count() > 0
