@@ -29,13 +29,15 @@ from .tokens import WordEncoder
 class Packing:
     """``nodes`` bounds the fillings tried, or dropped as dominated, beyond the first descent.
 
-    ``starts`` is how many beginnings of the first descent are finished by best fit.
+    ``starts`` is how many beginnings of the first descent are finished by best fit, and
+    ``splits`` into how many parts the lengths are divided for packings of two parts.
     """
 
     length: int = 4096
     end_id: int = 1
     nodes: int = 20_000
     starts: int = 64
+    splits: int = 24
     rank_parts: int = 4_096
     rank_block: int = 64
 
@@ -265,13 +267,29 @@ def fewest(histogram: dict[int, int], length: int) -> int:
     return best
 
 
+def _bins(plan: list[tuple[Filling, int]]) -> int:
+    return sum(n for _, n in plan)
+
+
+def first_descent(histogram: dict[int, int], packing: Packing) -> list[tuple[Filling, int]]:
+    """The best-fitting completion at every longest piece, in as many sequences as the pieces allow."""
+    stock, plan = _Stock(histogram, packing.length), []
+    while stock.lengths:
+        filling, times, _ = next(c for c in stock.completions(packing, lambda: packing.length) if c is not None)
+        stock.use(filling, times)
+        plan.append((filling, times))
+    return plan
+
+
 def complete_bins(histogram: dict[int, int], packing: Packing = Packing()) -> list[tuple[Filling, int]]:
     """Fillings and the number of sequences that use each, over all pieces of ``histogram`` (length to count).
 
     The best-fit packing of all pieces is the first incumbent. The first descent takes the
     best-fitting completion at every longest piece, and as many sequences of it as the
     pieces allow; it is an incumbent too where it is better, as are its beginnings at up to
-    ``packing.starts`` places, each with a best-fit packing of what is left. Then the last
+    ``packing.starts`` places, each with a best-fit packing of what is left. Where short
+    pieces are worth more beside middling than beside long ones, pieces up to a length and
+    longer ones are packed apart, for up to ``packing.splits`` lengths. Then the last
     decisions are taken back first and the other undominated completions tried, where the
     waste so far leaves hope of fewer sequences, until the lower bound is met, none is left,
     or ``nodes`` completions beyond the first descent were tried or found to be dominated.
@@ -280,7 +298,7 @@ def complete_bins(histogram: dict[int, int], packing: Packing = Packing()) -> li
     total = sum(size * n for size, n in histogram.items())
     bound = fewest(histogram, packing.length)
     best = best_fit(histogram, packing.length)
-    best_bins = sum(n for _, n in best)
+    best_bins = _bins(best)
     tried = bins = waste = 0
     descended = False
     trail: list[tuple[Completion, Iterator[Completion | None]]] = []  # decisions, and what else is to choose from
@@ -304,7 +322,7 @@ def complete_bins(histogram: dict[int, int], packing: Packing = Packing()) -> li
 
     def finish(steps: list[tuple[Filling, int]], rest: list[tuple[Filling, int]]) -> None:
         nonlocal best, best_bins
-        found = sum(n for _, n in steps) + sum(n for _, n in rest)
+        found = _bins(steps) + _bins(rest)
         if found < best_bins:
             best_bins, best = found, [*steps, *rest]
 
@@ -323,6 +341,12 @@ def complete_bins(histogram: dict[int, int], packing: Packing = Packing()) -> li
                         left[size] -= n * times
                     if i % gap == gap - 1 and best_bins > bound:
                         finish(steps[: i + 1], best_fit({size: n for size, n in left.items() if n}, packing.length))
+                sizes = sorted(histogram)
+                for cut in sorted({sizes[i * len(sizes) // packing.splits] for i in range(1, packing.splits)}):
+                    if best_bins == bound:
+                        break
+                    low, high = ({k: n for k, n in histogram.items() if (k > cut) == above} for above in (False, True))
+                    finish(*[min(best_fit(part, packing.length), first_descent(part, packing), key=_bins) for part in (low, high)])
         descended = True
         if best_bins == bound or tried > packing.nodes:
             break
