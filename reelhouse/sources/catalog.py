@@ -71,24 +71,29 @@ class ColumnGrant:
 
 
 def visible_rows(df: DataFrame, policies: list[RowPolicy]) -> DataFrame:
-    """Rows that at least one policy lets through; none at all without a policy."""
+    """Rows that at least one policy lets through; none at all without a policy.
+
+    Conditions are met first, on the row itself: only the rows that they leave are matched
+    with keys, so what a condition lets through is never shuffled.
+    """
     if not policies:
         return df.where(F.lit(False))
-    if len(policies) == 1 and policies[0].keys is not None:
-        policy = policies[0]
-        return in_keys(df, policy.keys, list(policy.on))
-
-    columns = df.columns
-    allowed = []
-    for number, policy in enumerate(policies):
-        if policy.condition is not None:
-            allowed.append(F.coalesce(policy.condition, F.lit(False)))
-            continue
-        mark = f"_policy_{number}"
-        keys = policy.keys.select(*policy.on).distinct().withColumn(mark, F.lit(True))
-        df = hot_join(df, keys, list(policy.on), "left")
-        allowed.append(F.coalesce(F.col(mark), F.lit(False)))
-    return df.where(reduce(Column.__or__, allowed)).select(*columns)
+    conditions = [F.coalesce(p.condition, F.lit(False)) for p in policies if p.condition is not None]
+    keyed = [p for p in policies if p.keys is not None]
+    passed = reduce(Column.__or__, conditions) if conditions else None
+    if not keyed:
+        return df.where(passed)
+    rest = df if passed is None else df.where(~passed)
+    if len(keyed) == 1:
+        found = in_keys(rest, keyed[0].keys, list(keyed[0].on))
+    else:
+        marks = []
+        for number, policy in enumerate(keyed):
+            marks.append(f"_policy_{number}")
+            keys = policy.keys.select(*policy.on).distinct().withColumn(marks[-1], F.lit(True))
+            rest = hot_join(rest, keys, list(policy.on), "left")
+        found = rest.where(reduce(Column.__or__, [F.col(m).isNotNull() for m in marks])).select(*df.columns)
+    return found if passed is None else df.where(passed).unionByName(found)
 
 
 class RestrictedTables(Mapping[str, DataFrame]):

@@ -114,3 +114,21 @@ def test_catalog_reads_declared_schemas(spark, tmp_path):
     assert catalog["thing"].dtypes == [("id", "int"), ("name", "string")]
     catalog.register_views()
     assert spark.sql("SELECT name FROM thing").collect()[0][0] == "x"
+
+
+def test_what_a_condition_lets_through_is_not_matched_with_keys(spark):
+    rows = spark.createDataFrame([(i, i % 5, None if i % 7 == 0 else "R" if i % 3 else "N") for i in range(200)], "id INT, k INT, flag STRING")
+    keys = [spark.createDataFrame([(k,), (k,)], "k INT") for k in (1, 3)]
+    by_flag = RowPolicy("t", "me", condition=F.col("flag") == "R")
+    by_key = [RowPolicy("t", "me", keys=k, on=("k",)) for k in keys]
+    for policies, expected in (
+        ([by_flag, by_key[0]], lambda i: (i % 7 and i % 3) or i % 5 == 1),
+        ([by_flag, *by_key], lambda i: (i % 7 and i % 3) or i % 5 in (1, 3)),
+        (by_key, lambda i: i % 5 in (1, 3)),
+        ([by_flag], lambda i: i % 7 and i % 3),
+    ):
+        seen = RestrictedTables({"t": rows}, "me", policies, secured={"t"})["t"]
+        assert sorted(r["id"] for r in seen.collect()) == [i for i in range(200) if expected(i)]
+    plan = RestrictedTables({"t": rows}, "me", [by_flag, by_key[0]], secured={"t"})["t"]._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Join") :]
+    assert "NOT coalesce((flag" in below and "LeftSemi" in below
