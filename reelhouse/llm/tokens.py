@@ -11,7 +11,7 @@ import numpy as np
 
 _TEXT_AT_ONCE = 2 << 20  # characters whose words are looked up together
 _WORDS_AT_ONCE = 512  # new words encoded in one call
-_CACHED_BYTES = 176 << 20  # of words and their ids in each of two generations of the cache, with what Python adds
+_CACHED_BYTES = 80 << 20  # of words and their ids in each of two generations of the cache, with what Python adds
 _ENTRY = 220  # bytes that a cached word takes beside its letters and ids
 _LETTERS = re.compile(rb"([A-Za-z]+)([,.;:!?]*)")
 
@@ -89,10 +89,7 @@ class WordEncoder:
             self._keep(w, self.new[letters] + (self.new[signs] if signs else b""))
 
     def _lookup(self, texts: list[list[bytes]]) -> Iterator[bytes]:
-        unknown: set[bytes] = set()
-        for words in texts:
-            unknown.update(filterfalse(self.new.__contains__, words))
-        self._learn(unknown)
+        self._learn(filterfalse(self.new.__contains__, set().union(*texts)))
         of = self.new.__getitem__
         yield from [b"".join(map(of, words)) for words in texts]
         if self.size > _CACHED_BYTES:
