@@ -9,7 +9,7 @@ it looks like a secret.
 
 Null texts are empty and have no spans; repeated rows and null ids each stay; a table
 without rows gives none. Texts of any length are scanned whole, in a time that grows with
-their length. Columns other than the id and the text are passed over or passed on.
+their length but for values joined of very many constants. Columns other than the id and the text are passed over or passed on.
 """
 
 from __future__ import annotations
@@ -298,14 +298,11 @@ def pairs(text: str) -> Iterator[Pair]:
     return _Parser(text).pairs()
 
 
-_SCORED = 1_000  # constants that are followed for a score; for spans all are
-
-
 class _Constants:
     """Which pair a name stands for: its last value before the use, or its first one after it."""
 
     def __init__(self, all_pairs: list[Pair]) -> None:
-        self.pairs, self.places = all_pairs, {}
+        self.pairs, self.places, self.roots = all_pairs, {}, {}
         for i, pair in enumerate(all_pairs):
             self.places.setdefault(pair.name, []).append(i)
 
@@ -314,12 +311,24 @@ class _Constants:
         before = bisect.bisect_left(known, at) - 1
         return known[before] if before >= 0 else next((k for k in known if k != at), None)
 
-    def literals(self, starts: list[int], most: int | None = None) -> list[Literal]:
+    def root(self, i: int) -> int:
+        """The pair at the end of a chain of pairs whose value is one constant alone: its literals are theirs."""
+        chain = []
+        while i not in self.roots:
+            self.roots[i] = i  # a circle ends where it is met again
+            chain.append(i)
+            terms = self.pairs[i].terms
+            source = self.source(terms[0][0], i) if len(terms) == 1 and len(terms[0]) == 2 else None
+            i = i if source is None else source
+        self.roots.update(dict.fromkeys(chain, self.roots[i]))
+        return self.roots[i]
+
+    def literals(self, starts: list[int]) -> list[Literal]:
         """The literals in the values of some pairs, constants followed to theirs, in order."""
         found: dict[Literal, None] = {}
         seen = set(starts)
         todo = [(i, t) for i in reversed(starts) for t in reversed(self.pairs[i].terms)]
-        while todo and (most is None or len(seen) <= most):
+        while todo:
             at, term = todo.pop()
             source = None if len(term) == 3 else self.source(term[0], at)
             if len(term) == 3:
@@ -334,14 +343,23 @@ class _Constants:
 
 
 def literal_spans(text: str, scan: Scan) -> list[tuple[str, int, int]]:
-    """Literals that are given, directly or through constants, to a sensitive name."""
+    """Literals that are given, directly or through constants, to a sensitive name.
+
+    Every value is followed to all its literals, however many constants lie between. Chains
+    of constants that only name the next are followed once; for a value joined of constants
+    the work is the number of constants in it, for each such value anew.
+    """
     constants = _Constants(list(pairs(text)))
-    secret = []
+    secret, judged = [], {}
     for i, pair in enumerate(constants.pairs):
         sensitive = name_score(pair.name)
         if sensitive > 0:
-            whole = "".join(v for v, _, _ in constants.literals([i], _SCORED))
-            if len(whole) >= scan.least_length and sensitive + literal_score(whole) >= scan.least_score:
+            root = constants.root(i)
+            if root not in judged:
+                whole = "".join(v for v, _, _ in constants.literals([root]))
+                judged[root] = len(whole), literal_score(whole)
+            length, score = judged[root]
+            if length >= scan.least_length and sensitive + score >= scan.least_score:
                 secret.append(i)
     return list(dict.fromkeys(("literal", s, e) for _, s, e in constants.literals(secret) if e > s))
 

@@ -147,3 +147,15 @@ def test_edge_rows(edge_docs, no_docs):
     assert len(rows) == 14 and all(r.spans is not None for r in rows)
     assert s.mask_secrets(edge_docs).columns == edge_docs.columns and s.mask_secrets(edge_docs).count() == 14
     assert s.scanned(no_docs).count() == 0
+
+
+@pytest.mark.parametrize("join", ["", '"" + '])
+def test_constants_are_followed_however_many_there_are(join):
+    chain = "".join(f"token{i} = {join}token{i - 1}\n" for i in range(1, 1_500))
+    text = chain + 'other = token1499\ntoken0 = "abcdEFGH12345678"\n'
+    assert literals(text)[-1:] == ["abcdEFGH12345678"]
+    last = "x = 'abcdEFGH12345678'\n" + "".join(f"x{i} = {join}x{i - 1 if i > 1 else ''}\n" for i in range(1, 1_500)) + "secret = x1499"
+    assert literals(last) == ["abcdEFGH12345678"]
+    parts = "".join(f"x{i} = 'a'\n" for i in range(1_500)) + "y = 'EFGH12345678'\nsecret = " + " + ".join([*(f"x{i}" for i in range(1_500)), "y"])
+    assert literals(parts) == (["a"] * 1_500 + ["EFGH12345678"] if s.literal_score("a" * 1_500 + "EFGH12345678") >= 1 else [])
+    assert literals("a_token = b_token\nb_token = a_token") == []
