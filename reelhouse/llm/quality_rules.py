@@ -15,17 +15,17 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import indices, let, number_array, packed, pick, thinned, unpacked, words_of
+from .common import let, number_array, packed, pick, unpacked, words_of, written
 
 
 @dataclass(frozen=True)
 class Rules:
     """``buckets`` also bounds what reaches the driver: one weight per bucket.
 
-    ``trusted`` bounds the labelled documents the trusted multinomial is counted on, those
-    whose ids have the smallest hashes. ``prior`` is the number of n-grams in a bucket that
-    are taken to follow the corpus before any is counted. ``rejected`` is the share of
-    trusted documents, scored by others, that the threshold would reject.
+    ``trusted`` bounded the trusted documents once and has no effect any more: all of them
+    are counted. ``prior`` is the number of n-grams in a bucket that are taken to follow the
+    corpus before any is counted. ``rejected`` is the share of trusted documents, scored by
+    others, that the threshold would reject.
     """
 
     buckets: int = 1 << 16
@@ -61,7 +61,9 @@ def repeated_words(words: Column) -> Column:
         return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), repeats).otherwise(F.lit(0))
 
     def hashes(w: Column) -> Column:
-        return F.transform(indices(0, F.size(w) - 3), lambda i: F.xxhash64(F.get(w, i), F.get(w, i + 1), F.get(w, i + 2)))
+        n = F.greatest(F.size(w) - 2, F.lit(0))
+        pairs = F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.xxhash64(a, b))
+        return F.zip_with(pairs, F.slice(w, 3, n), lambda h, c: F.xxhash64(h, c))
 
     return let(words, lambda w: let(hashes(w), covered)).cast("long")
 
@@ -84,6 +86,12 @@ def base_measures(text: Column, words: Column, rules: Rules) -> dict[str, Column
     }
 
 
+def _neighbours(values: Column) -> tuple[Column, Column]:
+    """All values but the last, and all but the first."""
+    n = F.greatest(F.size(values) - 1, F.lit(0))
+    return F.slice(values, 1, n), F.slice(values, 2, n)
+
+
 def _bucket(rules: Rules, *words: Column) -> Column:
     return F.pmod(F.xxhash64(*words), F.lit(rules.buckets)).cast("int")
 
@@ -92,7 +100,7 @@ def features(words: Column, rules: Rules) -> Column:
     """The buckets of all words, then of all pairs of neighbours."""
 
     def both(w: Column) -> Column:
-        pairs = F.transform(indices(0, F.size(w) - 2), lambda i: _bucket(rules, F.get(w, i), F.get(w, i + 1)))
+        pairs = F.zip_with(*_neighbours(w), lambda a, b: _bucket(rules, a, b))
         return F.concat(F.transform(w, lambda x: _bucket(rules, x)), pairs)
 
     return let(words, both)
@@ -113,27 +121,31 @@ def _failed(rules: Rules) -> Column:
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Fit:
     """The log-ratio of every bucket, from all n-grams of ``docs``, and the threshold.
 
-    Trusted are documents with quality 1 and no toxic mark, in two halves by a hash of the
-    id. Their number is bounded by ``rules.trusted``, so their ids may be broadcast; every
-    other count is over all rows. Null ids are never trusted. Without trusted n-grams all
-    ratios are zero; without some in each half, or none that pass the plain rules, there is
-    no threshold.
+    Trusted are all documents with quality 1 and no toxic mark, in two halves by a hash of
+    the id. Both sides of the join with their ids are shuffled; only n-grams and judgements
+    of the trusted ones are kept for the two counts and the scores. Null ids are never
+    trusted. Without trusted n-grams all ratios are zero; without some in each half, or none
+    that pass the plain rules, there is no threshold.
     """
     trusted = (
         pick(labels, "doc_id", "quality", "toxic")
         .where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").cast("string").alias("id"))
+        .distinct()
     )
-    trusted = thinned(trusted, F.col("id"), rules.trusted).distinct().orderBy(F.xxhash64("id"), "id").limit(rules.trusted)
-    trusted = F.broadcast(trusted.withColumn("half", F.pmod(F.xxhash64("id"), F.lit(2)).cast("int")))
     rows = pick(docs, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
-    grams = rows.join(trusted, "id", "left").select("half", F.explode(features(words_of(F.col("text")), rules)).alias("bucket"))
-    sums = [F.count(F.lit(1)).alias("raw"), *[F.count_if(F.col("half") == h).alias(f"half{h}") for h in (0, 1)]]
-    raw, halves = [0] * rules.buckets, [[0] * rules.buckets for _ in range(2)]
-    for row in grams.groupBy("bucket").agg(*sums).collect():  # at most one row per bucket
-        raw[row["bucket"]] = row["raw"]
-        for h in (0, 1):
-            halves[h][row["bucket"]] = row[f"half{h}"]
+    raw = [0] * rules.buckets
+    for row in rows.select(F.explode(features(words_of(F.col("text")), rules)).alias("bucket")).groupBy("bucket").count().collect():
+        raw[row["bucket"]] = row["count"]  # at most one row per bucket
+
+    own = rows.join(trusted.hint("merge"), "id").withColumn("words", words_of(F.col("text")))
+    measures = base_measures(F.col("text"), F.col("words"), rules)
+    own = own.select("id", features(F.col("words"), rules).alias("grams"), *[measures[m].alias(m) for m in ("n_words", "n_repeat_words")])
+    half = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half")
+    own = written(own.select(half, "grams", (~_failed(rules)).alias("passed")), "trusted")
+    halves = [[0] * rules.buckets for _ in range(2)]
+    for row in own.select("half", F.explode("grams").alias("bucket")).groupBy("half", "bucket").count().collect():
+        halves[row["half"]][row["bucket"]] = row["count"]
 
     def weights(good: list[int]) -> list[float]:
         n_raw, n_good = sum(raw), sum(good)
@@ -144,25 +156,49 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Fit:
     of_all = weights([a + b for a, b in zip(*halves)])
     if not all(map(sum, halves)):
         return Fit(of_all, None)
-    words = F.col("words")
-    of_others = F.when(F.col("half") == 0, mean_ratio(words, weights(halves[1]), rules)).otherwise(mean_ratio(words, weights(halves[0]), rules))
-    held_out = rows.join(trusted, "id").withColumn("words", words_of(F.col("text")))
-    measures = base_measures(F.col("text"), words, rules)
-    held_out = held_out.select(of_others.alias("score"), *[measures[m].alias(m) for m in ("n_words", "n_repeat_words")])
-    # A filter on the measures would go below the join and take them of all documents.
-    passed = F.when(~_failed(rules), F.col("score"))
-    # Equal texts score alike, so there are at most as many values as trusted ids.
-    return Fit(of_all, held_out.agg(F.percentile(passed, rules.rejected).alias("threshold")).first()["threshold"])
+    of_others = [_mean_weight(F.col("grams"), weights(halves[1 - h])) for h in (0, 1)]
+    score = F.when(F.col("half") == 0, of_others[0]).otherwise(of_others[1])
+    return Fit(of_all, _quantile(written(own.where("passed").select(score.alias("score")), "held-out"), rules.rejected))
+
+
+_DIGITS = 6  # of a score
+_COARSE = 1 << 10  # scores in a step of the first count
+
+
+def _quantile(scores: DataFrame, share: float) -> float | None:
+    """The exact quantile of ``score``, between two ranks in proportion as in ``percentile``; none without rows.
+
+    Scores have six digits. They are counted in steps of 1,024 of these, and those of the
+    steps with the two ranks one by one, so what is gathered is bounded by the range of scores.
+    """
+    fine = F.round(F.col("score") * 10**_DIGITS).cast("long")
+    steps = scores.groupBy(F.floor(fine / _COARSE).alias("step")).count().orderBy("step").collect()
+    place = (sum(r["count"] for r in steps) - 1) * share
+    ranks, before, wanted = (math.floor(place), math.ceil(place)), 0, {}
+    if place < 0 or not steps:
+        return None
+    for step in steps:
+        if any(before <= r < before + step["count"] for r in ranks):
+            wanted[step["step"]] = before
+        before += step["count"]
+    found = scores.where(F.floor(fine / _COARSE).isin(*wanted)).groupBy("score").count().orderBy("score").collect()
+    at, values = min(wanted.values()), {}
+    for row in found:
+        values.update({r: row["score"] for r in ranks if at <= r < at + row["count"]})
+        at += row["count"]
+    low, high = (values[r] for r in ranks)
+    return low if low == high else (ranks[1] - place) * low + (place - ranks[0]) * high
+
+
+def _mean_weight(buckets: Column, weights: list[float]) -> Column:
+    table = number_array(weights)
+    total = F.aggregate(buckets, F.lit(0.0), lambda s, b: s + F.get(table, b)) / F.greatest(F.size(buckets), F.lit(1))
+    return F.round(total, _DIGITS)
 
 
 def mean_ratio(words: Column, weights: list[float], rules: Rules) -> Column:
     """The mean log-ratio of a text's n-grams; zero without words."""
-    table = number_array(weights)
-    total = let(
-        features(words, rules),
-        lambda f: F.aggregate(f, F.lit(0.0), lambda s, b: s + F.get(table, b)) / F.greatest(F.size(f), F.lit(1)),
-    )
-    return F.round(total, 6)
+    return let(features(words, rules), lambda f: _mean_weight(f, weights))
 
 
 def judged(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:

@@ -143,3 +143,17 @@ def test_junk_goes_and_prose_stays(small):
 def test_no_python_in_the_plan(small):
     plan = q.judged(small["documents"], small["labels"])._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+
+
+def test_all_trusted_documents_count_whatever_the_bound(small):
+    docs, labels = small["documents"], small["labels"]
+    of_few, of_all = (q.fit(docs, labels, q.Rules(buckets=512, trusted=n, rejected=0.1)) for n in (10, 10_000))
+    assert of_few == of_all
+
+
+@pytest.mark.parametrize("share", [0.0, 0.002, 0.1, 0.5, 1.0])
+def test_the_quantile_is_that_of_percentile(spark, share):
+    for rows in ([(0.0,)], [(-1.5,), (2.25,)], [(round(math.sin(i) * i / 7, 6),) for i in range(500)] + [(0.000001,), (-0.000001,)] * 40):
+        scores = spark.createDataFrame(rows, "score double")
+        assert q._quantile(scores, share) == scores.agg(F.percentile("score", share)).first()[0]
+    assert q._quantile(scores.limit(0), share) is None
