@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from reelhouse.operators.change import Change, like_table, not_yet_in
-from reelhouse.operators.joins import hot_join
+from reelhouse.operators.joins import hot_join, in_keys
 from reelhouse.operators.numbering import assign_keys, number_rows
 from reelhouse.sources.session import checkpointed, stored
 
@@ -107,6 +107,32 @@ def first_without_conflict(rows: DataFrame, keys: list[list[str]], row_id: str)
     return rows.join(kept.withColumnRenamed("_id", row_id), row_id, "left_semi")
 
 
+_FEW = 100_000  # rows of a batch whose keys are sent to the target, not the target's keys to them
+
+
+def _open_to(rows: DataFrame, target: DataFrame, keys: list[list[str]], row_id: str) -> tuple[DataFrame, DataFrame]:
+    """The rows that meet no key of the target nor of another row, and those that only meet other rows.
+
+    Of each key the values that the target or several rows hold are counted out, and the rows
+    are marked by these alone. The values of a large batch and of the target go through one
+    aggregate, which holds one row a value and task however often it occurs.
+    """
+    few = rows.count() <= _FEW
+    marked = rows
+    for i, key in enumerate(keys):
+        held = target.select(*key)
+        held = (in_keys(held, rows, key) if few else held).select(*key, F.lit(0).alias("_mine"), F.lit(1).alias("_theirs"))
+        values = rows.select(*key, F.lit(1).alias("_mine"), F.lit(0).alias("_theirs")).unionByName(held).where(_filled(key))
+        shared = values.groupBy(*key).agg(F.sum("_mine").alias("_mine"), F.max("_theirs").alias("_theirs"))
+        shared = shared.where("_mine > 1 or (_mine = 1 and _theirs = 1)").select(*key, (F.col("_theirs") == 1).alias(f"_taken{i}"))
+        marked = hot_join(marked, shared, key, "left")
+    marks = [F.col(f"_taken{i}") for i in range(len(keys))]
+    taken = reduce(Column.__or__, [F.coalesce(m, F.lit(False)) for m in marks])
+    alone = reduce(Column.__and__, [m.isNull() for m in marks])
+    marked = stored(marked.where(~taken & F.col(row_id).isNotNull()).select(*rows.columns, alone.alias("_alone")))
+    return marked.where("_alone").drop("_alone"), marked.where("not _alone").drop("_alone")
+
+
 def insert_or_skip(
     target: DataFrame,
     rows: DataFrame,
@@ -125,10 +151,11 @@ def insert_or_skip(
         rows = number_rows(rows, list(rows.columns), name=row_id)
     else:
         rows = checkpointed(rows)
-    for key in unique_keys:
-        rows = not_yet_in(rows, target, key)
-    if unique_keys:
-        rows = first_without_conflict(rows, unique_keys, row_id)
+    if len(unique_keys) > 1:
+        alone, others = _open_to(rows, target, unique_keys, row_id)
+        rows = alone.unionByName(first_without_conflict(others, unique_keys, row_id))
+    for key in unique_keys if len(unique_keys) == 1 else []:
+        rows = first_without_conflict(not_yet_in(rows, target, key), unique_keys, row_id)
     if id_column is not None:
         rows = assign_keys(rows, target, id_column, [row_id], unique=True)
     new = like_table(rows, target)

@@ -74,6 +74,20 @@ def test_three_keys_of_any_density(spark, seed):
     assert sorted(r["row_id"] for r in kept) == [r[3] for r in one_by_one([], rows, [(0,), (1,), (2,)])]
 
 
+@pytest.mark.parametrize("few", [0, 100_000])
+def test_only_rows_that_meet_others_are_judged_in_rounds(spark, monkeypatch, few):
+    rows = [(i, i, -i) for i in range(1_000)] + [(1_000, 5, 5), (1_001, None, -7), (1_002, None, None), (1_003, 2_000, 2_000), (1_004, 3_000, 9), (1_005, 3_000, 3_000)]
+    target = [(2_000, 1), (None, -3), (9_999, 9_999), (None, None), (1, 9), (2_000, None)]
+    judged, rounds = [], seeding.first_without_conflict
+    monkeypatch.setattr(seeding, "_FEW", few, raising=False)
+    monkeypatch.setattr(seeding, "first_without_conflict", lambda df, *of: judged.append(df.count()) or rounds(df, *of))
+    state = spark.createDataFrame(target, "a BIGINT, b INT")
+    done = seeding.insert_or_skip(state, spark.createDataFrame(rows, "row_id BIGINT, a INT, b INT").repartition(5), [["a"], ["b"]])
+    expected = one_by_one(target, [r[1:] for r in rows], [(0,), (1,)])
+    assert sorted(values(done.returning), key=str) == sorted(expected, key=str)
+    assert judged == [5]
+
+
 def test_ids_follow_the_batch_order(spark):
     target = spark.createDataFrame([(5, "x")], "id BIGINT, name STRING")
     batch = spark.createDataFrame([(0, "c"), (1, "a"), (2, "x"), (3, "c"), (4, "b")], "row_id INT, name STRING")
