@@ -8,12 +8,17 @@ from collections.abc import Iterable, Iterator
 from itertools import filterfalse
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-_TEXT_AT_ONCE = 2 << 20  # characters whose words are looked up together
+_TEXT_AT_ONCE = 4 << 20  # characters whose words are looked up together
 _WORDS_AT_ONCE = 512  # new words encoded in one call
-_CACHED_BYTES = 80 << 20  # of words and their ids in each of two generations of the cache, with what Python adds
+_CACHED_BYTES = 120 << 20  # of words and their ids in each of two generations of the cache, with what Python adds
 _ENTRY = 220  # bytes that a cached word takes beside its letters and ids
-_LETTERS = re.compile(rb"([A-Za-z]+)([,.;:!?]*)")
+# Letters of ASCII and Latin-1 in UTF-8, then ASCII signs; an apostrophe may be part of a contraction.
+_LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
+_UPPER = bytes([*range(0x41, 0x5B), *range(0x80, 0x97), *range(0x98, 0x9F)])  # of such letters, their last bytes
+_LOWER = bytes.maketrans(_UPPER, bytes(b + 0x20 for b in _UPPER))
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -33,7 +38,7 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         spec = json.loads(self.tokenizer.to_str())
-        # Where case is dropped, and letters and punctuation are always apart, words of ASCII
+        # Where case is dropped, and letters and punctuation are always apart, words of such
         # letters have the ids of their lower case, then those of the signs behind them.
         steps, apart = json.dumps(spec["normalizer"]), json.dumps(spec["pre_tokenizer"])
         self.plain = '"Lowercase"' in steps and "|[\\\\p{L}]+|" in apart and "|[^\\\\s\\\\p{L}\\\\p{N}]+" in apart
@@ -54,12 +59,13 @@ class WordEncoder:
 
     def _missing(self, words: Iterable[bytes]) -> list[bytes]:
         """Those of ``words`` that no generation has; what the older one has is kept on."""
-        missing = []
+        missing, old = [], self.old.get
         for w in words:
-            if w in self.old:
-                self._keep(w, self.old[w])
-            else:
+            ids = old(w)
+            if ids is None:
                 missing.append(w)
+            else:
+                self._keep(w, ids)
         return missing
 
     def _encode_new(self, words: list[bytes]) -> None:
@@ -68,11 +74,11 @@ class WordEncoder:
             texts = [w.decode() for w in block]
             starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
             encoding = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-            ids = np.array(encoding.ids, self.dtype)
+            ids = np.array(encoding.ids, self.dtype).tobytes()
             at = np.array([s for s, _ in encoding.offsets], np.int64)
-            cuts = np.searchsorted(at, starts)
+            cuts = (np.searchsorted(at, starts) * self.dtype.itemsize).tolist()
             for w, lo, hi in zip(block, cuts, [*cuts[1:], len(ids)]):
-                self._keep(w, ids[lo:hi].tobytes())
+                self._keep(w, ids[lo:hi])
 
     def _learn(self, words: Iterable[bytes]) -> None:
         words = self._missing(words)
@@ -80,18 +86,24 @@ class WordEncoder:
         if self.plain:
             for w in words:
                 m = _LETTERS.fullmatch(w)
-                if m and (m[2] or not w.islower()):
-                    parts[w] = (m[1].lower(), m[2])
+                if m and (m[2] or w.translate(_LOWER) != w):
+                    parts[w] = (m[1].translate(_LOWER), m[2])
         whole = {w for w in words if w not in parts}.union(*parts.values())
         whole.discard(b"")
         self._encode_new(self._missing(filterfalse(self.new.__contains__, whole)))
         for w, (letters, signs) in parts.items():
             self._keep(w, self.new[letters] + (self.new[signs] if signs else b""))
 
-    def _lookup(self, texts: list[list[bytes]]) -> Iterator[bytes]:
-        self._learn(filterfalse(self.new.__contains__, set().union(*texts)))
-        of = self.new.__getitem__
-        yield from [b"".join(map(of, words)) for words in texts]
+    def _lookup(self, texts: list[bytes]) -> Iterator[bytes]:
+        parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        coded = parts.flatten().dictionary_encode()
+        words = coded.dictionary.view(pa.large_binary()).to_pylist()
+        self._learn(filterfalse(self.new.__contains__, filter(None, words)))
+        ids = pa.array((self.new[w] if w else b"" for w in words), pa.large_binary()).take(coded.indices)
+        # The ids of all words lie one after the other; a text's are those from its first word to the next text's.
+        starts = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[parts.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
+        data = ids.buffers()[2]
+        yield from [data[lo:hi].to_pybytes() if hi > lo else b"" for lo, hi in zip(starts, starts[1:])]
         if self.size > _CACHED_BYTES:
             self.old, self.new, self.size = self.new, {}, 0
 
@@ -99,9 +111,8 @@ class WordEncoder:
         """The ids of each text as little-endian numbers of ``dtype``; a null text has none."""
         batch, size = [], 0
         for text in texts:
-            words = (text or b"").split()
-            batch.append(words)
-            size += len(text or b"")
+            batch.append(text or b"")
+            size += len(batch[-1])
             if size >= _TEXT_AT_ONCE:
                 yield from self._lookup(batch)
                 batch, size = [], 0

@@ -8,6 +8,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from reelhouse.llm import token_files as t
+from reelhouse.llm import tokens
 
 
 def test_index_gives_each_key_its_place_and_no_other():
@@ -55,3 +56,18 @@ def test_edge_rows(spark, edge_docs, no_docs, tokenizer):
     ids = [r.doc_id for r in rows]
     assert ids == sorted(ids, key=lambda i: (i is not None, i or 0))
     assert t.round_trip(no_docs, tokenizer).count() == 0
+
+
+def test_words_with_accents_and_signs_are_put_together_from_those_encoded_before(tokenizer, monkeypatch):
+    encoded = []
+    encode_new = tokens.WordEncoder._encode_new
+    monkeypatch.setattr(tokens.WordEncoder, "_encode_new", lambda self, words: encoded.extend(words) or encode_new(self, words))
+    words = "éclair Éclair ÉCLAIR*** éclair$$$ Éclair### éclair(a) straße STRAßE*** ×2 l'été été's être' a\u0301b*** <|endoftext|> a<|endoftext|>"
+    texts = [words, None, "", " \n\t ", "\x1c a\xa0b\x0b c\x85\x1f ", " \n " + words.upper()]
+    letters = [chr(c) for c in range(0xC0, 0x100)]
+    texts.append(" ".join(c + "x" + s for c in letters for s in ["", *map(chr, range(0x21, 0x30)), "|><", "`~^_", "'s", "'."]))
+    library, encoder = Tokenizer.from_file(tokenizer), tokens.WordEncoder(tokenizer)
+    for text, ids in zip(texts, encoder.encode(t if t is None else t.encode() for t in texts)):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == library.encode(text or "", add_special_tokens=False).ids
+    assert {"éclair", "straße"} <= {w.decode() for w in encoded} and len(encoded) == len(set(encoded))
+    assert not {"Éclair", "ÉCLAIR***", "éclair$$$", "Éclair###", "STRAßE***"} & {w.decode() for w in encoded}
