@@ -59,13 +59,15 @@ class WordEncoder:
 
     def _missing(self, words: Iterable[bytes]) -> list[bytes]:
         """Those of ``words`` that no generation has; what the older one has is kept on."""
-        missing, old = [], self.old.get
+        missing, old, new, size = [], self.old.get, self.new, 0
         for w in words:
             ids = old(w)
             if ids is None:
                 missing.append(w)
             else:
-                self._keep(w, ids)
+                new[w] = ids
+                size += _ENTRY + len(w) + len(ids)
+        self.size += size
         return missing
 
     def _encode_new(self, words: list[bytes]) -> None:
@@ -98,8 +100,9 @@ class WordEncoder:
         parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
         coded = parts.flatten().dictionary_encode()
         words = coded.dictionary.view(pa.large_binary()).to_pylist()
-        self._learn(filterfalse(self.new.__contains__, filter(None, words)))
-        ids = pa.array((self.new[w] if w else b"" for w in words), pa.large_binary()).take(coded.indices)
+        self.new[b""] = b""
+        self._learn(filterfalse(self.new.__contains__, words))
+        ids = pa.array(list(map(self.new.__getitem__, words)), pa.large_binary()).take(coded.indices)
         # The ids of all words lie one after the other; a text's are those from its first word to the next text's.
         starts = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[parts.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)
         data = ids.buffers()[2]
