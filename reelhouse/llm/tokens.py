@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import re
+import threading
 from collections.abc import Iterable, Iterator
 from itertools import filterfalse
 
@@ -14,6 +15,7 @@ import pyarrow.compute as pc
 _TEXT_AT_ONCE = 4 << 20  # characters whose words are looked up together
 _WORDS_AT_ONCE = 512  # new words encoded in one call
 _CACHED_BYTES = 120 << 20  # of words and their ids in each of two generations of the cache, with what Python adds
+_IDLE_SECONDS = 5.0  # after which a worker that encodes nothing drops its cache
 _ENTRY = 220  # bytes that a cached word takes beside its letters and ids
 # Letters of ASCII and Latin-1 in UTF-8, then ASCII signs; an apostrophe may be part of a contraction.
 _LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
@@ -29,7 +31,9 @@ class WordEncoder:
     Holds for tokenizers that never join or look across white space, as those that drop it
     do: a text's ids are then the ids of its white-space-free parts in order, whatever
     stands around them. New parts are encoded by the library, many in one call; the ids of
-    those met before are kept, within a fixed bound, for as long as the worker lives.
+    those met before are kept, within a fixed bound, for as long as the worker has work.
+    Spark leaves idle workers alive beside those of the next stages, so one that has encoded
+    nothing for some seconds drops what it kept.
     """
 
     def __init__(self, path: str) -> None:
@@ -45,6 +49,9 @@ class WordEncoder:
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.size = 0
+        self.lock = threading.Lock()
+        self.running = 0  # calls of encode that have not ended
+        self.idle: threading.Timer | None = None
 
     @staticmethod
     def of(path: str) -> "WordEncoder":
@@ -110,14 +117,40 @@ class WordEncoder:
         if self.size > _CACHED_BYTES:
             self.old, self.new, self.size = self.new, {}, 0
 
+    def _begin(self) -> None:
+        with self.lock:
+            self.running += 1
+            if self.idle is not None:
+                self.idle.cancel()
+                self.idle = None
+
+    def _end(self) -> None:
+        with self.lock:
+            self.running -= 1
+            if not self.running:
+                self.idle = threading.Timer(_IDLE_SECONDS, self._forget)
+                self.idle.daemon = True
+                self.idle.start()
+
+    def _forget(self) -> None:
+        with self.lock:
+            if self.running or self.idle is not threading.current_thread():
+                return  # work came meanwhile
+            self.old, self.new, self.size, self.idle = {}, {}, 0, None
+        pa.default_memory_pool().release_unused()
+
     def encode(self, texts: Iterable[bytes | None]) -> Iterator[bytes]:
         """The ids of each text as little-endian numbers of ``dtype``; a null text has none."""
-        batch, size = [], 0
-        for text in texts:
-            batch.append(text or b"")
-            size += len(batch[-1])
-            if size >= _TEXT_AT_ONCE:
+        self._begin()
+        try:
+            batch, size = [], 0
+            for text in texts:
+                batch.append(text or b"")
+                size += len(batch[-1])
+                if size >= _TEXT_AT_ONCE:
+                    yield from self._lookup(batch)
+                    batch, size = [], 0
+            if batch:
                 yield from self._lookup(batch)
-                batch, size = [], 0
-        if batch:
-            yield from self._lookup(batch)
+        finally:
+            self._end()

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import zlib
 
 import numpy as np
@@ -71,3 +72,17 @@ def test_words_with_accents_and_signs_are_put_together_from_those_encoded_before
         assert np.frombuffer(ids, encoder.dtype).tolist() == library.encode(text or "", add_special_tokens=False).ids
     assert {"éclair", "straße"} <= {w.decode() for w in encoded} and len(encoded) == len(set(encoded))
     assert not {"Éclair", "ÉCLAIR***", "éclair$$$", "Éclair###", "STRAßE***"} & {w.decode() for w in encoded}
+
+
+def test_an_idle_encoder_drops_its_cache(monkeypatch, tokenizer):
+    monkeypatch.setattr(tokens, "_IDLE_SECONDS", 0.1)
+    encoder, texts = tokens.WordEncoder(tokenizer), [b"one two three", b"two four", None]
+    open_call = encoder.encode(texts)
+    first = [next(open_call)]
+    time.sleep(0.4)
+    assert encoder.new  # a call that has not ended keeps it
+    first += open_call
+    assert encoder.new and encoder.size
+    time.sleep(1)
+    assert not encoder.new and not encoder.old and not encoder.size
+    assert list(encoder.encode(texts)) == first
