@@ -11,6 +11,7 @@ score reaches a low quantile of these. All of it is built-in column functions.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -36,10 +37,16 @@ class Rules:
     most_repeated_percent: int = 50
 
 
-def repeated_words(words: Column) -> Column:
+def pair_hashes(words: Column) -> Column:
+    """A 64-bit hash of each pair of neighbours in ``words``."""
+    n = F.greatest(F.size(words) - 1, F.lit(0))
+    return F.zip_with(F.slice(words, 1, n), F.slice(words, 2, n), lambda a, b: F.xxhash64(a, b))
+
+
+def repeated_words(words: Column, pairs: Column) -> Column:
     """The number of words that lie in a three-word window found twice or more in ``words``.
 
-    Windows are compared by 64-bit hash. Only texts with a repeated window are sorted; the
+    ``pairs`` are the hashes of neighbours, from which those of windows follow. Windows are compared by 64-bit hash. Only texts with a repeated window are sorted; the
     places of repeated windows, in order, cover three words each less what overlaps.
     """
 
@@ -60,12 +67,9 @@ def repeated_words(words: Column) -> Column:
         repeats = let(F.sort_array(tagged), lambda s: let(places(s), width))
         return F.when(F.size(F.array_distinct(hashes)) < F.size(hashes), repeats).otherwise(F.lit(0))
 
-    def hashes(w: Column) -> Column:
-        n = F.greatest(F.size(w) - 2, F.lit(0))
-        pairs = F.zip_with(F.slice(w, 1, n), F.slice(w, 2, n), lambda a, b: F.xxhash64(a, b))
-        return F.zip_with(pairs, F.slice(w, 3, n), lambda h, c: F.xxhash64(h, c))
-
-    return let(words, lambda w: let(hashes(w), covered)).cast("long")
+    n = F.greatest(F.size(words) - 2, F.lit(0))
+    hashes = F.zip_with(F.slice(pairs, 1, n), F.slice(words, 3, n), lambda h, c: F.xxhash64(h, c))
+    return let(hashes, covered).cast("long")
 
 
 def repeated_lines(text: Column) -> Column:
@@ -74,36 +78,44 @@ def repeated_lines(text: Column) -> Column:
     return let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("long")
 
 
-def base_measures(text: Column, words: Column, rules: Rules) -> dict[str, Column]:
-    """The measures of the plain rules; a null text counts as empty."""
+def base_measures(text: Column, words: Column, rules: Rules, pairs: Column | None = None) -> dict[str, Column]:
+    """The measures of the plain rules; a null text counts as empty.
+
+    ``pairs`` are the :func:`pair_hashes` of ``words`` where these are at hand.
+    """
     text = F.coalesce(text, F.lit(""))
     return {
         "n_words": F.size(words).cast("long"),
         "word_chars": F.char_length(F.array_join(words, "")).cast("long"),
         "n_symbols": F.char_length(F.regexp_replace(text, r"[^#*$%&|<>]+", "")).cast("long"),
         "n_dup_lines": repeated_lines(text),
-        "n_repeat_words": repeated_words(words),
+        "n_repeat_words": repeated_words(words, pair_hashes(words) if pairs is None else pairs),
     }
 
 
-def _neighbours(values: Column) -> tuple[Column, Column]:
-    """All values but the last, and all but the first."""
-    n = F.greatest(F.size(values) - 1, F.lit(0))
-    return F.slice(values, 1, n), F.slice(values, 2, n)
-
+def _bucket(rules: Rules, hashed: Column) -> Column:
+    """The hash modulo the number of buckets; its lowest bits are that where the number is a power of two."""
+    if rules.buckets & (rules.buckets - 1) == 0:
+        return hashed.bitwiseAND(F.lit(rules.buckets - 1).cast("long"))
+    return F.pmod(hashed, F.lit(rules.buckets))
 
-def _bucket(rules: Rules, *words: Column) -> Column:
-    return F.pmod(F.xxhash64(*words), F.lit(rules.buckets)).cast("int")
 
-
-def features(words: Column, rules: Rules) -> Column:
+def features(words: Column, pairs: Column, rules: Rules) -> Column:
     """The buckets of all words, then of all pairs of neighbours."""
+    of_words = F.transform(words, lambda x: _bucket(rules, F.xxhash64(x)).cast("int"))
+    return F.concat(of_words, F.transform(pairs, lambda h: _bucket(rules, h).cast("int")))
 
-    def both(w: Column) -> Column:
-        pairs = F.zip_with(*_neighbours(w), lambda a, b: _bucket(rules, a, b))
-        return F.concat(F.transform(w, lambda x: _bucket(rules, x)), pairs)
 
-    return let(words, both)
+def _all_buckets(words: DataFrame, rules: Rules) -> DataFrame:
+    """A row ``bucket`` for each word, and for each pair of neighbours, of each row's ``words``.
+
+    The words are dealt into rows before they are hashed, which Spark then compiles; hashing
+    inside an array it does not.
+    """
+    rows = words.select(F.inline(F.arrays_zip(F.col("words").alias("a"), F.slice("words", 2, F.greatest(F.size("words"), F.lit(1))).alias("b"))))
+    one, two = F.xxhash64("a"), F.xxhash64("a", "b")
+    hashes = rows.select(F.explode(F.when(F.col("b").isNull(), F.array(one)).otherwise(F.array(one, two))).alias("hash"))
+    return hashes.select(_bucket(rules, F.col("hash")).cast("int").alias("bucket"))
 
 
 @dataclass(frozen=True)
@@ -118,6 +130,11 @@ def _failed(rules: Rules) -> Column:
     return (F.col("n_words") < rules.least_words) | (100 * F.col("n_repeat_words") > rules.most_repeated_percent * F.col("n_words"))
 
 
+def _with_words(rows: DataFrame) -> DataFrame:
+    """``rows`` with the ``words`` of ``text`` and the hashes of its ``pairs``, each made once for all that reads them."""
+    return rows.withColumn("words", words_of(F.col("text"))).withColumn("pairs", pair_hashes(F.col("words")))
+
+
 def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Fit:
     """The log-ratio of every bucket, from all n-grams of ``docs``, and the threshold.
 
@@ -135,12 +152,13 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Fit:
     )
     rows = pick(docs, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
     raw = [0] * rules.buckets
-    for row in rows.select(F.explode(features(words_of(F.col("text")), rules)).alias("bucket")).groupBy("bucket").count().collect():
+    words = rows.select(words_of(F.col("text")).alias("words"))
+    for row in _all_buckets(words, rules).groupBy("bucket").count().collect():
         raw[row["bucket"]] = row["count"]  # at most one row per bucket
 
-    own = rows.join(trusted.hint("merge"), "id").withColumn("words", words_of(F.col("text")))
-    measures = base_measures(F.col("text"), F.col("words"), rules)
-    own = own.select("id", features(F.col("words"), rules).alias("grams"), *[measures[m].alias(m) for m in ("n_words", "n_repeat_words")])
+    own = _with_words(rows.join(trusted.hint("merge"), "id"))
+    measures = base_measures(F.col("text"), F.col("words"), rules, F.col("pairs"))
+    own = own.select("id", features(F.col("words"), F.col("pairs"), rules).alias("grams"), *[measures[m].alias(m) for m in ("n_words", "n_repeat_words")])
     half = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half")
     own = written(own.select(half, "grams", (~_failed(rules)).alias("passed")), "trusted")
     halves = [[0] * rules.buckets for _ in range(2)]
@@ -190,15 +208,21 @@ def _quantile(scores: DataFrame, share: float) -> float | None:
     return low if low == high else (ranks[1] - place) * low + (place - ranks[0]) * high
 
 
-def _mean_weight(buckets: Column, weights: list[float]) -> Column:
+def _sum_of(buckets: Column, weights: list[float], start: Column, bucket: Callable[[Column], Column] = lambda b: b) -> Column:
+    """``start`` and the weights of all ``buckets``, added up in order; ``bucket`` makes an element's bucket."""
     table = number_array(weights)
-    total = F.aggregate(buckets, F.lit(0.0), lambda s, b: s + F.get(table, b)) / F.greatest(F.size(buckets), F.lit(1))
-    return F.round(total, _DIGITS)
+    return F.aggregate(buckets, start, lambda s, x: s + F.get(table, bucket(x)))
+
+
+def _mean_weight(buckets: Column, weights: list[float]) -> Column:
+    return F.round(_sum_of(buckets, weights, F.lit(0.0)) / F.greatest(F.size(buckets), F.lit(1)), _DIGITS)
 
 
-def mean_ratio(words: Column, weights: list[float], rules: Rules) -> Column:
-    """The mean log-ratio of a text's n-grams; zero without words."""
-    return let(features(words, rules), lambda f: _mean_weight(f, weights))
+def mean_ratio(words: Column, pairs: Column, weights: list[float], rules: Rules) -> Column:
+    """The mean log-ratio of a text's n-grams, as of their :func:`features`; zero without words."""
+    of_words = _sum_of(words, weights, F.lit(0.0), lambda x: _bucket(rules, F.xxhash64(x)))
+    total = _sum_of(pairs, weights, of_words, lambda h: _bucket(rules, h))
+    return F.round(total / F.greatest(F.size(words) + F.size(pairs), F.lit(1)), _DIGITS)
 
 
 def judged(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFrame:
@@ -209,13 +233,13 @@ def judged(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFr
     threshold all that pass the plain rules are kept. Extra columns are left alone.
     """
     found = fit(docs, labels, rules)
-    rows = packed(docs, "doc_id", "text").withColumn("words", words_of(F.col("text")))
+    rows = _with_words(packed(docs, "doc_id", "text"))
     rows = rows.select(
         "doc",
         "doc_id",
         "text",
-        *[c.alias(n) for n, c in base_measures(F.col("text"), F.col("words"), rules).items()],
-        mean_ratio(F.col("words"), found.weights, rules).alias("score"),
+        *[c.alias(n) for n, c in base_measures(F.col("text"), F.col("words"), rules, F.col("pairs")).items()],
+        mean_ratio(F.col("words"), F.col("pairs"), found.weights, rules).alias("score"),
     )
     good = F.lit(True) if found.threshold is None else F.col("score") >= F.lit(found.threshold)
     return rows.withColumn("base_failed", _failed(rules)).withColumn("kept", ~F.col("base_failed") & good)
