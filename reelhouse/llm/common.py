@@ -8,6 +8,7 @@ import zipfile
 from collections.abc import Callable
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from reelhouse.sources.session import ensure_checkpoint_dir
@@ -78,9 +79,16 @@ def indices(first: Column | int, last: Column) -> Column:
     return F.when(last >= first, F.sequence(first, last)).otherwise(empty)
 
 
-def number_array(values: list[float]) -> Column:
-    """A constant array of doubles. Its length has to be bounded by a parameter, not by the data."""
-    return F.split(F.lit(",".join(f"{v:.9g}" for v in values)), ",").cast("array<double>")
+def number_array(spark: SparkSession, values: list[float]) -> Column:
+    """A constant array of doubles of nine digits. Its length has to be bounded by a parameter, not by the data.
+
+    A scalar subquery over a table of one row, as plans print every element of a literal
+    array, once for each of its uses, and the driver holds these texts. Lambdas take no
+    subquery: select it as a column first, apart from columns that are used several times,
+    and use it once above, so that Spark puts it in place instead of copying it to each row.
+    """
+    row = pa.table({"values": pa.array([[float(f"{v:.9g}") for v in values]], pa.list_(pa.float64()))})
+    return spark.createDataFrame(row).scalar()
 
 
 def thinned(rows: DataFrame, key: Column, bound: int) -> DataFrame:

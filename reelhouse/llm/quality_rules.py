@@ -13,6 +13,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import let, number_array, packed, pick, unpacked, words_of, written
@@ -134,18 +135,14 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Fit:
         .distinct()
     )
     rows = pick(docs, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
-    raw = [0] * rules.buckets
-    for row in rows.select(F.explode(features(words_of(F.col("text")), rules)).alias("bucket")).groupBy("bucket").count().collect():
-        raw[row["bucket"]] = row["count"]  # at most one row per bucket
+    raw = _counts(rows.select(F.lit(0).alias("part"), F.explode(features(words_of(F.col("text")), rules)).alias("bucket")), 1, rules)[0]
 
     own = rows.join(trusted.hint("merge"), "id").withColumn("words", words_of(F.col("text")))
     measures = base_measures(F.col("text"), F.col("words"), rules)
     own = own.select("id", features(F.col("words"), rules).alias("grams"), *[measures[m].alias(m) for m in ("n_words", "n_repeat_words")])
     half = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half")
     own = written(own.select(half, "grams", (~_failed(rules)).alias("passed")), "trusted")
-    halves = [[0] * rules.buckets for _ in range(2)]
-    for row in own.select("half", F.explode("grams").alias("bucket")).groupBy("half", "bucket").count().collect():
-        halves[row["half"]][row["bucket"]] = row["count"]
+    halves = _counts(own.select(F.col("half").alias("part"), F.explode("grams").alias("bucket")), 2, rules)
 
     def weights(good: list[int]) -> list[float]:
         n_raw, n_good = sum(raw), sum(good)
@@ -156,9 +153,18 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Fit:
     of_all = weights([a + b for a, b in zip(*halves)])
     if not all(map(sum, halves)):
         return Fit(of_all, None)
-    of_others = [_mean_weight(F.col("grams"), weights(halves[1 - h])) for h in (0, 1)]
-    score = F.when(F.col("half") == 0, of_others[0]).otherwise(of_others[1])
-    return Fit(of_all, _quantile(written(own.where("passed").select(score.alias("score")), "held-out"), rules.rejected))
+    of_others = [number_array(docs.sparkSession, weights(halves[1 - h])).alias(f"weights{h}") for h in (0, 1)]
+    first, second = (_mean_weight(F.col("grams"), F.col(f"weights{h}")) for h in (0, 1))
+    scores = own.where("passed").select("half", "grams", *of_others).select(F.when(F.col("half") == 0, first).otherwise(second).alias("score"))
+    return Fit(of_all, _quantile(written(scores, "held-out"), rules.rejected))
+
+
+def _counts(rows: DataFrame, parts: int, rules: Rules) -> list[list[int]]:
+    """The number of ``rows`` (part, bucket) of each part in each bucket, gathered as two columns, not as rows."""
+    found = rows.groupBy("part", "bucket").count().toArrow()
+    counts = np.zeros((parts, rules.buckets), np.int64)
+    counts[found["part"].to_numpy(), found["bucket"].to_numpy()] = found["count"].to_numpy()
+    return counts.tolist()
 
 
 _DIGITS = 6  # of a score
@@ -190,14 +196,13 @@ def _quantile(scores: DataFrame, share: float) -> float | None:
     return low if low == high else (ranks[1] - place) * low + (place - ranks[0]) * high
 
 
-def _mean_weight(buckets: Column, weights: list[float]) -> Column:
-    table = number_array(weights)
-    total = F.aggregate(buckets, F.lit(0.0), lambda s, b: s + F.get(table, b)) / F.greatest(F.size(buckets), F.lit(1))
+def _mean_weight(buckets: Column, weights: Column) -> Column:
+    total = F.aggregate(buckets, F.lit(0.0), lambda s, b: s + F.get(weights, b)) / F.greatest(F.size(buckets), F.lit(1))
     return F.round(total, _DIGITS)
 
 
-def mean_ratio(words: Column, weights: list[float], rules: Rules) -> Column:
-    """The mean log-ratio of a text's n-grams; zero without words."""
+def mean_ratio(words: Column, weights: Column, rules: Rules) -> Column:
+    """The mean log-ratio of a text's n-grams; zero without words. ``weights`` is the array of all buckets' log-ratios."""
     return let(features(words, rules), lambda f: _mean_weight(f, weights))
 
 
@@ -210,13 +215,10 @@ def judged(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> DataFr
     """
     found = fit(docs, labels, rules)
     rows = packed(docs, "doc_id", "text").withColumn("words", words_of(F.col("text")))
-    rows = rows.select(
-        "doc",
-        "doc_id",
-        "text",
-        *[c.alias(n) for n, c in base_measures(F.col("text"), F.col("words"), rules).items()],
-        mean_ratio(F.col("words"), found.weights, rules).alias("score"),
-    )
+    measures = base_measures(F.col("text"), F.col("words"), rules)
+    rows = rows.select("doc", "doc_id", "text", "words", *[c.alias(n) for n, c in measures.items()])
+    rows = rows.withColumn("weights", number_array(docs.sparkSession, found.weights))
+    rows = rows.select("doc", "doc_id", "text", *measures, mean_ratio(F.col("words"), F.col("weights"), rules).alias("score"))
     good = F.lit(True) if found.threshold is None else F.col("score") >= F.lit(found.threshold)
     return rows.withColumn("base_failed", _failed(rules)).withColumn("kept", ~F.col("base_failed") & good)
 

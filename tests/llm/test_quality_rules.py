@@ -157,3 +157,11 @@ def test_the_quantile_is_that_of_percentile(spark, share):
         scores = spark.createDataFrame(rows, "score double")
         assert q._quantile(scores, share) == scores.agg(F.percentile("score", share)).first()[0]
     assert q._quantile(scores.limit(0), share) is None
+
+
+def test_plans_hold_no_weights_as_text_and_rows_no_copy_of_them(small):
+    docs, labels = small["documents"], small["labels"]
+    for df in (q.judged(docs, labels), q.keep_good(docs, labels)):
+        plan = df._jdf.queryExecution()
+        assert len(plan.toString()) < 100_000  # about a million characters a use with the weights in it
+        assert " AS weights" not in plan.optimizedPlan().toString()
