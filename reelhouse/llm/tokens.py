@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import re
 import threading
 from collections.abc import Iterable, Iterator
 from itertools import filterfalse
@@ -17,10 +16,17 @@ _WORDS_AT_ONCE = 512  # new words encoded in one call
 _CACHED_BYTES = 120 << 20  # of words and their ids in each of two generations of the cache, with what Python adds
 _IDLE_SECONDS = 5.0  # after which a worker that encodes nothing drops its cache
 _ENTRY = 220  # bytes that a cached word takes beside its letters and ids
-# Letters of ASCII and Latin-1 in UTF-8, then ASCII signs; an apostrophe may be part of a contraction.
-_LETTERS = re.compile(rb"((?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])+)([!-&(-/:-@\[-`{-~]*)")
-_UPPER = bytes([*range(0x41, 0x5B), *range(0x80, 0x97), *range(0x98, 0x9F)])  # of such letters, their last bytes
-_LOWER = bytes.maketrans(_UPPER, bytes(b + 0x20 for b in _UPPER))
+# Of the bytes: 1 for letters of ASCII, 2 for its digits and signs. An apostrophe may be part of a contraction and is neither.
+_KIND = np.zeros(256, np.uint8)
+_KIND[0x21:0x7F] = 2
+_KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = 1
+_KIND[0x27] = 0
+_WHITE = np.zeros(256, bool)
+_WHITE[[0x20, *range(0x09, 0x0E)]] = True
+# Letters of Latin-1 are 0xC3 and one of these in UTF-8; the upper ones become lower by the same bit as in ASCII.
+_LATIN = np.zeros(256, bool)
+_LATIN[[b for b in range(0x80, 0xC0) if b not in (0x97, 0xB7)]] = True
+_BEYOND = 0xC4  # the first byte of characters beyond Latin-1, among them all that combine with a letter before them
 
 _encoders: dict[str, "WordEncoder"] = {}
 
@@ -42,10 +48,12 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.dtype = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
         spec = json.loads(self.tokenizer.to_str())
-        # Where case is dropped, and letters and punctuation are always apart, words of such
-        # letters have the ids of their lower case, then those of the signs behind them.
+        # Where case is dropped, and letters are always apart from digits and punctuation, texts
+        # can be in lower case and cut there, but for words with a token that is looked for as it stands.
         steps, apart = json.dumps(spec["normalizer"]), json.dumps(spec["pre_tokenizer"])
         self.plain = '"Lowercase"' in steps and "|[\\\\p{L}]+|" in apart and "|[^\\\\s\\\\p{L}\\\\p{N}]+" in apart
+        self.plain &= all(t["content"].isascii() and not t["normalized"] for t in spec["added_tokens"])
+        self.verbatim = [t["content"].encode().lower() for t in spec["added_tokens"]]
         self.new: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
         self.size = 0
@@ -89,26 +97,40 @@ class WordEncoder:
             for w, lo, hi in zip(block, cuts, [*cuts[1:], len(ids)]):
                 self._keep(w, ids[lo:hi])
 
-    def _learn(self, words: Iterable[bytes]) -> None:
-        words = self._missing(words)
-        parts = {}
-        if self.plain:
-            for w in words:
-                m = _LETTERS.fullmatch(w)
-                if m and (m[2] or w.translate(_LOWER) != w):
-                    parts[w] = (m[1].translate(_LOWER), m[2])
-        whole = {w for w in words if w not in parts}.union(*parts.values())
-        whole.discard(b"")
-        self._encode_new(self._missing(filterfalse(self.new.__contains__, whole)))
-        for w, (letters, signs) in parts.items():
-            self._keep(w, self.new[letters] + (self.new[signs] if signs else b""))
+    def _cut(self, data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Texts, one after the other, in lower case and with a space between letters and digits or signs.
+
+        Only letters of ASCII and Latin-1 are touched, and none that a combining mark may follow.
+        """
+        after = np.append(data[1:], np.uint8(0))
+        kind, low = _KIND[data], data.copy()
+        latin = np.flatnonzero(data == 0xC3)
+        latin = latin[_LATIN[after[latin]]]
+        kind[latin] = kind[latin + 1] = 1
+        upper = (data >= 0x41) & (data <= 0x5A)
+        upper[latin[after[latin] < 0x9F] + 1] = True
+        low |= (upper & (after < _BEYOND)).view(np.uint8) << np.uint8(5)
+        raw, bounds = data.tobytes().lower(), None
+        for token in self.verbatim:
+            at = raw.find(token)
+            while at >= 0:  # the word around it is left as it is
+                bounds = np.union1d(np.flatnonzero(_WHITE[data]), starts) if bounds is None else bounds
+                after_it = np.searchsorted(bounds, at, "right")
+                own = slice(bounds[after_it - 1], bounds[after_it])
+                low[own], kind[own] = data[own], 0
+                at = raw.find(token, own.stop)
+        cuts = np.flatnonzero((kind[1:] ^ kind[:-1]) == 3) + 1
+        return np.insert(low, cuts, 0x20), starts + np.searchsorted(cuts, starts)
 
     def _lookup(self, texts: list[bytes]) -> Iterator[bytes]:
-        parts = pc.ascii_split_whitespace(pa.array(texts, pa.large_binary()).view(pa.large_string()))
+        data, starts = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+        if self.plain and len(data):
+            data, starts = self._cut(data, starts)
+        parts = pc.ascii_split_whitespace(pa.Array.from_buffers(pa.large_string(), len(texts), [None, pa.py_buffer(starts), pa.py_buffer(data)]))
         coded = parts.flatten().dictionary_encode()
-        words = coded.dictionary.view(pa.large_binary()).to_pylist()
+        words = coded.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
         self.new[b""] = b""
-        self._learn(filterfalse(self.new.__contains__, words))
+        self._encode_new(self._missing(filterfalse(self.new.__contains__, words)))
         ids = pa.array(list(map(self.new.__getitem__, words)), pa.large_binary()).take(coded.indices)
         # The ids of all words lie one after the other; a text's are those from its first word to the next text's.
         starts = np.frombuffer(ids.buffers()[1], np.int64, len(ids) + 1)[parts.offsets.to_numpy()].tolist() if len(ids) else [0] * (len(texts) + 1)

@@ -74,6 +74,23 @@ def test_words_with_accents_and_signs_are_put_together_from_those_encoded_before
     assert not {"Éclair", "ÉCLAIR***", "éclair$$$", "Éclair###", "STRAßE***"} & {w.decode() for w in encoded}
 
 
+def test_forms_of_a_word_are_looked_up_as_one(tokenizer):
+    encoder, library = tokens.WordEncoder(tokenizer), Tokenizer.from_file(tokenizer)
+    texts = ["the, The. THE!! (the) tHe$the; Été/ÉTÉ=été", "the<|ENDOFTEXT|> The", "THE12the"]
+    for text, ids in zip(texts, encoder.encode(t.encode() for t in texts)):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert {w.decode() for w in encoder.new} == {"", *"the été , . !! ( ) $ ; / = 12 the<|ENDOFTEXT|>".split()}
+
+
+def test_cut_texts_have_the_ids_of_the_whole(tokenizer):
+    encoder, library = tokens.WordEncoder(tokenizer), Tokenizer.from_file(tokenizer)
+    pieces = [*"aAeEjJÉéÀßÿ×÷º12 \n'.,=<>|$\xa0\x85\x00\x1cſKİıΣσǰ日😀", "\u0301", "\u030c", "\u0338", "'s", "'S", "'ll", "<|endoftext|>", "<|ENDOFTEXT|>", "<|startoftext|>"]
+    rng = np.random.default_rng(7)
+    texts = ["".join(rng.choice(pieces, rng.integers(0, 25))) for _ in range(3000)]
+    for text, ids in zip(texts, encoder.encode(t.encode() for t in texts)):
+        assert np.frombuffer(ids, encoder.dtype).tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
+
+
 def test_an_idle_encoder_drops_its_cache(monkeypatch, tokenizer):
     monkeypatch.setattr(tokens, "_IDLE_SECONDS", 0.1)
     encoder, texts = tokens.WordEncoder(tokenizer), [b"one two three", b"two four", None]
