@@ -16,7 +16,7 @@ from dataclasses import dataclass
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import let, number_array, packed, pick, unpacked, words_of, written
+from .common import let, likely_among, number_array, packed, pick, unpacked, words_of, written
 
 
 @dataclass(frozen=True)
@@ -123,8 +123,9 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Fit:
     """The log-ratio of every bucket, from all n-grams of ``docs``, and the threshold.
 
     Trusted are all documents with quality 1 and no toxic mark, in two halves by a hash of
-    the id. Both sides of the join with their ids are shuffled; only n-grams and judgements
-    of the trusted ones are kept for the two counts and the scores. Null ids are never
+    the id. Both sides of the join with their ids are shuffled, of the documents those that
+    :func:`likely_among` leaves; only n-grams and judgements of the trusted ones are kept for
+    the two counts and the scores. Null ids are never
     trusted. Without trusted n-grams all ratios are zero; without some in each half, or none
     that pass the plain rules, there is no threshold.
     """
@@ -132,12 +133,11 @@ def fit(docs: DataFrame, labels: DataFrame, rules: Rules = Rules()) -> Fit:
         pick(labels, "doc_id", "quality", "toxic")
         .where((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0) & F.col("doc_id").isNotNull())
         .select(F.col("doc_id").cast("string").alias("id"))
-        .distinct()
     )
     rows = pick(docs, "doc_id", "text").withColumn("id", F.col("doc_id").cast("string"))
     raw = _counts(rows.select(F.lit(0).alias("part"), F.explode(features(words_of(F.col("text")), rules)).alias("bucket")), 1, rules)[0]
 
-    own = rows.join(trusted.hint("merge"), "id").withColumn("words", words_of(F.col("text")))
+    own = likely_among(rows, trusted, "id").join(trusted.distinct().hint("merge"), "id").withColumn("words", words_of(F.col("text")))
     measures = base_measures(F.col("text"), F.col("words"), rules)
     own = own.select("id", features(F.col("words"), rules).alias("grams"), *[measures[m].alias(m) for m in ("n_words", "n_repeat_words")])
     half = F.pmod(F.xxhash64("id"), F.lit(2)).cast("int").alias("half")

@@ -12,6 +12,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 from reelhouse.llm import quality_rules as q
+from reelhouse.llm.common import likely_among
 
 NAMES = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 
@@ -165,3 +166,43 @@ def test_plans_hold_no_weights_as_text_and_rows_no_copy_of_them(small):
         plan = df._jdf.queryExecution()
         assert len(plan.toString()) < 100_000  # about a million characters a use with the weights in it
         assert " AS weights" not in plan.optimizedPlan().toString()
+
+
+@pytest.mark.parametrize("n, most_bits", [(1, 1 << 26), (3000, 1 << 26), (3000, 1 << 15), (20_000, 1 << 15)])
+def test_rows_likely_among_ids_have_all_that_are(spark, n, most_bits):
+    key = F.concat(F.lit("é"), F.col("id").cast("string")).alias("key")
+    ids = spark.range(0, 40 * n, 40).select(key)
+    rows = spark.range(40_000).select("id", key)
+    rows = rows.union(rows.where("id = 0")).union(rows.where("id = 1").select("id", F.lit(None)))
+    found = [r.id for r in likely_among(rows, ids, "key", most_bits).collect()]
+    right = [0, *range(0, min(40_000, 40 * n), 40)]
+    assert sorted(i for i in found if i % 40 == 0 and i < 40 * n) == right
+    if 16 * n <= most_bits:
+        assert len(found) - len(right) < 0.09 * 40_000
+
+
+def test_few_texts_of_other_documents_are_shuffled(spark, monkeypatch):
+    docs = spark.range(4000).select(F.col("id").alias("doc_id"), F.concat(F.lit("a b c "), F.col("id").cast("string")).alias("text"))
+    labels = docs.where("doc_id % 20 = 0").select("doc_id", F.lit(1).alias("quality"), F.lit(0).alias("toxic"))
+    shuffled = []
+
+    def sizes(plan):
+        if plan.nodeName() == "Exchange" and "text" in plan.output().mkString(","):
+            shuffled.append(plan.metrics().apply("shuffleRecordsWritten").value())
+        for i in range(plan.children().size()):
+            sizes(plan.children().apply(i))
+
+    def written(df, name, write=q.written):
+        if name == "trusted":
+            adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+            spark.conf.set("spark.sql.adaptive.enabled", "false")
+            try:
+                assert len(df.collect()) == 200
+                sizes(df._jdf.queryExecution().executedPlan())
+            finally:
+                spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+        return write(df, name)
+
+    monkeypatch.setattr(q, "written", written)
+    q.fit(docs, labels, q.Rules(buckets=512))
+    assert len(shuffled) == 1 and 200 <= shuffled[0] < 600
